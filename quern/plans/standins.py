@@ -185,8 +185,8 @@ def exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id")
 
 
-DUCK_WORDS = r"list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\pZ]+'), w -> w <> '')"
-DUCK_TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[\s\x0b[:punct:]—…”„]+'), w -> w <> '')"
+DUCK_WORDS = r"[w FOR w IN regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\pZ]+') IF w <> '']"
+DUCK_TOKENS = r"[w FOR w IN regexp_split_to_array(lower(text), '[\s\x0b[:punct:]—…”„]+') IF w <> '']"
 
 EXAM = f"""exam AS (
   SELECT doc_id, n_chars, CAST(len({DUCK_WORDS}) AS INT) AS n_words,
