@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quern.functions import text as tx
 from quern.functions import time as tm
 from quern.operators.prefix import positions
-from quern.sources.tables import table
+from quern.sources.tables import table, text_table
 
 MOVIES = """movies AS (
   SELECT p_partkey AS movie_id, p_name || ' (' || CAST(1950 + p_size AS VARCHAR) || ')' AS raw_title,
@@ -175,7 +175,7 @@ def exam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The documents are joined after the text was reduced to its word count.
     """
-    docs = table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents").select(
         "doc_id",
         "n_chars",
         F.size(tx.words(F.col("text"))).alias("n_words"),
@@ -196,7 +196,7 @@ EXAM = f"""exam AS (
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, entity, sentiment, text of the labelled documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("entity"), "text")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("entity"), "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("sentiment"))
     return docs.join(labels, "doc_id")
 
@@ -208,6 +208,6 @@ TWEETS = """tweets AS (
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """author (language), work (source), content."""
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("author"), F.col("source").alias("work"), F.col("text").alias("content")
     )

@@ -11,7 +11,7 @@ from quern.operators import relational as rel
 from quern.operators import words as wd
 from quern.plans import standins as st
 from quern.plans.registry import job
-from quern.sources.tables import table
+from quern.sources.tables import table, text_table
 
 WORDS, TOKENS = st.DUCK_WORDS, st.DUCK_TOKENS
 
@@ -82,14 +82,14 @@ DOC_WORDS = f"""counts AS (
 
 @job("word_top10", f"WITH {DOC_WORDS} SELECT * FROM counts ORDER BY count DESC, word LIMIT 10")
 def word_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = wd.word_counts(table(spark, sf_dir, "documents"), tx.words(F.col("text")))
+    counts = wd.word_counts(text_table(spark, sf_dir, "documents"), tx.words(F.col("text")))
     return rel.top(counts, 10, F.desc("count"), "word")
 
 
 @job("word_bottom", f"WITH {DOC_WORDS} SELECT * FROM counts ORDER BY count, word DESC LIMIT 19 OFFSET 1")
 def word_bottom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 rarest words but one: places -20 to -2 of the ranking by count."""
-    counts = wd.word_counts(table(spark, sf_dir, "documents"), tx.words(F.col("text")))
+    counts = wd.word_counts(text_table(spark, sf_dir, "documents"), tx.words(F.col("text")))
     return rel.top(counts, 19, "count", F.desc("word"), skip=1)
 
 
@@ -105,18 +105,18 @@ counts AS (SELECT word, count(*) AS count FROM (SELECT unnest({WORDS}) AS word F
 
 @job("html_word_top10", f"WITH {PAGE_WORDS} SELECT * FROM counts ORDER BY count DESC, word LIMIT 10")
 def html_word_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = wd.word_counts(table(spark, sf_dir, "pages"), tx.html_words(F.col("html")))
+    counts = wd.word_counts(text_table(spark, sf_dir, "pages"), tx.html_words(F.col("html")))
     return rel.top(counts, 10, F.desc("count"), "word")
 
 
 @job("html_word_counts", f"WITH {PAGE_WORDS} SELECT * FROM counts")
 def html_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wd.word_counts(table(spark, sf_dir, "pages"), tx.html_words(F.col("html")))
+    return wd.word_counts(text_table(spark, sf_dir, "pages"), tx.html_words(F.col("html")))
 
 
 @job("page_text", f"SELECT page_id, {HTML_TEXT} AS text FROM pages")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", tx.html_text(F.col("html")).alias("text"))
+    return text_table(spark, sf_dir, "pages").select("page_id", tx.html_text(F.col("html")).alias("text"))
 
 
 @job(
@@ -125,7 +125,7 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS word FROM documents) GROUP BY word""",
 )
 def word_tokens_2plus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wd.word_counts(table(spark, sf_dir, "documents"), tx.tokens_2plus(F.col("text")))
+    return wd.word_counts(text_table(spark, sf_dir, "documents"), tx.tokens_2plus(F.col("text")))
 
 
 TERMS = f"""toks AS (SELECT doc_id, unnest({TOKENS}) AS word FROM documents),
@@ -137,12 +137,12 @@ terms AS (
 
 @job("vocabulary", f"WITH {TERMS} SELECT word, CAST(n AS BIGINT) AS n, df FROM terms")
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wd.vocabulary(table(spark, sf_dir, "documents"), tx.tokens(F.col("text")), 10_000, 2)
+    return wd.vocabulary(text_table(spark, sf_dir, "documents"), tx.tokens(F.col("text")), 10_000, 2)
 
 
 @job("doc_term_counts", f"WITH {TERMS} SELECT doc_id, word, count FROM bag SEMI JOIN terms USING (word)")
 def doc_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, toks = table(spark, sf_dir, "documents"), tx.tokens(F.col("text"))
+    docs, toks = text_table(spark, sf_dir, "documents"), tx.tokens(F.col("text"))
     return wd.term_counts(docs, "doc_id", toks, wd.vocabulary(docs, toks, 10_000, 2))
 
 
@@ -153,7 +153,7 @@ def doc_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM bag JOIN terms USING (word)""",
 )
 def tfidf_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, toks = table(spark, sf_dir, "documents"), tx.tokens(F.col("text"))
+    docs, toks = text_table(spark, sf_dir, "documents"), tx.tokens(F.col("text"))
     terms = wd.vocabulary(docs, toks, 10_000, 2)
     weights = wd.tf_idf(wd.term_counts(docs, "doc_id", toks, terms), "doc_id", terms, docs)
     return weights.withColumn("tf_idf", F.round("tf_idf", 6))
@@ -290,7 +290,7 @@ QUALIFY row_number() OVER (PARTITION BY text_id ORDER BY score DESC, label) = 1"
 def nb_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents and turns; texts whose entity has no model of its own use the one under ``*``."""
     model = _entity_model(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents").select(
         F.concat(F.lit("d"), "doc_id").alias("text_id"), F.col("source").alias("entity"), "text"
     )
     turns = table(spark, sf_dir, "conversations").select(
