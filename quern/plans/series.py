@@ -204,8 +204,8 @@ def country_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job(
     "trend_by_country",
-    f"""WITH {st.ENERGY} SELECT country, count(*) AS n, round(regr_slope(electricity_demand, year - 1995), 2) AS slope,
-  round(regr_intercept(electricity_demand, year - 1995), 2) AS intercept,
+    f"""WITH {st.ENERGY} SELECT country, count(*) AS n, round(regr_slope(electricity_demand, year - 1995), 4) AS slope,
+  round(regr_intercept(electricity_demand, year - 1995), 4) AS intercept,
   round(regr_r2(electricity_demand, year - 1995), 6) AS r2
 FROM energy WHERE electricity_demand IS NOT NULL GROUP BY country""",
 )
@@ -213,7 +213,7 @@ def trend_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A demand line per country over the years since 1995, all fitted in one aggregate."""
     energy = st.energy(spark, sf_dir).withColumn("since", F.col("year") - 1995)
     fits = rg.ols(energy, "since", "electricity_demand", keys=("country",))
-    return _round(_round(fits.select("country", "n", "slope", "intercept", "r2"), "r2"), "slope", "intercept", digits=2)
+    return _round(_round(fits.select("country", "n", "slope", "intercept", "r2"), "r2"), "slope", "intercept", digits=4)
 
 
 OLS = """f AS (
