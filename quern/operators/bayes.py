@@ -100,15 +100,27 @@ def fit(
     return BayesModel(classes, theta)
 
 
-def with_model(docs: DataFrame, model: BayesModel, entity: Column) -> DataFrame:
+def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFrame:
     """Add ``model_entity``: the lower-cased entity if it has a model, else ``*``."""
-    known = model.classes.select(F.col("entity").alias("model_entity")).distinct()
+    known = model.classes.select("model_entity")
     return lookup_with_default(docs, known, entity, "model_entity", ALL)
 
 
-def word_weights(model: BayesModel) -> DataFrame:
-    """One row per model and word: total count and, per class, what the word adds to the score."""
-    return (
+@dataclass(frozen=True)
+class BayesWeights:
+    """A model laid out for scoring; fill it once and use it for any number of batches.
+
+    ``words``: model_entity, word, n and, per class, what the word adds to the score.
+    ``hot``: the most frequent words, at most HOT_WORDS. ``classes``: one row per model.
+    """
+
+    words: DataFrame
+    hot: DataFrame
+    classes: DataFrame
+
+
+def weights(model: BayesModel) -> BayesWeights:
+    gains = (
         model.theta.join(model.classes.select("entity", "label", "log_default"), ["entity", "label"])
         .groupBy(F.col("entity").alias("model_entity"), "word")
         .agg(
@@ -118,29 +130,25 @@ def word_weights(model: BayesModel) -> DataFrame:
             ).alias("gains"),
         )
     )
-
-
-def class_weights(model: BayesModel) -> DataFrame:
-    """One row per model with its classes."""
-    return model.classes.groupBy(F.col("entity").alias("model_entity")).agg(
+    gains = staged(gains, "bayes-weights")
+    hot = gains.orderBy(F.desc("n"), "model_entity", "word").limit(HOT_WORDS).select("model_entity", "word")
+    classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(
         F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("classes")
     )
+    return BayesWeights(gains, staged(hot, "bayes-hot"), classes)
 
 
-def scores(docs: DataFrame, key: str, words: Column, model: BayesModel) -> DataFrame:
+def scores(docs: DataFrame, key: str, words: Column, model: BayesWeights) -> DataFrame:
     """Per document and class: ``score`` (log joint). ``docs`` has ``model_entity``; ``key`` is unique.
 
     Frequent words are salted in the join; per-document sums start in the map tasks.
     """
     on = ["model_entity", "word"]
-    weights = staged(word_weights(model), "bayes-weights")
-    hot = weights.orderBy(F.desc("n"), *on).limit(HOT_WORDS)
     rows = docs.select(key, "model_entity", F.explode(words).alias("word"))
-    matched = salted_join(rows, weights, on, hot, HOT_WORDS, F.col(key))
+    matched = salted_join(rows, model.words.drop("n"), on, model.hot, HOT_WORDS, F.col(key))
     # The extra entry without a label counts the known words of the document.
-    nothing = F.struct(
-        F.lit(None).cast(model.classes.schema["label"].dataType).alias("label"), F.lit(0.0).alias("gain")
-    )
+    label_type = model.classes.schema["classes"].dataType.elementType["label"].dataType
+    nothing = F.struct(F.lit(None).cast(label_type).alias("label"), F.lit(0.0).alias("gain"))
     gains = (
         matched.select(key, F.explode(F.concat("gains", F.array(nothing))).alias("g"))
         .groupBy(key, F.col("g.label").alias("label"))
@@ -157,7 +165,7 @@ def scores(docs: DataFrame, key: str, words: Column, model: BayesModel) -> DataF
     return (
         docs.select(key, "model_entity")
         .join(gains, key, "left")
-        .join(class_weights(model), "model_entity")
+        .join(model.classes, "model_entity")
         .select(key, "model_entity", known.alias("known"), gain, F.explode("classes").alias("c"))
         .select(
             key,
@@ -172,7 +180,7 @@ def scores(docs: DataFrame, key: str, words: Column, model: BayesModel) -> DataF
     )
 
 
-def classify(docs: DataFrame, key: str, words: Column, model: BayesModel) -> DataFrame:
+def classify(docs: DataFrame, key: str, words: Column, model: BayesWeights) -> DataFrame:
     """``key, model_entity, prediction, score``; equal scores go to the first label."""
     ranked = scores(docs, key, words, model).withColumn("score", F.round("score", 6))
     best = F.min(F.struct((-F.col("score")).alias("loss"), F.col("label")))

@@ -219,7 +219,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1""
 )
 def nb_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, toks = st.books(spark, sf_dir), tx.tokens(F.col("content"))
-    model = nb.fit(docs, toks, "author", smoothing=0.2)
+    model = nb.weights(nb.fit(docs, toks, "author", smoothing=0.2))
     found = nb.classify(docs.withColumn("model_entity", F.lit(nb.ALL)), "doc_id", toks, model)
     return found.drop("model_entity")
 
@@ -289,7 +289,7 @@ QUALIFY row_number() OVER (PARTITION BY text_id ORDER BY score DESC, label) = 1"
 )
 def nb_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents and turns; texts whose entity has no model of its own use the one under ``*``."""
-    model = _entity_model(spark, sf_dir)
+    model = nb.weights(_entity_model(spark, sf_dir))
     docs = text_table(spark, sf_dir, "documents").select(
         F.concat(F.lit("d"), "doc_id").alias("text_id"), F.col("source").alias("entity"), "text"
     )
