@@ -206,7 +206,7 @@ def country_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     "trend_by_country",
     f"""WITH {st.ENERGY} SELECT country, count(*) AS n, round(regr_slope(electricity_demand, year - 1995), 4) AS slope,
   round(regr_intercept(electricity_demand, year - 1995), 4) AS intercept,
-  round(regr_r2(electricity_demand, year - 1995), 6) AS r2
+  CASE WHEN count(*) > 1 THEN round(regr_r2(electricity_demand, year - 1995), 6) END AS r2
 FROM energy WHERE electricity_demand IS NOT NULL GROUP BY country""",
 )
 def trend_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
