@@ -6,10 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def epoch_time(seconds: Column) -> Column:
+    """Zone-less UTC timestamp of seconds since 1970, whatever the session time zone."""
+    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def epoch_text(seconds: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session time zone."""
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.date_format(F.timestamp_add("SECOND", seconds, start), "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss`` in UTC."""
+    return F.date_format(epoch_time(seconds), "yyyy-MM-dd HH:mm:ss")
+
+
+def epoch_day(seconds: Column) -> Column:
+    """The UTC date, by integer arithmetic."""
+    return F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
+
+
+def two_digits(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")
 
 
 def text_parts(datetime_text: Column) -> dict[str, Column]:
@@ -28,12 +41,11 @@ def fractional_year(year: Column, month: Column) -> Column:
 
 
 def year_gap(later: Column, earlier: Column) -> Column:
-    """Difference of two year texts; null when either is not a number."""
+    """Difference of two years (texts or numbers); null when either is not a number."""
     return later.try_cast("int") - earlier.try_cast("int")
 
 
 def utc_epoch(ts: Column) -> Column:
     """Seconds since 1970 of a zone-less timestamp or date, read as UTC."""
-    ts = ts.cast("timestamp_ntz")
-    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return F.unix_date(ts.cast("date")).cast("bigint") * 86400 + clock
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", start, ts.cast("timestamp_ntz"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import WORD_GAPS
+from quern.operators.metrics import class_summary, confusion, per_class
 from quern.operators.words import vocabulary
 
 
@@ -60,6 +61,19 @@ def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.orderBy(F.desc("importance"), "word")
 
 
+def metrics_row(name: str, model: PipelineModel, test: DataFrame) -> DataFrame:
+    """Accuracy, weighted precision and recall and F1 of one data set, from one confusion table."""
+    found = model.transform(test)
+    row = class_summary(per_class(confusion(found, "label", "prediction")))
+    return row.select(
+        F.lit(name).alias("Filename"),
+        F.col("accuracy").alias("Accuracy"),
+        F.col("weighted_precision").alias("Weighted Precision"),
+        F.col("weighted_recall").alias("Weighted Recall"),
+        F.col("weighted_f1").alias("F1 Score"),
+    )
+
+
 def named_predictions(df: DataFrame, labels: list[str], out: str = "predicted") -> DataFrame:
     """Class names for the predicted indices."""
     return IndexToString(inputCol="prediction", outputCol=out, labels=labels).transform(df)

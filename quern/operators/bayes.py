@@ -22,6 +22,9 @@ from quern.sources.staging import staged
 
 ALL = "*"
 HOT_WORDS = 512
+MAX_CLASSES = 200
+# Words times columns of a model that may be broadcast: some 50 MB.
+BROADCAST_CELLS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -57,13 +60,13 @@ def fit(
         rows = rows.join(F.broadcast(terms.select("word")), "word", "left_semi")
     counts = rows.groupBy("entity", "label", "word").agg(F.count("*").alias("n"))
     sizes = docs.groupBy(own.alias("entity"), F.col(label).alias("label")).agg(F.count("*").alias("docs"))
+    counts = staged(counts, "bayes-counts")
     if entity:
-        counts = staged(counts, "bayes-counts")
         pooled = counts.groupBy("label", "word").agg(F.sum("n").alias("n"))
-        counts = counts.unionByName(pooled.withColumn("entity", F.lit(ALL)))
+        pooled = staged(pooled.withColumn("entity", F.lit(ALL)), "bayes-pooled")
+        counts = counts.unionByName(pooled)
         together = sizes.groupBy("label").agg(F.sum("docs").alias("docs"))
         sizes = sizes.unionByName(together.withColumn("entity", F.lit(ALL)))
-    counts = staged(counts, "bayes-counts")
 
     totals = counts.groupBy("entity", "label").agg(F.sum("n").alias("words"))
     breadth = (
@@ -100,81 +103,87 @@ def fit(
     return BayesModel(classes, theta)
 
 
-def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFrame:
-    """Add ``model_entity``: the lower-cased entity if it has a model, else ``*``."""
-    known = model.classes.select("model_entity")
-    return lookup_with_default(docs, known, entity, "model_entity", ALL)
-
-
 @dataclass(frozen=True)
 class BayesWeights:
     """A model laid out for scoring; fill it once and use it for any number of batches.
 
-    ``words``: model_entity, word, n and, per class, what the word adds to the score.
-    ``hot``: the most frequent words, at most HOT_WORDS. ``classes``: one row per model.
+    ``words``: model_entity, word, n and ``gains``, what the word adds to the
+    score of each of ``labels``. ``classes``: one row per model. ``hot``: the
+    most frequent words, at most HOT_WORDS, or None when ``words`` was counted
+    and is small enough to broadcast.
     """
 
     words: DataFrame
-    hot: DataFrame
+    hot: DataFrame | None
     classes: DataFrame
+    labels: tuple
 
 
 def weights(model: BayesModel) -> BayesWeights:
+    """Only the class names (at most MAX_CLASSES) and the number of words reach the driver."""
+    found = model.classes.select("label").distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    labels = tuple(sorted(r.label for r in found))
+    gain = F.col("log_theta") - F.col("log_default")
     gains = (
         model.theta.join(model.classes.select("entity", "label", "log_default"), ["entity", "label"])
         .groupBy(F.col("entity").alias("model_entity"), "word")
         .agg(
             F.sum("n").alias("n"),
-            F.collect_list(
-                F.struct("label", (F.col("log_theta") - F.col("log_default")).alias("gain"))
+            F.array(
+                *[F.coalesce(F.sum(F.when(F.col("label") == y, gain)), F.lit(0.0)) for y in labels]
             ).alias("gains"),
         )
     )
     gains = staged(gains, "bayes-weights")
-    hot = gains.orderBy(F.desc("n"), "model_entity", "word").limit(HOT_WORDS).select("model_entity", "word")
+    hot = None
+    if gains.count() * (len(labels) + 4) > BROADCAST_CELLS:
+        frequent = gains.orderBy(F.desc("n"), "model_entity", "word").limit(HOT_WORDS)
+        hot = staged(frequent.select("model_entity", "word"), "bayes-hot")
     classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(
         F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("classes")
     )
-    return BayesWeights(gains, staged(hot, "bayes-hot"), classes)
+    return BayesWeights(gains, hot, classes, labels)
+
+
+def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFrame:
+    """Add ``model_entity``: the lower-cased entity if it has a model, else ``*``."""
+    known = model.classes.select("model_entity")
+    return lookup_with_default(docs, known, entity, "model_entity", ALL)
 
 
 def scores(docs: DataFrame, key: str, words: Column, model: BayesWeights) -> DataFrame:
     """Per document and class: ``score`` (log joint). ``docs`` has ``model_entity``; ``key`` is unique.
 
-    Frequent words are salted in the join; per-document sums start in the map tasks.
+    A small model is broadcast and every document is summed where it is read.
+    A larger one is joined by word, with frequent words salted.
     """
     on = ["model_entity", "word"]
     rows = docs.select(key, "model_entity", F.explode(words).alias("word"))
-    matched = salted_join(rows, model.words.drop("n"), on, model.hot, HOT_WORDS, F.col(key))
-    # The extra entry without a label counts the known words of the document.
-    label_type = model.classes.schema["classes"].dataType.elementType["label"].dataType
-    nothing = F.struct(F.lit(None).cast(label_type).alias("label"), F.lit(0.0).alias("gain"))
-    gains = (
-        matched.select(key, F.explode(F.concat("gains", F.array(nothing))).alias("g"))
-        .groupBy(key, F.col("g.label").alias("label"))
-        .agg(F.sum("g.gain").alias("gain"), F.count("*").alias("n"))
-        .groupBy(key)
-        .agg(
-            F.max(F.when(F.col("label").isNull(), F.col("n"))).alias("known"),
-            F.map_from_entries(
-                F.filter(F.collect_list(F.struct("label", "gain")), lambda e: e["label"].isNotNull())
-            ).alias("gain"),
-        )
+    table = model.words.drop("n")
+    if model.hot is None:
+        matched = rows.join(F.broadcast(table), on)
+    else:
+        matched = salted_join(rows, table, on, model.hot, HOT_WORDS, F.col(key))
+    sums = matched.groupBy(key).agg(
+        F.count("*").alias("known"),
+        F.array(*[F.sum(F.col("gains")[i]) for i in range(len(model.labels))]).alias("gain"),
     )
-    known, gain = F.coalesce("known", F.lit(0)), F.col("gain")
+    place = F.array_position(F.array(*[F.lit(y) for y in model.labels]), F.col("c.label")).cast("int")
     return (
         docs.select(key, "model_entity")
-        .join(gains, key, "left")
+        .join(sums, key, "left")
         .join(model.classes, "model_entity")
-        .select(key, "model_entity", known.alias("known"), gain, F.explode("classes").alias("c"))
+        .select(key, "model_entity", "known", "gain", F.explode("classes").alias("c"))
         .select(
             key,
             "model_entity",
             F.col("c.label").alias("label"),
             (
                 F.col("c.log_prior")
-                + F.col("known") * F.col("c.log_default")
-                + F.coalesce(F.try_element_at("gain", F.col("c.label")), F.lit(0.0))
+                + F.coalesce("known", F.lit(0)) * F.col("c.log_default")
+                + F.coalesce(F.try_element_at("gain", place), F.lit(0.0))
             ).alias("score"),
         )
     )

@@ -32,12 +32,6 @@ def quantile_slots(df: DataFrame, order_col: str, slots: int = 64) -> DataFrame:
     return cut.transform(work).drop("_order").withColumn(SLOT, F.col(SLOT).cast("int"))
 
 
-def _slotted(df: DataFrame, order_col: str, slot: Column | None, slots: int) -> DataFrame:
-    if slot is not None:
-        return df.withColumn(SLOT, slot)
-    return quantile_slots(df, order_col, slots)
-
-
 def positions(
     df: DataFrame,
     order_col: str,
@@ -54,26 +48,25 @@ def positions(
     rows of the key. The join with the slot totals and the numbering inside a
     slot use the same partitioning, so the rows are shuffled once.
     """
-    marked = _slotted(df, order_col, slot, slots)
-    sizes = marked.groupBy(*keys, SLOT).agg(F.count("*").alias("_n"))
+    marked = df.withColumn(SLOT, slot) if slot is not None else quantile_slots(df, order_col, slots)
+    # A struct is never null itself: rows whose key or order is null keep their group.
+    marked = marked.withColumn("_group", F.struct(*keys, SLOT)).drop(SLOT)
+    sizes = marked.groupBy("_group").agg(F.count("*").alias("_n"))
     # At most one row per key and slot: the window below never sees the data itself.
-    per_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    before = per_key.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    per_key = Window.partitionBy(*[F.col("_group")[k] for k in keys]) if keys else Window.partitionBy(F.lit(0))
+    before = per_key.orderBy(F.col("_group")[SLOT]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *keys,
-        SLOT,
+        "_group",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(per_key).alias("_total"),
     )
     if not keys and slot is None:
         offsets = F.broadcast(offsets)  # no more rows than quantile slots
-    inside = Window.partitionBy(*keys, SLOT).orderBy(order_col)
-    out = marked.join(offsets, [*keys, SLOT]).withColumn(
-        name, F.col("_before") + F.row_number().over(inside)
-    )
+    inside = Window.partitionBy("_group").orderBy(order_col)
+    out = marked.join(offsets, "_group").withColumn(name, F.col("_before") + F.row_number().over(inside))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop(SLOT, "_before", "_total")
+    return out.drop("_group", "_before", "_total")
 
 
 def running_totals(

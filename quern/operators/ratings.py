@@ -78,9 +78,12 @@ def user_scatter(users: DataFrame, ratings: DataFrame) -> DataFrame:
 
 
 def monthly_counts(ratings: DataFrame) -> DataFrame:
-    """Ratings per year and month (both as text)."""
-    parts = tm.text_parts(tm.epoch_text(F.col("timestamp")))
-    return ratings.groupBy(parts["year"].alias("year"), parts["month"].alias("month")).count()
+    """Ratings per year and month (both as text, written after counting)."""
+    day = tm.epoch_day(F.col("timestamp"))
+    counts = ratings.groupBy(F.year(day).alias("y"), F.month(day).alias("m")).count()
+    return counts.select(
+        F.col("y").cast("string").alias("year"), tm.two_digits(F.col("m")).alias("month"), "count"
+    )
 
 
 def release_lags(movies: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -88,7 +91,7 @@ def release_lags(movies: DataFrame, ratings: DataFrame) -> DataFrame:
 
     Counted per movie and rating year first, then joined with the release year.
     """
-    year = tx.leading_year(tm.epoch_text(F.col("timestamp")))
+    year = F.year(tm.epoch_day(F.col("timestamp")))
     yearly = ratings.groupBy("movie_id", year.alias("rating_year")).agg(F.count("*").alias("_n"))
     lag = tm.year_gap(F.col("rating_year"), F.col("year"))
     return (
@@ -111,7 +114,7 @@ def known_lags(lags: DataFrame) -> DataFrame:
 
 def rated_lags(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     """One row per rating with its release lag."""
-    year = tx.leading_year(tm.epoch_text(F.col("timestamp")))
+    year = F.year(tm.epoch_day(F.col("timestamp")))
     joined = movies.select("movie_id", "year").join(ratings.withColumn("_y", year), "movie_id")
     return joined.withColumn("release_to_rating_year", tm.year_gap(F.col("_y"), F.col("year"))).drop("_y")
 

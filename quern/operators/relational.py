@@ -66,20 +66,23 @@ def ordered_text(
     ``part`` in order; their concatenation is the whole text. Each part covers
     ``max_rows`` consecutive numbers, so no group is larger than that.
     """
+    # A struct is never null itself, so texts without a key stay too.
+    keyed = df.withColumn("_key", F.struct(*keys))
     crowded = (
-        df.groupBy(*keys)
+        keyed.groupBy("_key")
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > max_rows)
-        .select(*keys, F.lit(True).alias("_crowded"))
+        .select("_key", F.lit(True).alias("_crowded"))
     )
     part = F.when(F.col("_crowded"), F.floor(F.col(order_col) / max_rows)).otherwise(F.lit(0))
     glued = F.expr(
         f"listagg(`{text_col}`, {_literal(separator)}) WITHIN GROUP (ORDER BY `{order_col}`)"
     )
     return (
-        df.join(crowded, keys, "left")
-        .groupBy(*keys, part.cast("bigint").alias("part"))
+        keyed.join(crowded, "_key", "left")
+        .groupBy("_key", part.cast("bigint").alias("part"))
         .agg(glued.alias(name))
+        .select(*[F.col("_key")[k].alias(k) for k in keys], "part", name)
     )
 
 

@@ -13,6 +13,7 @@ from quern.operators.circle import circle_share, even_points, hash_points
 from quern.operators.relational import top, union_all
 from quern.plans import standins as st
 from quern.plans.registry import job
+from quern.sources.staging import staged
 from quern.sources.tables import table, text_table
 
 # Language guessed from one frequent short word: predictions for the class metrics.
@@ -256,7 +257,7 @@ RULES = {"long": "n_chars > 500", "wordy": "n_words > 60", "any": "n_chars > 0"}
 @job("union_metrics", f"WITH {st.EXAM} " + " UNION ALL ".join(_metric_row(n, c) for n, c in RULES.items()))
 def union_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metrics row per rule, under each other."""
-    exam = st.exam(spark, sf_dir)
+    exam = staged(st.exam(spark, sf_dir), "exam")
     rows = []
     for name, condition in RULES.items():
         called = exam.withColumn("called", F.expr(f"int({condition})"))

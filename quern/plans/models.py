@@ -59,7 +59,8 @@ UNION ALL SELECT 'intercept', round(a, 6), round(a_se, 6), round(a / a_se, 4) FR
 )
 def ols_mllib(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normal-equation fit with standard errors and t values."""
-    fit = ln.ols_summary(st.exam(spark, sf_dir), ["n_words"], "n_chars").drop("p")
+    exam = staged(st.exam(spark, sf_dir).select("n_words", "n_chars"), "exam")
+    fit = ln.ols_summary(exam, ["n_words"], "n_chars").drop("p")
     return _rounded(_rounded(fit, "coefficient", "se"), "t", digits=4)
 
 
@@ -378,3 +379,20 @@ def cv_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     judge = MulticlassClassificationEvaluator(metricName="f1")
     model = tu.cross_validate(pipeline, maps, judge, rows, folds=3, fold_col="fold")
     return tu.grid_table(rows, model, maps)
+
+
+@job("author_metrics_union")
+def author_metrics_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same naive Bayes pipeline trained and tested on two data sets, their metrics under each other."""
+    books = st.books(spark, sf_dir).select(
+        "doc_id", "author", "work", tx.tokens(F.col("content")).alias("words"),
+        sp.split_column("doc_id", {"train": 0.8, "test": 0.2}, seed=1).alias("part"),
+    )
+    books = staged(books, "book-words")
+    rows = []
+    for name, target in (("authors", "author"), ("works", "work")):
+        bag = CountVectorizer(inputCol="words", outputCol="features", vocabSize=10_000, minDF=2)
+        indexer = au.label_indexer(target).setHandleInvalid("skip")
+        model = Pipeline(stages=[bag, indexer, au.naive_bayes(0.2)]).fit(books.where("part = 'train'"))
+        rows.append(au.metrics_row(name, model, books.where("part = 'test'")))
+    return union_all(rows)

@@ -13,6 +13,7 @@ from quern.operators import relational as rel
 from quern.operators.stats import histogram
 from quern.plans import standins as st
 from quern.plans.registry import job
+from quern.sources.staging import staged
 from quern.sources.tables import register, table
 
 GENRE_STATS = f"""{st.MOVIES}, {st.RATINGS}, genre_ratings AS (
@@ -82,7 +83,8 @@ FROM stats, ends GROUP BY ALL""",
 def average_rating_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """50 equal bins over the average ratings of all titles."""
     stats = rt.title_stats(st.parsed_movies(spark, sf_dir), st.ratings(spark, sf_dir))
-    hist = histogram(_rounded(stats).where("rating_cnt >= 0"), "avg_rating", 50)
+    stats = staged(_rounded(stats).where("rating_cnt >= 0").select("avg_rating"), "averages")
+    hist = histogram(stats, "avg_rating", 50)
     return hist.select("bin", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), "count")
 
 
@@ -176,6 +178,7 @@ SELECT CAST(least(floor((release_to_rating_year - lo) / ((hi - lo) / 50.0)), 49)
 def weighted_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """50 equal bins over the lag years, each lag weighted by its number of ratings."""
     lags = rt.known_lags(rt.release_lags(st.parsed_movies(spark, sf_dir), st.ratings(spark, sf_dir)))
+    lags = staged(lags, "lags")  # one row per lag, read twice below
     hist = histogram(lags, "release_to_rating_year", 50, weight="count")
     return hist.select("bin", F.col("weight").cast("bigint").alias("weight"))
 
@@ -276,3 +279,14 @@ def user_rating_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     partial = orders.join(per_order, "o_orderkey")
     return _rounded(rt.user_scatter(st.users(spark, sf_dir), partial)).orderBy(F.desc("avg_rating"), "email")
+
+
+@job(
+    "user_tags_sql",
+    f"""WITH {st.USERS} SELECT email, o_orderkey AS tag_id, o_orderpriority AS tag
+FROM users JOIN orders ON user_id = o_custkey""",
+)
+def user_tags_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and tags joined in SQL text over registered views, each column once."""
+    register({"user_table": st.users(spark, sf_dir), "tag_table": st.tags(spark, sf_dir)})
+    return spark.sql("SELECT u.email, t.tag_id, t.tag FROM user_table u JOIN tag_table t ON u.user_id = t.user_id")

@@ -15,6 +15,7 @@ from quern.operators.prefix import positions
 from quern.plans import standins as st
 from quern.plans.registry import job
 from quern.sources import ranges
+from quern.sources.staging import staged
 from quern.sources.tables import table
 
 # The periods of the sine and cosine features, in days.
@@ -276,7 +277,8 @@ def _rounded_metrics(df: DataFrame) -> DataFrame:
 SELECT count(*) AS n, {METRICS.format(y="n_chars", p="(a + b * n_words)")} FROM exam, f""",
 )
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted = rg.with_fit(st.exam(spark, sf_dir), "n_words", "n_chars")
+    exam = staged(st.exam(spark, sf_dir).select("n_words", "n_chars"), "exam")
+    fitted = rg.with_fit(exam, "n_words", "n_chars")
     return _rounded_metrics(mt.regression_metrics(fitted, "n_chars", "prediction"))
 
 

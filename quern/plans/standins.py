@@ -201,6 +201,15 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id")
 
 
+def tweet_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, entity, sentiment, word_count: texts become numbers before they meet the labels."""
+    docs = text_table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("entity"), F.size(tx.words(F.col("text"))).alias("word_count")
+    )
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("sentiment"))
+    return docs.join(labels, "doc_id").select("doc_id", "entity", "sentiment", "word_count")
+
+
 TWEETS = """tweets AS (
   SELECT doc_id, source AS entity, quality AS sentiment, text
   FROM documents JOIN labels USING (doc_id))"""

@@ -48,7 +48,7 @@ def entity_sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM tweets GROUP BY ALL""",
 )
 def words_by_entity_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = st.tweets(spark, sf_dir).withColumn("word_count", F.size(tx.words(F.col("text"))))
+    counted = st.tweet_lengths(spark, sf_dir)
     return counted.groupBy("entity", "sentiment").agg(F.sum("word_count").alias("word_count"))
 
 
@@ -57,13 +57,12 @@ def words_by_entity_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {st.TWEETS} SELECT doc_id, entity, sentiment, len({WORDS})::INT AS word_count FROM tweets WHERE entity = 'src3'",
 )
 def entity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = st.tweets(spark, sf_dir).where(F.col("entity") == "src3")
-    return found.select("doc_id", "entity", "sentiment", F.size(tx.words(F.col("text"))).alias("word_count"))
+    return st.tweet_lengths(spark, sf_dir).where(F.col("entity") == "src3")
 
 
 @job("word_explode", f"SELECT unnest({WORDS}) AS word FROM conversations")
 def word_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wd.explode_words(table(spark, sf_dir, "conversations"), tx.words(F.col("text")))
+    return wd.explode_words(text_table(spark, sf_dir, "conversations"), tx.words(F.col("text")))
 
 
 @job(
@@ -72,7 +71,7 @@ def word_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM conversations""",
 )
 def explode_keep_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").withColumn("n_chars", F.length("text"))
+    turns = text_table(spark, sf_dir, "conversations").withColumn("n_chars", F.length("text"))
     return wd.explode_words(turns, tx.words(F.col("text")), ["conv_id", "turn", "role", "n_chars"])
 
 
@@ -293,7 +292,7 @@ def nb_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = text_table(spark, sf_dir, "documents").select(
         F.concat(F.lit("d"), "doc_id").alias("text_id"), F.col("source").alias("entity"), "text"
     )
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = text_table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), "conv_id", F.lit("/"), "turn").alias("text_id"), F.col("role").alias("entity"), "text"
     )
     asked = nb.with_model(docs.unionByName(turns), model, F.col("entity"))

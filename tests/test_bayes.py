@@ -47,7 +47,9 @@ def test_known_probabilities(spark, corpus):
     assert default["Ala"] == pytest.approx(0.000830, abs=1e-6)
 
 
-def test_scores_equal_mllib(spark, corpus):
+@pytest.mark.parametrize("cells", [0, nb.BROADCAST_CELLS])
+def test_scores_equal_mllib(spark, corpus, cells, monkeypatch):
+    monkeypatch.setattr(nb, "BROADCAST_CELLS", cells)
     words = WORDS(F.col("content"))
     probe = spark.createDataFrame(
         [(1, "aaa ccc ccc ddd eee"), (2, "bbb unseen"), (3, "unseen"), (4, ""), (5, "aaa aaa aaa")],
@@ -78,7 +80,9 @@ def test_equal_scores_go_to_the_first_label(spark):
     assert {r.prediction for r in found} == {"a"}
 
 
-def test_entity_models_and_fallback(spark):
+@pytest.mark.parametrize("cells", [0, nb.BROADCAST_CELLS])
+def test_entity_models_and_fallback(spark, cells, monkeypatch):
+    monkeypatch.setattr(nb, "BROADCAST_CELLS", cells)
     rows = [
         ("Nvidia", "pos", "fast card"), ("Nvidia", "neg", "hot card"),
         ("Cola", "pos", "hot drink"), ("Cola", "neg", "flat drink"), ("Cola", "neg", "flat"),

@@ -51,6 +51,13 @@ def test_positions_with_a_hot_key(spark):
     assert (out["n"] == out.groupby("k")["id"].transform("size")).all()
 
 
+def test_positions_keep_rows_without_key_or_slot(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", None), ("a", 5)], "k STRING, t INT")
+    out = px.positions(df, "t", ("k",), slot=F.floor(F.col("t") / 2)).collect()
+    assert {(r.k, r.t): r.position for r in out} == {(None, 1): 1, (None, 3): 2, ("a", None): 1, ("a", 5): 2}
+    assert px.positions(df.select("t"), "t").count() == 4
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals(spark, descending):
     rng = np.random.default_rng(1)
@@ -207,6 +214,11 @@ def test_ordered_text_parts_of_a_crowded_key(spark):
     assert "\n".join(r.text for r in out[1:]) == "\n".join(f"w{i}" for i in range(25))
 
 
+def test_ordered_text_keeps_texts_without_a_key(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b")], "k STRING, seq BIGINT, word STRING")
+    assert [tuple(r) for r in rel.ordered_text(df, ["k"], "seq", "word", " ", "text").collect()] == [(None, 0, "a b")]
+
+
 def test_ordered_text_quotes_the_separator(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b")], "k STRING, seq BIGINT, word STRING")
     assert rel.ordered_text(df, ["k"], "seq", "word", "'\\", "text").first().text == "a'\\b"
