@@ -10,18 +10,26 @@ from quantiles of the order column.
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOT = "_slot"
+MAX_SLOTS = 4096
 
 
-def quantile_slots(df: DataFrame, order_col: str, slots: int = 64) -> DataFrame:
+def default_slots(spark: SparkSession) -> int:
+    """Four slots per shuffle partition, so that they grow with the cluster; 64 to MAX_SLOTS."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_SLOTS, max(64, 4 * partitions))
+
+
+def quantile_slots(df: DataFrame, order_col: str, slots: int | None = None) -> DataFrame:
     """Add a slot number with about 1/slots of the rows each.
 
-    Only the cut points (at most ``slots`` numbers) reach the driver. They are
+    Only the cut points (at most MAX_SLOTS numbers) reach the driver. They are
     constants of the plan, so recomputed tasks see the same slots.
     """
+    slots = min(slots or default_slots(df.sparkSession), MAX_SLOTS)
     work = df.withColumn("_order", F.col(order_col).cast("double"))
     cuts = work.approxQuantile("_order", [i / slots for i in range(1, slots)], 1.0 / (4 * slots))
     inner = sorted(set(cuts))
@@ -38,7 +46,7 @@ def positions(
     keys: tuple[str, ...] = (),
     *,
     slot: Column | None = None,
-    slots: int = 64,
+    slots: int | None = None,
     name: str = "position",
     total: str | None = None,
 ) -> DataFrame:
@@ -75,7 +83,7 @@ def running_totals(
     columns: dict[str, str],
     *,
     descending: bool = False,
-    slots: int = 64,
+    slots: int | None = None,
 ) -> DataFrame:
     """Running sums of ``columns`` (source -> new name) by a unique ``order_col``.
 

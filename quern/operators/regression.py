@@ -73,16 +73,18 @@ def ols(df: DataFrame, x: str, y: str, keys: tuple[str, ...] = ()) -> DataFrame:
 
 def limit_lines(df: DataFrame, x: str, y: str, points: int = 100, keys: tuple[str, ...] = ()) -> DataFrame:
     """The lines of the lower and of the upper coefficient limits over an even grid of x."""
-    join_keys = list(keys) or ["_all"]
+    limits = ["slope_lo", "slope_hi", "intercept_lo", "intercept_hi"]
     fit, grid = ols(df, x, y, keys), even_grid(df, x, points, keys=keys)
-    if not keys:
-        fit, grid = F.broadcast(fit.withColumn("_all", F.lit(1))), grid.withColumn("_all", F.lit(1))
-    return grid.join(fit, join_keys).select(
+    if keys:
+        both = grid.join(fit.select(*keys, F.struct(*limits).alias("_fit")), list(keys))
+    else:
+        both = grid.withColumn("_fit", fit.select(F.struct(*limits).alias("fit")).scalar())
+    return both.select(
         *keys,
         "point",
         x,
-        (F.col("intercept_lo") + F.col("slope_lo") * F.col(x)).alias("lower"),
-        (F.col("intercept_hi") + F.col("slope_hi") * F.col(x)).alias("upper"),
+        (F.col("_fit.intercept_lo") + F.col("_fit.slope_lo") * F.col(x)).alias("lower"),
+        (F.col("_fit.intercept_hi") + F.col("_fit.slope_hi") * F.col(x)).alias("upper"),
     )
 
 
