@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.sources.staging import staged
+
 
 def explode_words(df: DataFrame, words: Column, keep: list[str] | None = None) -> DataFrame:
     """One row per word; ``keep`` lists the parent columns to repeat (default: none)."""
@@ -50,6 +52,22 @@ def term_counts(df: DataFrame, key: str, words: Column, terms: DataFrame | None
     return rows.groupBy(key, "word").agg(F.count("*").alias("count"))
 
 
+def vocabulary_of(counts: DataFrame, size: int, min_df: int = 1) -> DataFrame:
+    """The vocabulary of a whole bag (``key, word, count``): word, n, df."""
+    words = counts.groupBy("word").agg(F.sum("count").alias("n"), F.count("*").alias("df"))
+    return words.where(F.col("df") >= min_df).orderBy(F.desc("n"), "word").limit(size)
+
+
+def bag_of(df: DataFrame, key: str, words: Column, size: int, min_df: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The bag restricted to its vocabulary, and the vocabulary (which is of limited size).
+
+    The whole bag is written once: the texts are tokenised once for both.
+    """
+    counts = staged(term_counts(df, key, words), "bag")
+    terms = vocabulary_of(counts, size, min_df)
+    return counts.join(F.broadcast(terms.select("word")), "word", "left_semi").select(key, "word", "count"), terms
+
+
 def tf_idf(counts: DataFrame, key: str, terms: DataFrame, documents: DataFrame) -> DataFrame:
     """count * ln((N + 1) / (df + 1)); ``terms`` is a vocabulary of limited size with ``df``."""
     n = documents.agg(F.count("*").alias("n")).scalar()

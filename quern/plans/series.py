@@ -341,7 +341,8 @@ SELECT fold, count(*) AS n, round(any_value(b), 6) AS slope, round(any_value(a),
 )
 def fold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-fold cross-validation of a line from one aggregate per fold."""
-    folded = sp.plain_folds(st.days(spark, sf_dir), "instant", 5)
+    days = staged(st.days(spark, sf_dir).select("instant", "temp", "cnt"), "days")
+    folded = sp.plain_folds(days, "instant", 5)
     return _round(rg.fold_lines(folded, "temp", "cnt", "fold"), "slope", "intercept", "rmse")
 
 

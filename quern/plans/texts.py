@@ -141,8 +141,9 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job("doc_term_counts", f"WITH {TERMS} SELECT doc_id, word, count FROM bag SEMI JOIN terms USING (word)")
 def doc_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, toks = text_table(spark, sf_dir, "documents"), tx.tokens(F.col("text"))
-    return wd.term_counts(docs, "doc_id", toks, wd.vocabulary(docs, toks, 10_000, 2))
+    docs = text_table(spark, sf_dir, "documents")
+    bag, _ = wd.bag_of(docs, "doc_id", tx.tokens(F.col("text")), 10_000, 2)
+    return bag
 
 
 @job(
@@ -152,9 +153,9 @@ def doc_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM bag JOIN terms USING (word)""",
 )
 def tfidf_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, toks = text_table(spark, sf_dir, "documents"), tx.tokens(F.col("text"))
-    terms = wd.vocabulary(docs, toks, 10_000, 2)
-    weights = wd.tf_idf(wd.term_counts(docs, "doc_id", toks, terms), "doc_id", terms, docs)
+    docs = text_table(spark, sf_dir, "documents")
+    bag, terms = wd.bag_of(docs, "doc_id", tx.tokens(F.col("text")), 10_000, 2)
+    weights = wd.tf_idf(bag, "doc_id", terms, docs)
     return weights.withColumn("tf_idf", F.round("tf_idf", 6))
 
 

@@ -231,6 +231,9 @@ def test_vocabulary_and_bags(spark):
     assert [tuple(r) for r in terms.collect()] == [("a", 3, 2), ("b", 3, 3)]
     bag = {(r.id, r.word): r["count"] for r in wd.term_counts(df, "id", words, terms).collect()}
     assert bag == {(1, "a"): 2, (1, "b"): 1, (2, "b"): 1, (3, "a"): 1, (3, "b"): 1}
+    same, same_terms = wd.bag_of(df, "id", words, 2, min_df=2)
+    assert {(r.id, r.word): r["count"] for r in same.collect()} == bag
+    assert [tuple(r) for r in same_terms.collect()] == [("a", 3, 2), ("b", 3, 3)]
 
 
 def test_distinct_values_refuses_too_many(spark):
