@@ -16,7 +16,8 @@ HTML_MARKUP = (
     r"(?is)<!--.*?(?:-->|\z)"
     r"|<script\b.*?(?:</script\s*>|\z)"
     r"|<style\b.*?(?:</style\s*>|\z)"
-    r"""|</?[a-z][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+    # possessive: any number of quoted attributes without recursion
+    r"""|</?[a-z][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*+>"""
     r"|<[/a-z!?][^>]*>"
 )
 HTML_SIGNS = r"""[#",!?;-<>/\\*&-]"""

@@ -62,6 +62,11 @@ def test_html_unclosed_script_and_comment(spark):
     assert values(spark, ["a<script>b", "a<!-- b", "a<br/>b<p"], tx.html_words) == [["a"], ["a"], ["a", "b", "p"]]
 
 
+def test_html_with_very_many_attributes_or_very_long_parts(spark):
+    html = "<p " + 'a="b>c" ' * 30_000 + ">x<!--" + "-" * 200_000 + "-->y<script>" + "<" * 200_000 + "</script>z <a b='c>d"
+    assert values(spark, [html], tx.html_words) == [["x", "y", "z", "d"]]
+
+
 def test_html_text_decodes_once(spark):
     assert values(spark, ["&amp;lt; &quot;x&quot; &copy; &unknown;"], tx.html_text) == ['&lt; "x" © &unknown;']
 
