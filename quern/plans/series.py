@@ -205,8 +205,9 @@ def country_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job(
     "trend_by_country",
-    f"""WITH {st.ENERGY} SELECT country, count(*) AS n, round(regr_slope(electricity_demand, year - 1995), 4) AS slope,
-  round(regr_intercept(electricity_demand, year - 1995), 4) AS intercept,
+    f"""WITH {st.ENERGY} SELECT country, count(*) AS n,
+  CASE WHEN count(*) > 1 THEN round(regr_slope(electricity_demand, year - 1995), 4) END AS slope,
+  CASE WHEN count(*) > 1 THEN round(regr_intercept(electricity_demand, year - 1995), 4) END AS intercept,
   CASE WHEN count(*) > 1 THEN round(regr_r2(electricity_demand, year - 1995), 6) END AS r2
 FROM energy WHERE electricity_demand IS NOT NULL GROUP BY country""",
 )
