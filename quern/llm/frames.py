@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = S
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
         start = total = 0
         for row, size in enumerate(sizes):
             if row > start and total + size > chars:

@@ -6,7 +6,7 @@ WITH doc AS (
     SELECT row_number() OVER () AS row_id, doc_id, lang, source, coalesce(text, '') AS text FROM documents
 ), cut AS (
     SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-           list_filter(string_split(text, chr(10)), x -> trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '') AS lines
+           [x FOR x IN string_split(text, chr(10)) IF trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''] AS lines
     FROM doc
 ), windows AS (
     SELECT row_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
