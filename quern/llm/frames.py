@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Text handled at once inside a task, in characters: a batch of longer texts is cut between rows.
 SLICE_CHARS = 4_000_000
@@ -37,3 +38,34 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = S
                 start, total = row, 0
             total += size
         yield batch.slice(start)
+
+
+def map_texts(docs: DataFrame, text_col: str, fn: Callable[[list[str]], list[pa.Array]], fields: str) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside the columns ``fields`` that ``fn`` makes of each slice of texts.
+
+    Null texts come as empty ones. Whatever the columns of ``docs`` are called, nothing clashes; rows neither move
+    between tasks nor change.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([whole.schema["row"], *T.StructType.fromDDL(fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *fn(texts)], names=schema.names)
+
+    return whole.mapInArrow(run, schema)
+
+
+def sampled_rows(rows: DataFrame, label_col: str, id_col: str, per_label: int) -> DataFrame:
+    """About ``per_label`` rows of each label at most, chosen by a hash of the id; the same rows on any layout.
+
+    Rows per label are counted over all rows; the share of a label that is kept follows from its count, so the
+    expected size of the sample is bounded by ``per_label`` times the number of labels.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
+    share = F.lit(0.0)
+    for label, n in counts.items():
+        share = F.when(F.col(label_col).eqNullSafe(F.lit(label)), F.lit(min(1.0, per_label / n))).otherwise(share)
+    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.where(draw < share)

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, packing, quality
+from quern.llm import byte_bpe, language, packing, quality, toxicity
+from quern.llm.frames import id_remainder
 from quern.llm.twins import QUALITY
 from quern.sources.tables import table
 
@@ -36,6 +37,26 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op5_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    told = toxicity.score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return told.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op6_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the rows that have one."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = language.fit(docs.where(~held_out))
+    told = language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return told.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 @query("op8_byte_bpe")
 def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, with digests of the ids and of the bytes."""
