@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 # Text handled at once inside a task, in characters: a batch of longer texts is cut between rows.
 SLICE_CHARS = 4_000_000
@@ -69,3 +71,25 @@ def sampled_rows(rows: DataFrame, label_col: str, id_col: str, per_label: int) -
         share = F.when(F.col(label_col).eqNullSafe(F.lit(label)), F.lit(min(1.0, per_label / n))).otherwise(share)
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rows.where(draw < share)
+
+
+def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words between ASCII blanks -> (distinct words, number of each word in that list, words of each text).
+
+    ``lower`` turns A-Z into a-z, nothing else.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(lists)
+    empty = pc.equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    if empty.any():
+        owner = np.repeat(np.arange(len(counts)), counts)
+        counts -= np.bincount(owner[empty], minlength=len(counts))
+        flat = flat.filter(pa.array(~empty))
+    coded = flat.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), counts
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of every word."""
+    return np.array([xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()], np.uint64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, language, packing, quality, toxicity
+from quern.llm import byte_bpe, language, main_text, packing, quality, toxicity
 from quern.llm.frames import id_remainder
 from quern.llm.twins import QUALITY
 from quern.sources.tables import table
@@ -37,6 +37,12 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op4_main_text")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op5_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document, learned from four fifths of the labelled ones."""
