@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, language, main_text, packing, quality, toxicity
+from quern.llm import byte_bpe, language, main_text, ngram_lm, packing, quality, toxicity
 from quern.llm.frames import id_remainder
 from quern.llm.twins import QUALITY
 from quern.sources.tables import table
@@ -69,6 +69,15 @@ def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS)
 
 
+@query("op9_ngram_lm")
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 7) == 2
+    told = ngram_lm.score_corpus(docs, ~held_out)
+    return told.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op10_packing")
 def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into sequences of a power of two, at most 1024 ids."""
