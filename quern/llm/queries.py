@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, language, main_text, ngram_lm, packing, quality, toxicity
+from quern.llm import byte_bpe, jaccard_join, language, main_text, ngram_lm, packing, quality, toxicity
 from quern.llm.frames import id_remainder
 from quern.llm.twins import QUALITY
 from quern.sources.tables import table
@@ -63,6 +63,12 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+@query("op7_jaccard_join")
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with near-equal shingle sets."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op8_byte_bpe")
 def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, with digests of the ids and of the bytes."""
