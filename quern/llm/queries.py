@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, jaccard_join, language, main_text, ngram_lm, packing, quality, toxicity
+from quern.llm import byte_bpe, jaccard_join, language, main_text, ngram_lm, packing, quality, substrings, toxicity
 from quern.llm.frames import id_remainder
 from quern.llm.twins import QUALITY
 from quern.sources.tables import table
@@ -30,6 +30,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_substring_dedup")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier one has."""
+    told = substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["length"])
+    return told.select("row.doc_id", F.col("kept").alias("text"), removed.alias("n_removed"), "spans")
+
+
 @query("op3_quality_rules", QUALITY)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
