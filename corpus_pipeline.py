@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import quality
+from quern.llm import jaccard_join, language, quality, substrings
 from quern.llm.queries import packed
 from quern.sources.staging import staged
 from quern.sources.tables import table
@@ -19,6 +20,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are like no language of the documents' own ``lang`` column go."""
+    told = language.identify(docs, language.fit(docs))
+    return told.where("not rejected").select("row.*")
+
+
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has go; ``n_chars`` follows the text."""
+    told = substrings.without_repeats(docs)
+    rest = [F.col("row")[c].alias(c) for c in docs.columns]
+    return told.select(*rest, F.col("kept")).select(
+        *[F.col("kept").alias(c) if c == "text" else F.length("kept").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    )
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document cut into sequences of a power of two."""
     return packed(docs)
@@ -26,6 +47,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("n-gram Jaccard join", jaccard),
+    ("substring dedup", substring_dedup),
     ("packing", packing),
 ]
 

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, jaccard_join, language, main_text, ngram_lm, packing, quality, substrings, toxicity
+from quern.llm import byte_bpe, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, toxicity
 from quern.llm.frames import id_remainder
-from quern.llm.twins import QUALITY
+from quern.llm.twins import QUALITY, VECTORS
 from quern.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("row.doc_id", F.col("kept").alias("text"), removed.alias("n_removed"), "spans")
 
 
+@query("op2_near_vectors", VECTORS)
+def near_vector_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a label with a cosine of 0.98 or more."""
+    return near_vectors.near_classes(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_quality_rules", QUALITY)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""

@@ -63,3 +63,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND row_id NOT IN (SELECT row_id FROM outside) AS kept
 FROM failed
 """
+
+VECTORS = r"""
+WITH RECURSIVE ready AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM ready a JOIN ready b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+    SELECT DISTINCT a, a AS b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), linked AS (
+    SELECT a, count(*) AS n_links FROM link GROUP BY a
+), least AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN linked ON vec_id = linked.a LEFT JOIN least ON vec_id = least.a
+"""
