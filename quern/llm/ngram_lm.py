@@ -32,10 +32,11 @@ from xxhash import xxh3_64_intdigest
 
 from quern.llm.elias_fano import MonotoneSequence, mapped
 from quern.llm.frames import split_words, word_hashes
+from quern.llm.packed import packed, unpacked
 from quern.sources.staging import staged
 
-CHUNK_BYTES = 16 << 20
-SHARD_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+SHARD_BYTES = 12 << 20
 SAMPLE_BYTES = 40 << 20
 SAMPLE_PART = 1e-4
 # Hashes of the marks around a text: the largest ones, so that they come last in any order by hash.
@@ -45,29 +46,6 @@ STEPS = 8
 HALF, THIRD = np.uint64(32), np.uint64(24)
 
 
-# -- arrays as bytes ---------------------------------------------------------------------------------------------------
-
-
-def packed(arrays: list[np.ndarray]) -> bytes:
-    """Arrays of unsigned numbers as bytes: equal bytes of neighbours side by side, then compressed."""
-    head = np.array([x for a in arrays for x in (a.itemsize, len(a))], np.uint64).tobytes()
-    planes = b"".join(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T).tobytes() for a in arrays)
-    raw = len(arrays).to_bytes(8, "little") + head + planes
-    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
-
-
-def unpacked(data: bytes) -> list[np.ndarray]:
-    raw = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
-    count = int.from_bytes(raw[:8], "little")
-    head = np.frombuffer(raw, np.uint64, 2 * count, 8).astype(int)
-    place, out = 8 + 16 * count, []
-    for size, n in zip(head[::2], head[1::2], strict=True):
-        planes = np.frombuffer(raw, np.uint8, size * n, place).reshape(size, n)
-        out.append(np.ascontiguousarray(planes.T).view(f"<u{size}").ravel() if n else np.empty(0, f"<u{size}"))
-        place += size * n
-    return out
-
-
 # -- where paths go ----------------------------------------------------------------------------------------------------
 
 
@@ -181,8 +159,8 @@ class Paths:
         first, second = (distinct >> HALF).astype(np.int64), (distinct & np.uint64(2**32 - 1)).astype(np.int64)
         keys = plan.entry_keys(self.hash_of[first], self.hash_of[second])
         order = np.argsort(keys, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         self.pair = rank[place]
         keys, self.first = keys[order], first[order]
         self.pair_key = (self.hash_of[second[order]] >> HALF).astype(np.uint32)
@@ -192,7 +170,8 @@ class Paths:
         self.entry_key, self.entry_word = keys[new], self.first[new]
         self.longer = np.flatnonzero(x[self.at + 1] != end)
         path = (self.pair[self.longer].astype(np.uint64) << HALF) | x[self.at[self.longer] + 2]
-        distinct, self.triple = np.unique(path, return_inverse=True)
+        distinct, triple = np.unique(path, return_inverse=True)
+        self.triple = triple.astype(np.int32)
         self.triple_pair = (distinct >> HALF).astype(np.int64)
         self.triple_key = (self.hash_of[(distinct & np.uint64(2**32 - 1)).astype(np.int64)] >> np.uint64(40)).astype(np.uint32)
         self.shard = plan.shard(self.entry_key)
