@@ -17,14 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.operators.relational import lookup_with_default
-from quern.operators.skew import salted_join
+from quern.operators.skew import hot_keys, salted_join
 from quern.sources.staging import staged
 
 ALL = "*"
-HOT_WORDS = 512
-MAX_CLASSES = 200
-# Words times columns of a model that may be broadcast: some 50 MB.
-BROADCAST_CELLS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -107,44 +103,35 @@ def fit(
 class BayesWeights:
     """A model laid out for scoring; fill it once and use it for any number of batches.
 
-    ``words``: model_entity, word, n and ``gains``, what the word adds to the
-    score of each of ``labels``. ``classes``: one row per model. ``hot``: the
-    most frequent words, at most HOT_WORDS, or None when ``words`` was counted
-    and is small enough to broadcast.
+    ``classes``: one row per model with its sorted classes. ``words``: model_entity, word and ``gains``, what the word
+    adds to the score of each class of its model, in the classes' order. ``hot``: the frequent words. ``breadth``: the
+    largest number of classes of a model.
     """
 
     words: DataFrame
-    hot: DataFrame | None
+    hot: DataFrame
     classes: DataFrame
-    labels: tuple
+    breadth: int
 
 
 def weights(model: BayesModel) -> BayesWeights:
-    """Only the class names (at most MAX_CLASSES) and the number of words reach the driver."""
-    found = model.classes.select("label").distinct().limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    labels = tuple(sorted(r.label for r in found))
+    """Only the number of classes reaches the driver."""
+    classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(
+        F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("classes")
+    )
+    classes = staged(classes, "bayes-layout")
     gain = F.col("log_theta") - F.col("log_default")
-    gains = (
+    by_label = (
         model.theta.join(model.classes.select("entity", "label", "log_default"), ["entity", "label"])
         .groupBy(F.col("entity").alias("model_entity"), "word")
-        .agg(
-            F.sum("n").alias("n"),
-            F.array(
-                *[F.coalesce(F.sum(F.when(F.col("label") == y, gain)), F.lit(0.0)) for y in labels]
-            ).alias("gains"),
-        )
+        .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("label", gain))).alias("by_label"))
     )
-    gains = staged(gains, "bayes-weights")
-    hot = None
-    if gains.count() * (len(labels) + 4) > BROADCAST_CELLS:
-        frequent = gains.orderBy(F.desc("n"), "model_entity", "word").limit(HOT_WORDS)
-        hot = staged(frequent.select("model_entity", "word"), "bayes-hot")
-    classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(
-        F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("classes")
-    )
-    return BayesWeights(gains, hot, classes, labels)
+    gains = F.transform("classes", lambda c: F.coalesce(F.try_element_at("by_label", c["label"]), F.lit(0.0)))
+    words = by_label.join(classes, "model_entity").select("model_entity", "word", "n", gains.alias("gains"))
+    words = staged(words, "bayes-weights")
+    hot = staged(hot_keys(words, ["model_entity", "word"], "n"), "bayes-hot")
+    breadth = classes.agg(F.max(F.size("classes"))).first()[0] or 0
+    return BayesWeights(words.drop("n"), hot, classes, breadth)
 
 
 def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFrame:
@@ -153,48 +140,45 @@ def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFram
     return lookup_with_default(docs, known, entity, "model_entity", ALL)
 
 
-def scores(docs: DataFrame, key: str, words: Column, model: BayesWeights) -> DataFrame:
-    """Per document and class: ``score`` (log joint). ``docs`` has ``model_entity``; ``key`` is unique.
-
-    A small model is broadcast and every document is summed where it is read.
-    A larger one is joined by word, with frequent words salted.
-    """
-    on = ["model_entity", "word"]
-    rows = docs.select(key, "model_entity", F.explode(words).alias("word"))
-    table = model.words.drop("n")
-    if model.hot is None:
-        matched = rows.join(F.broadcast(table), on)
+def _scored(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
+    """key, model_entity and ``scored``, an array of (label, score) in the order of labels."""
+    if entity is None:
+        on, rows = ["model_entity", "word"], docs.select(key, "model_entity", F.explode(words).alias("word"))
+        matched = salted_join(rows, model.words, on, model.hot, F.col(key))
     else:
-        matched = salted_join(rows, table, on, model.hot, HOT_WORDS, F.col(key))
+        rows = docs.select(key, F.explode(words).alias("word"))
+        known, hot = (t.where(F.col("model_entity") == entity).drop("model_entity") for t in (model.words, model.hot))
+        matched = salted_join(rows, known, ["word"], hot, F.col(key))
     sums = matched.groupBy(key).agg(
         F.count("*").alias("known"),
-        F.array(*[F.sum(F.col("gains")[i]) for i in range(len(model.labels))]).alias("gain"),
+        F.array(*[F.sum(F.get("gains", F.lit(i))) for i in range(model.breadth)]).alias("gain"),
     )
-    place = F.array_position(F.array(*[F.lit(y) for y in model.labels]), F.col("c.label")).cast("int")
-    return (
-        docs.select(key, "model_entity")
-        .join(sums, key, "left")
-        .join(model.classes, "model_entity")
-        .select(key, "model_entity", "known", "gain", F.explode("classes").alias("c"))
-        .select(
-            key,
-            "model_entity",
-            F.col("c.label").alias("label"),
-            (
-                F.col("c.log_prior")
-                + F.coalesce("known", F.lit(0)) * F.col("c.log_default")
-                + F.coalesce(F.try_element_at("gain", place), F.lit(0.0))
-            ).alias("score"),
-        )
+    known = F.coalesce("known", F.lit(0))
+    scored = F.transform(
+        "classes",
+        lambda c, i: F.struct(
+            c["label"].alias("label"),
+            (c["log_prior"] + known * c["log_default"] + F.coalesce(F.get("gain", i), F.lit(0.0))).alias("score"),
+        ),
     )
+    if entity is None:
+        told = docs.select(key, "model_entity").join(sums, key, "left").join(model.classes, "model_entity")
+    else:
+        one = model.classes.where(F.col("model_entity") == entity).select("classes").scalar()
+        told = docs.select(key, F.lit(entity).alias("model_entity")).join(sums, key, "left").withColumn("classes", one)
+    return told.select(key, "model_entity", scored.alias("scored"))
 
 
-def classify(docs: DataFrame, key: str, words: Column, model: BayesWeights) -> DataFrame:
-    """``key, model_entity, prediction, score``; equal scores go to the first label."""
-    ranked = scores(docs, key, words, model).withColumn("score", F.round("score", 6))
-    best = F.min(F.struct((-F.col("score")).alias("loss"), F.col("label")))
-    return (
-        ranked.groupBy(key, "model_entity")
-        .agg(best.alias("b"))
-        .select(key, "model_entity", F.col("b.label").alias("prediction"), (-F.col("b.loss")).alias("score"))
-    )
+def scores(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
+    """Per document and class: ``score`` (log joint); ``key`` is unique.
+
+    All documents use the model of ``entity``; without one, each the model named in its column ``model_entity``.
+    """
+    return _scored(docs, key, words, model, entity).select(key, "model_entity", F.inline("scored"))
+
+
+def classify(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
+    """``key, model_entity, prediction, score``, the best class of the row; equal scores go to the first label."""
+    ranked = F.transform("scored", lambda c: F.struct((-F.round(c["score"], 6)).alias("loss"), c["label"].alias("label")))
+    best = _scored(docs, key, words, model, entity).select(key, "model_entity", F.array_min(ranked).alias("b"))
+    return best.select(key, "model_entity", F.col("b.label").alias("prediction"), (-F.col("b.loss")).alias("score"))

@@ -9,27 +9,27 @@ from quantiles of the order column.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOT = "_slot"
-MAX_SLOTS = 4096
 
 
 def default_slots(spark: SparkSession) -> int:
-    """Four slots per shuffle partition, so that they grow with the cluster; 64 to MAX_SLOTS."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_SLOTS, max(64, 4 * partitions))
+    """Four slots per shuffle partition, so that they grow with the work; 64 at least."""
+    return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def quantile_slots(df: DataFrame, order_col: str, slots: int | None = None) -> DataFrame:
     """Add a slot number with about 1/slots of the rows each.
 
-    Only the cut points (at most MAX_SLOTS numbers) reach the driver. They are
+    Only the cut points (one number a slot) reach the driver. They are
     constants of the plan, so recomputed tasks see the same slots.
     """
-    slots = min(slots or default_slots(df.sparkSession), MAX_SLOTS)
+    slots = slots or default_slots(df.sparkSession)
     work = df.withColumn("_order", F.col(order_col).cast("double"))
     cuts = work.approxQuantile("_order", [i / slots for i in range(1, slots)], 1.0 / (4 * slots))
     inner = sorted(set(cuts))
@@ -77,6 +77,48 @@ def positions(
     return out.drop("_group", "_before", "_total")
 
 
+def cut_values(
+    marked: DataFrame, order_col: str, keys: tuple[str, ...], places: Callable[[Column], Column]
+) -> DataFrame:
+    """_key (a struct of ``keys``) and ``_cuts``: the values of ``order_col`` at some positions of each key.
+
+    ``marked`` has slots; ``places`` maps a key's number of rows to an ascending array of 1-based positions. Rows are
+    counted per slot, and only the slots that hold a position are ranked. The result has one row per key.
+    """
+    marked = marked.select(F.struct(*keys, F.lit(0).alias("_all")).alias("_key"), SLOT, F.col(order_col).alias("_value"))
+    sizes = marked.groupBy("_key", SLOT).agg(F.count("*").alias("_n"))
+    per_key = Window.partitionBy("_key")
+    before = per_key.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    spans = sizes.select(
+        "_key", SLOT, "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(per_key).alias("_total")
+    )
+    inside = F.filter(places(F.col("_total")), lambda p: (p > F.col("_before")) & (p <= F.col("_before") + F.col("_n")))
+    ranks = F.transform(inside, lambda p: (p - F.col("_before")).cast("int"))
+    wanted = spans.select("_key", SLOT, ranks.alias("_ranks")).where(F.size("_ranks") > 0)
+    wanted = wanted.withColumn("_slot_key", F.struct("_key", SLOT)).select("_slot_key", "_ranks")
+    # No more rows than keys times positions.
+    rows = marked.withColumn("_slot_key", F.struct("_key", SLOT)).join(F.broadcast(wanted), "_slot_key")
+    place = F.row_number().over(Window.partitionBy("_slot_key").orderBy("_value"))
+    found = rows.withColumn("_place", place).where(F.array_contains("_ranks", F.col("_place")))
+    return found.groupBy("_key").agg(F.sort_array(F.collect_list("_value")).alias("_cuts"))
+
+
+def with_block(
+    df: DataFrame, marked: DataFrame, order_col: str, keys: tuple[str, ...], places: Callable[[Column], Column], name: str
+) -> DataFrame:
+    """``df`` with the number of the block a row falls in: 1 up to the first cut, 2 up to the second, ...
+
+    ``marked`` are the rows of ``df`` with slots and ``order_col``. The cuts (one row per key) are broadcast.
+    """
+    cuts = cut_values(marked, order_col, keys, places)
+    if keys:
+        joined = df.withColumn("_key", F.struct(*keys, F.lit(0).alias("_all"))).join(F.broadcast(cuts), "_key", "left")
+    else:
+        joined = df.withColumn("_cuts", cuts.select("_cuts").scalar()).withColumn("_key", F.lit(0))
+    block = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c < F.col(order_col))) + 1
+    return joined.withColumn(name, block.cast("int")).drop("_key", "_cuts")
+
+
 def running_totals(
     df: DataFrame,
     order_col: str,
@@ -107,12 +149,8 @@ def running_totals(
     return out.drop(SLOT, *[f"_before_{c}" for c in columns])
 
 
-def tile(position: Column, total: Column, k: int) -> Column:
-    """Number 1..k of the block a position falls in; the first blocks are the larger ones."""
+def tile_ends(total: Column, k: int) -> Column:
+    """Last positions of the first k - 1 of k blocks of ``total`` rows; the first blocks are the larger ones."""
     size, extra = F.floor(total / k), total % k
-    large = extra * (size + 1)
-    return (
-        F.when(position <= large, F.floor((position - 1) / (size + 1)) + 1)
-        .otherwise(extra + F.floor((position - 1 - large) / F.greatest(size, F.lit(1))) + 1)
-        .cast("int")
-    )
+    ends = F.transform(F.sequence(F.lit(1), F.lit(k - 1)), lambda j: j * size + F.least(j, extra)) if k > 1 else F.array()
+    return F.array_distinct(ends)

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.sources.ranges import even_grid
 
 Z975 = 1.959963984540054
+# 97.5 % points of Student's t for 1 to 30 degrees of freedom.
+T975 = [
+    12.7062047362, 4.3026527297, 3.1824463053, 2.7764451052, 2.5705818356, 2.4469118511, 2.3646242516, 2.3060041352,
+    2.2621571628, 2.228138852, 2.2009851601, 2.1788128297, 2.1603686565, 2.1447866879, 2.1314495456, 2.1199052992,
+    2.1098155778, 2.1009220402, 2.0930240544, 2.0859634473, 2.0796138447, 2.0738730679, 2.0686576104, 2.0638985616,
+    2.0595385528, 2.0555294386, 2.0518305165, 2.0484071418, 2.0452296421, 2.0422724563,
+]
+# From so many degrees of freedom on, p-values come from the normal distribution.
+MANY_FREE = 400
 
 
 def t_quantile_975(df: Column) -> Column:
-    """97.5 % point of Student's t by its expansion around the normal one (good from about 10 on)."""
+    """97.5 % point of Student's t: exact up to 30 degrees of freedom, then by its expansion around the normal one."""
     z = Z975
     terms = [
         (z**3 + z) / 4,
@@ -24,11 +35,45 @@ def t_quantile_975(df: Column) -> Column:
     for term in terms:
         power = power * df
         out = out + F.lit(term) / power
-    return out
+    return F.coalesce(F.get(F.lit(T975), df.cast("int") - 1), out)
+
+
+def two_sided_p(t: Column, df: Column) -> Column:
+    """Probability of a larger absolute value of Student's t; ``df`` are whole degrees of freedom.
+
+    The closed sum of powers of the cosine below MANY_FREE degrees, Wallace's normal approximation from there on.
+    """
+    angle = F.atan(F.abs(t) / F.sqrt(df))
+    cos, sin, odd = F.cos(angle), F.sin(angle), df % 2
+    few = F.least(df, F.lit(MANY_FREE)).cast("int")
+    count = F.floor((few - odd) / 2).cast("int")
+    first = F.struct(F.lit(0.0).alias("sum"), F.when(odd == 1, cos).otherwise(F.lit(1.0)).alias("term"))
+
+    def step(state: Column, k: Column) -> Column:
+        factor = cos * cos * F.when(odd == 1, 2 * k / (2 * k + 1)).otherwise((2 * k - 1) / (2 * k))
+        return F.struct((state["sum"] + state["term"]).alias("sum"), (state["term"] * factor).alias("term"))
+
+    terms = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    series = sin * F.aggregate(terms, first, step)["sum"]
+    inside = F.when(odd == 1, (angle + series) * (2 / math.pi)).otherwise(series)
+    z = (8 * df + 1) / (8 * df + 3) * F.sqrt(df * F.log1p(t * t / df))
+    return F.when(df < MANY_FREE, F.greatest(1 - inside, F.lit(0.0))).otherwise(_normal_two_sided(z))
+
+
+def _normal_two_sided(z: Column) -> Column:
+    """Probability that a normal variable lies beyond -z and z, for z of 0 or more."""
+    density = F.exp(-z * z / 2) * math.sqrt(2 / math.pi)
+    first = F.struct(F.lit(0.0).alias("sum"), z.alias("term"))
+    step = lambda s, k: F.struct((s["sum"] + s["term"]).alias("sum"), (s["term"] * z * z / (2 * k + 1)).alias("term"))
+    near = 1 - density * F.aggregate(F.sequence(F.lit(1), F.lit(60)), first, step)["sum"]
+    tail = z
+    for k in range(12, 0, -1):
+        tail = z + k / tail
+    return F.when(z < 4, near).otherwise(density / tail)
 
 
 def ols(df: DataFrame, x: str, y: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """n, slope, intercept, r2, standard errors, t values and 95 % limits; null where undefined."""
+    """n, slope, intercept, r2, standard errors, t values, p-values and 95 % limits; null where undefined."""
     xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
     sums = df.where(xc.isNotNull() & yc.isNotNull()).groupBy(*keys).agg(
         F.count("*").alias("n"),
@@ -64,6 +109,8 @@ def ols(df: DataFrame, x: str, y: str, keys: tuple[str, ...] = ()) -> DataFrame:
         "intercept_se",
         (F.col("slope") / F.nullif("slope_se", F.lit(0.0))).alias("slope_t"),
         (F.col("intercept") / F.nullif("intercept_se", F.lit(0.0))).alias("intercept_t"),
+        two_sided_p(F.col("slope") / F.nullif("slope_se", F.lit(0.0)), F.col("_free")).alias("slope_p"),
+        two_sided_p(F.col("intercept") / F.nullif("intercept_se", F.lit(0.0)), F.col("_free")).alias("intercept_p"),
         (F.col("slope") - F.col("_t") * F.col("slope_se")).alias("slope_lo"),
         (F.col("slope") + F.col("_t") * F.col("slope_se")).alias("slope_hi"),
         (F.col("intercept") - F.col("_t") * F.col("intercept_se")).alias("intercept_lo"),

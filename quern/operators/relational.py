@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.operators.prefix import SLOT, quantile_slots
+
 
 def all_but(df: DataFrame, *names: str) -> list[str]:
     """Column names except the given ones (labels, keys)."""
@@ -24,12 +26,10 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def distinct_values(df: DataFrame, column: str, at_most: int) -> list[str]:
-    """Distinct values for use as column names; an error when there are more than ``at_most``."""
-    rows = df.select(column).distinct().limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} distinct values of {column}")
-    return sorted(r[0] for r in rows if r[0] is not None)
+def distinct_values(df: DataFrame, column: str) -> list[str]:
+    """Distinct values, sorted, for use as column names: they are the schema of the result."""
+    rows = df.select(column).distinct().where(F.col(column).isNotNull()).collect()
+    return sorted(r[0] for r in rows)
 
 
 def membership_flags(
@@ -41,49 +41,37 @@ def membership_flags(
 
 
 def lookup_with_default(
-    df: DataFrame, known: DataFrame, key: Column, name: str, default: str = "*"
+    df: DataFrame, known: DataFrame, key: Column, name: str, default: str = "*", spread: int = 16
 ) -> DataFrame:
-    """Add ``name``: the lower-cased key if ``known`` (one distinct column ``name``) has it, else the default."""
-    found = known.select(F.col(name).alias("_key"), F.lit(True).alias("_found"))
-    marked = df.withColumn("_key", F.lower(key)).join(found, "_key", "left")
+    """Add ``name``: the lower-cased key if ``known`` (one distinct column ``name``) has it, else the default.
+
+    The few distinct keys may be held by very many rows. When adaptive execution finds ``known`` small it is broadcast;
+    otherwise the rows of a key are dealt to ``spread`` tasks by a hash of the row, and ``known`` is sent to each.
+    """
+    deal = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    found = known.select(F.col(name).alias("_key"), deal.alias("_deal"), F.lit(True).alias("_found"))
+    place = F.pmod(F.xxhash64(*df.columns), F.lit(spread)).cast("int")
+    marked = df.withColumns({"_key": F.lower(key), "_deal": place}).join(found, ["_key", "_deal"], "left")
     return marked.withColumn(
         name, F.when(F.col("_found"), F.col("_key")).otherwise(F.lit(default))
-    ).drop("_key", "_found")
+    ).drop("_key", "_deal", "_found")
 
 
-def ordered_text(
-    df: DataFrame,
-    keys: list[str],
-    order_col: str,
-    text_col: str,
-    separator: str,
-    name: str,
-    max_rows: int = 10_000,
-) -> DataFrame:
-    """Texts of a key joined in the order of an integer column that is unique per key.
+def ordered_text(df: DataFrame, keys: list[str], order_col: str, text_col: str, separator: str, name: str) -> DataFrame:
+    """Texts of a key joined in the order of a numeric column that is unique per key: one row per key.
 
-    A key with more than ``max_rows`` texts comes as several rows, numbered by
-    ``part`` in order; their concatenation is the whole text. Each part covers
-    ``max_rows`` consecutive numbers, so no group is larger than that.
+    The order column is cut into slots by quantiles over all rows. Texts are joined inside key and slot, then the slots
+    of a key in their order, so the rows of one large key are sorted in many tasks; only its text itself is one value.
     """
     # A struct is never null itself, so texts without a key stay too.
-    keyed = df.withColumn("_key", F.struct(*keys))
-    crowded = (
-        keyed.groupBy("_key")
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > max_rows)
-        .select("_key", F.lit(True).alias("_crowded"))
-    )
-    part = F.when(F.col("_crowded"), F.floor(F.col(order_col) / max_rows)).otherwise(F.lit(0))
-    glued = F.expr(
-        f"listagg(`{text_col}`, {_literal(separator)}) WITHIN GROUP (ORDER BY `{order_col}`)"
-    )
-    return (
-        keyed.join(crowded, "_key", "left")
-        .groupBy("_key", part.cast("bigint").alias("part"))
-        .agg(glued.alias(name))
-        .select(*[F.col("_key")[k].alias(k) for k in keys], "part", name)
-    )
+    keyed = quantile_slots(df, order_col).withColumn("_key", F.struct(*keys))
+
+    def glued(column: str, order: str) -> Column:
+        return F.expr(f"listagg(`{column}`, {_literal(separator)}) WITHIN GROUP (ORDER BY `{order}`)")
+
+    parts = keyed.groupBy("_key", SLOT).agg(glued(text_col, order_col).alias("_part"))
+    whole = parts.groupBy("_key").agg(glued("_part", SLOT).alias(name))
+    return whole.select(*[F.col("_key")[k].alias(k) for k in keys], name)
 
 
 def _literal(text: str) -> str:

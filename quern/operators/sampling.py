@@ -6,15 +6,13 @@ laid out, so a recomputed task draws the same rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import hashing as hs
-from quern.operators.prefix import positions, tile
-
-# 16^3 slots: with good hashes each holds 1/4096 of a class of any size.
-SLOT_DIGITS = 3
-
+from quern.operators.prefix import SLOT, cut_values, default_slots, positions, quantile_slots, tile_ends, with_block
 
 def sample(df: DataFrame, key: str, per_mille: int, seed: int) -> DataFrame:
     """About ``per_mille`` of 1000 rows, each kept or not by its own hash."""
@@ -37,44 +35,47 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
     return df.randomSplit(weights, seed)
 
 
-def _in_hash_order(
-    df: DataFrame, key: str, seed: int, keys: tuple[str, ...] = (), name: str = "position", total: str | None = None
-) -> DataFrame:
+def _hash_slots(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """``_hash``, whose text order is a seeded shuffle, and slots by as many of its digits as the default slots need."""
+    digits = math.ceil(math.log(default_slots(df.sparkSession), 16))
     hashed = df.withColumn("_hash", hs.keyed_md5(F.col(key), seed))
-    slot = hs.hash_slot(F.col("_hash"), SLOT_DIGITS)
-    return positions(hashed, "_hash", keys, slot=slot, name=name, total=total).drop("_hash")
+    return hashed.withColumn(SLOT, hs.hash_slot(F.col("_hash"), digits))
 
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Add ``shuffle_pos``, the 1-based place in a seeded shuffle."""
-    return _in_hash_order(df, key, seed, name="shuffle_pos")
+    marked = _hash_slots(df, key, seed)
+    return positions(marked, "_hash", slot=F.col(SLOT), name="shuffle_pos").drop("_hash")
 
 
 def head_split(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
     """Add ``part``: the first ``share`` of a seeded shuffle is 'train' (exact count), the rest 'test'."""
-    placed = _in_hash_order(df, key, seed, name="_place", total="_rows")
-    cut = F.floor(F.col("_rows") * F.lit(share))
-    return placed.withColumn("part", F.when(F.col("_place") <= cut, "train").otherwise("test")).drop("_place", "_rows")
+    marked = _hash_slots(df, key, seed)
+    last = lambda total: F.array(F.floor(total * F.lit(share)))
+    cut = cut_values(marked, "_hash", (), last).select(F.col("_cuts")[0].alias("cut")).scalar()
+    inside = F.coalesce(hs.keyed_md5(F.col(key), seed) <= cut, F.lit(False))
+    return df.withColumn("part", F.when(inside, "train").otherwise("test"))
 
 
 def plain_folds(df: DataFrame, key: str, k: int) -> DataFrame:
     """Add ``fold`` 1..k: contiguous blocks in the order of a unique numeric key."""
-    placed = positions(df, key, name="_place", total="_rows")
-    return placed.withColumn("fold", tile(F.col("_place"), F.col("_rows"), k)).drop("_place", "_rows")
+    return with_block(df, quantile_slots(df, key), key, (), lambda total: tile_ends(total, k), "fold")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int) -> DataFrame:
     """Add ``fold`` 1..k so that every class is spread evenly (sizes differ by at most one)."""
-    placed = _in_hash_order(df, key, seed, keys=(label,), name="_place", total="_rows")
-    return placed.withColumn("fold", tile(F.col("_place"), F.col("_rows"), k)).drop("_place", "_rows")
+    marked = _hash_slots(df, key, seed)
+    return with_block(marked.drop(SLOT), marked, "_hash", (label,), lambda total: tile_ends(total, k), "fold").drop("_hash")
 
 
 def ordered_stratified_folds(df: DataFrame, key: str, label: str, k: int) -> DataFrame:
     """The unshuffled variant: blocks of each class in the order of a unique numeric key."""
-    placed = positions(df, key, (label,), name="_place", total="_rows")
-    return placed.withColumn("fold", tile(F.col("_place"), F.col("_rows"), k)).drop("_place", "_rows")
+    return with_block(df, quantile_slots(df, key), key, (label,), lambda total: tile_ends(total, k), "fold")
 
 
 def skip_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """All rows after the first ``n`` in the order of a unique numeric key."""
-    return positions(df, key, name="_place").where(F.col("_place") > n).drop("_place")
+    """All rows after the first ``n`` in the order of a unique key: a bounded heap finds the last row to skip."""
+    if n < 1:
+        return df
+    last = df.select(F.col(key).alias("k")).orderBy("k").limit(n).agg(F.max("k").alias("k")).scalar()
+    return df.where(F.col(key) > last)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.binding import let
 from quern.sources.staging import staged
 
 
@@ -22,50 +23,54 @@ def word_counts(df: DataFrame, words: Column, keys: list[str] | None = None) ->
 def vocabulary(df: DataFrame, words: Column, size: int, min_df: int = 1) -> DataFrame:
     """The ``size`` most frequent words found in at least ``min_df`` rows: word, n, df.
 
-    Occurrences and rows are counted in the same shuffle. Equal counts go by word.
+    Words are counted inside the row first, so a row sends each word once. Equal counts go by word.
     """
-    marks = F.concat(
-        F.transform("_words", lambda w: F.struct(w.alias("word"), F.lit(1).alias("n"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct("_words"),
-            lambda w: F.struct(w.alias("word"), F.lit(0).alias("n"), F.lit(1).alias("df")),
-        ),
-    )
     counted = (
-        df.select(words.alias("_words"))
-        .select(F.inline(marks))
+        df.select(F.inline(counted_words(words)))
         .groupBy("word")
-        .agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+        .agg(F.sum("count").alias("n"), F.count("*").alias("df"))
     )
     return counted.where(F.col("df") >= min_df).orderBy(F.desc("n"), "word").limit(size)
 
 
-def term_counts(df: DataFrame, key: str, words: Column, terms: DataFrame | None = None) -> DataFrame:
-    """``key, word, count`` rows: the bag of words as a table.
+def counted_words(words: Column) -> Column:
+    """Sorted (word, count) pairs of an array of words: sorted, then cut where the word changes."""
 
-    ``terms`` is a vocabulary of limited size; it is broadcast, and other words
-    go before the counting shuffle.
-    """
-    rows = explode_words(df, words, [key])
-    if terms is not None:
-        rows = rows.join(F.broadcast(terms.select("word")), "word", "left_semi")
-    return rows.groupBy(key, "word").agg(F.count("*").alias("count"))
+    def folded(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        heads = F.filter(places, lambda i: ~F.coalesce(F.get(ordered, i - 1) == F.get(ordered, i), F.lit(False)))
+
+        def pairs(starts: Column) -> Column:
+            return F.transform(
+                starts,
+                lambda start, k: F.struct(
+                    F.get(ordered, start).alias("word"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - start).cast("long").alias("count"),
+                ),
+            )
+
+        return let(heads, pairs)
 
+    # Without words sequence(0, -1) would run backwards.
+    return let(F.sort_array(words), lambda ordered: F.when(F.size(ordered) > 0, folded(ordered)))
 
-def vocabulary_of(counts: DataFrame, size: int, min_df: int = 1) -> DataFrame:
-    """The vocabulary of a whole bag (``key, word, count``): word, n, df."""
-    words = counts.groupBy("word").agg(F.sum("count").alias("n"), F.count("*").alias("df"))
-    return words.where(F.col("df") >= min_df).orderBy(F.desc("n"), "word").limit(size)
+
+def term_counts(df: DataFrame, key: str, words: Column, terms: DataFrame | None = None) -> DataFrame:
+    """``key, word, count`` rows: the bag of words as a table, counted inside the row; ``key`` is unique.
+
+    ``terms`` is a vocabulary of limited size; it is broadcast. Nothing is shuffled.
+    """
+    rows = df.select(key, F.inline(counted_words(words)))
+    return rows if terms is None else rows.join(F.broadcast(terms.select("word")), "word", "left_semi").select(key, "word", "count")
 
 
 def bag_of(df: DataFrame, key: str, words: Column, size: int, min_df: int = 1) -> tuple[DataFrame, DataFrame]:
-    """The bag restricted to its vocabulary, and the vocabulary (which is of limited size).
+    """The bag restricted to its vocabulary, and the vocabulary (which is of limited size, and written once).
 
-    The whole bag is written once: the texts are tokenised once for both.
+    The bag itself is neither written nor shuffled; texts are read for the vocabulary and again for the bag.
     """
-    counts = staged(term_counts(df, key, words), "bag")
-    terms = vocabulary_of(counts, size, min_df)
-    return counts.join(F.broadcast(terms.select("word")), "word", "left_semi").select(key, "word", "count"), terms
+    terms = staged(vocabulary(df, words, size, min_df), "vocabulary")
+    return term_counts(df, key, words, terms), terms
 
 
 def tf_idf(counts: DataFrame, key: str, terms: DataFrame, documents: DataFrame) -> DataFrame:

@@ -54,13 +54,14 @@ def _demand_parts(spark: SparkSession, sf_dir: str, train: float, test: float) -
 @job(
     "ols_mllib",
     f"""WITH {st.EXAM}, {OLS.format(x="n_words", y="n_chars", t="exam")}
-SELECT 'n_words' AS term, round(b, 6) AS coefficient, round(b_se, 6) AS se, round(b / b_se, 4) AS t FROM g
-UNION ALL SELECT 'intercept', round(a, 6), round(a_se, 6), round(a / a_se, 4) FROM g""",
+SELECT 'n_words' AS term, round(b, 6) AS coefficient, round(b_se, 6) AS se, round(b / b_se, 4) AS t,
+  abs(b / b_se) > 1.96 AS significant FROM g
+UNION ALL SELECT 'intercept', round(a, 6), round(a_se, 6), round(a / a_se, 4), abs(a / a_se) > 1.96 FROM g""",
 )
 def ols_mllib(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normal-equation fit with standard errors and t values."""
     exam = staged(st.exam(spark, sf_dir).select("n_words", "n_chars"), "exam")
-    fit = ln.ols_summary(exam, ["n_words"], "n_chars").drop("p")
+    fit = ln.ols_summary(exam, ["n_words"], "n_chars").withColumn("significant", F.col("p") < 0.05).drop("p")
     return _rounded(_rounded(fit, "coefficient", "se"), "t", digits=4)
 
 

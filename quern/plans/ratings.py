@@ -119,14 +119,28 @@ FLAGS = ", ".join(f"list_contains(string_split(genres, '|'), '{g}') AS \"{g}\""
 
 @job("genre_flags", f"WITH {st.MOVIES} SELECT movie_id, raw_title, {FLAGS} FROM movies")
 def genre_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One boolean column per genre; the genre names become the schema, so they are read first."""
+    """One boolean column per genre; the genre names become the schema, so they are read first.
+
+    ``genre_pairs`` has the same facts as rows, for any number of genres.
+    """
     movies = st.movies(spark, sf_dir)
-    genres = rel.distinct_values(rt.movie_genres(movies), "genre", at_most=1000)
+    genres = rel.distinct_values(rt.movie_genres(movies), "genre")
     listed = movies.withColumn("genres_array", tx.pipe_list(F.col("genres")))
     flags = rel.membership_flags(listed, "genres_array", genres, skip=("(no genres listed)",))
     return flags.drop("genres", "genres_array")
 
 
+@job(
+    "genre_pairs",
+    f"""WITH {st.MOVIES} SELECT DISTINCT movie_id, genre
+FROM (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM movies) WHERE genre <> '(no genres listed)'""",
+)
+def genre_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genres of each movie, one row a pair."""
+    movies = st.movies(spark, sf_dir).select("movie_id", F.explode(F.array_distinct(tx.pipe_list(F.col("genres")))).alias("genre"))
+    return movies.where("genre <> '(no genres listed)'")
+
+
 MONTHS = f"""{st.RATINGS}, months AS (
   SELECT strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y') AS year,
          strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%m') AS month, count(*) AS count
@@ -236,26 +250,18 @@ def genre_above_average_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 @job(
     "tags_per_user",
     f"""WITH {st.USERS}, tags AS (
-  SELECT o_custkey AS user_id, o_orderkey AS tag_id, o_orderpriority AS tag FROM orders),
-marked AS (
-  SELECT *, CASE WHEN count(*) OVER (PARTITION BY user_id) > 10000 THEN tag_id // 10000 ELSE 0 END AS part
-  FROM tags)
-SELECT email, CAST(part AS BIGINT) AS part, string_agg(tag, ' ' ORDER BY tag_id) AS tag_list
-FROM users JOIN marked USING (user_id) GROUP BY email, part""",
+  SELECT o_custkey AS user_id, o_orderkey AS tag_id, o_orderpriority AS tag FROM orders)
+SELECT email, string_agg(tag, ' ' ORDER BY tag_id) AS tag_list FROM users JOIN tags USING (user_id) GROUP BY email""",
 )
 def tags_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags of a user in one text, in the order they were given; e-mails join after the reduction."""
     lists = rel.ordered_text(st.tags(spark, sf_dir), ["user_id"], "tag_id", "tag", " ", "tag_list")
-    return st.users(spark, sf_dir).join(lists, "user_id").select("email", "part", "tag_list")
+    return st.users(spark, sf_dir).join(lists, "user_id").select("email", "tag_list")
 
 
 @job(
     "transcript_per_conversation",
-    """WITH marked AS (
-  SELECT *, CASE WHEN count(*) OVER (PARTITION BY conv_id) > 10000 THEN turn // 10000 ELSE 0 END AS part
-  FROM conversations)
-SELECT conv_id, CAST(part AS BIGINT) AS part, string_agg(text, chr(10) ORDER BY turn) AS transcript
-FROM marked GROUP BY conv_id, part""",
+    "SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY conv_id",
 )
 def transcript_per_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")

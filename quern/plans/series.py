@@ -235,10 +235,51 @@ SELECT n, round(b, 6) AS slope, round(a, 6) AS intercept, round(1 - sse / syy, 6
 )
 def ols_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit = rg.ols(st.exam(spark, sf_dir), "n_words", "n_chars")
-    fit = fit.drop("slope_lo", "slope_hi", "intercept_lo", "intercept_hi")
+    fit = fit.drop("slope_lo", "slope_hi", "intercept_lo", "intercept_hi", "slope_p", "intercept_p")
     return _round(_round(fit, "slope", "intercept", "r2", "slope_se", "intercept_se"), "slope_t", "intercept_t", digits=4)
 
 
+# One line per country: limits and p-values by closed forms for up to five degrees of freedom.
+COUNTRY_OLS = f"""{st.ENERGY}, f AS (
+  SELECT country, count(*) AS n, regr_slope(electricity_demand, year - 1995) AS b,
+         regr_intercept(electricity_demand, year - 1995) AS a, avg(year - 1995) AS mx,
+         regr_sxx(electricity_demand, year - 1995) AS sxx, regr_syy(electricity_demand, year - 1995) AS syy,
+         regr_sxy(electricity_demand, year - 1995) AS sxy
+  FROM energy WHERE electricity_demand IS NOT NULL GROUP BY country HAVING count(*) > 2),
+g AS (SELECT *, n - 2 AS v, sqrt((syy - b * sxy) / (n - 2) / sxx) AS b_se,
+  sqrt((syy - b * sxy) / (n - 2) * (1.0 / n + mx * mx / sxx)) AS a_se FROM f),
+q AS (SELECT *, [12.7062047362, 4.3026527297, 3.1824463053, 2.7764451052, 2.5705818356][v] AS t975,
+  atan(abs(b / b_se) / sqrt(v)) AS th FROM g)"""
+
+
+@job(
+    "country_limits",
+    f"""WITH {COUNTRY_OLS} SELECT country, n, round(b - t975 * b_se, 2) AS slope_lo, round(b + t975 * b_se, 2) AS slope_hi,
+  round(a - t975 * a_se, 2) AS intercept_lo, round(a + t975 * a_se, 2) AS intercept_hi, round(CASE v
+    WHEN 1 THEN 1 - 2 * th / pi() WHEN 2 THEN 1 - sin(th) WHEN 3 THEN 1 - 2 / pi() * (th + sin(th) * cos(th))
+    WHEN 4 THEN 1 - sin(th) * (1 + pow(cos(th), 2) / 2)
+    ELSE 1 - 2 / pi() * (th + sin(th) * (cos(th) + 2 / 3 * pow(cos(th), 3))) END, 6) AS slope_p FROM q""",
+)
+def country_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """95 % limits and the slope's p-value of a country's demand line."""
+    energy = st.energy(spark, sf_dir).withColumn("since", F.col("year") - 1995)
+    fits = rg.ols(energy, "since", "electricity_demand", keys=("country",)).where("n > 2")
+    limits = ["slope_lo", "slope_hi", "intercept_lo", "intercept_hi"]
+    return _round(_round(fits.select("country", "n", *limits, "slope_p"), "slope_p"), *limits, digits=2)
+
+
+@job(
+    "residuals",
+    f"""WITH {st.DAYS}, {OLS.format(x="instant", y="cnt", t="days")}
+SELECT instant, cnt, round(a + b * instant, 6) AS prediction, round(cnt - a - b * instant, 6) AS residual FROM days, g""",
+)
+def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the line through the daily counts leaves over."""
+    days = st.days(spark, sf_dir).select("instant", "cnt")
+    fitted = rg.with_fit(days, "instant", "cnt").withColumn("residual", F.col("cnt") - F.col("prediction"))
+    return _round(fitted, "prediction", "residual")
+
+
 @job(
     "confidence_lines",
     f"""WITH {st.DAYS}, {OLS.format(x="instant", y="cnt", t="days")},

@@ -83,7 +83,7 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """country, year, population (orders) and demand (sales); demand is null below 20 orders.
+    """country, year, population (orders) and demand (sales); demand is null for a fixed choice of country and year.
 
     Orders are reduced to one row per customer and year before the joins.
     """
@@ -103,15 +103,15 @@ def energy(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("country"),
             "year",
             F.col("population").cast("double").alias("population"),
-            F.when(F.col("population") >= 20, F.col("s").cast("double")).alias("electricity_demand"),
+            F.when(F.length("n_name") + F.col("year") % 7 != 10, F.col("s").cast("double")).alias("electricity_demand"),
         )
     )
 
 
 ENERGY = """energy AS (
   SELECT n_name AS country, CAST(year(o_orderdate) AS INT) AS year, CAST(count(*) AS DOUBLE) AS population,
-         CASE WHEN count(*) >= 20 THEN CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) END
-           AS electricity_demand
+         CASE WHEN length(n_name) + year(o_orderdate) % 7 <> 10
+              THEN CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) END AS electricity_demand
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY n_name, year(o_orderdate))"""
 

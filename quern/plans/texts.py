@@ -221,8 +221,7 @@ def nb_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, toks = st.books(spark, sf_dir), tx.tokens(F.col("content"))
     model = nb.weights(nb.fit(docs, toks, "author", smoothing=0.2))
     # No author has a model of its own: all documents use the one over all rows.
-    asked = nb.with_model(docs, model, F.col("author"))
-    return nb.classify(asked, "doc_id", toks, model).drop("model_entity")
+    return nb.classify(docs, "doc_id", toks, model, entity=nb.ALL).drop("model_entity")
 
 
 # One model per entity plus one over everything, words of two or more characters, class shares unsmoothed.

@@ -47,9 +47,7 @@ def test_known_probabilities(spark, corpus):
     assert default["Ala"] == pytest.approx(0.000830, abs=1e-6)
 
 
-@pytest.mark.parametrize("cells", [0, nb.BROADCAST_CELLS])
-def test_scores_equal_mllib(spark, corpus, cells, monkeypatch):
-    monkeypatch.setattr(nb, "BROADCAST_CELLS", cells)
+def test_scores_equal_mllib(spark, corpus):
     words = WORDS(F.col("content"))
     probe = spark.createDataFrame(
         [(1, "aaa ccc ccc ddd eee"), (2, "bbb unseen"), (3, "unseen"), (4, ""), (5, "aaa aaa aaa")],
@@ -80,9 +78,16 @@ def test_equal_scores_go_to_the_first_label(spark):
     assert {r.prediction for r in found} == {"a"}
 
 
-@pytest.mark.parametrize("cells", [0, nb.BROADCAST_CELLS])
-def test_entity_models_and_fallback(spark, cells, monkeypatch):
-    monkeypatch.setattr(nb, "BROADCAST_CELLS", cells)
+def test_many_classes(spark):
+    docs = spark.range(700).selectExpr("cast(id as int) id", "concat('c', id % 350) y", "concat('w', id % 350, ' x') t")
+    words = tx.words(F.col("t"))
+    model = nb.weights(nb.fit(docs, words, "y"))
+    found = nb.classify(docs.withColumn("model_entity", F.lit(nb.ALL)), "id", words, model)
+    assert model.breadth == 350
+    assert found.join(docs, "id").where("prediction <> y").count() == 0
+
+
+def test_entity_models_and_fallback(spark):
     rows = [
         ("Nvidia", "pos", "fast card"), ("Nvidia", "neg", "hot card"),
         ("Cola", "pos", "hot drink"), ("Cola", "neg", "flat drink"), ("Cola", "neg", "flat"),

@@ -11,6 +11,7 @@ from quern.functions import maths as mx
 from quern.functions import text as tx
 from quern.functions import time as tm
 from quern.functions import vectors as vc
+from quern.operators import regression as rg
 
 
 def values(spark, inputs, fn, type_="STRING"):
@@ -71,6 +72,24 @@ def test_html_text_decodes_once(spark):
     assert values(spark, ["&amp;lt; &quot;x&quot; &copy; &unknown;"], tx.html_text) == ['&lt; "x" © &unknown;']
 
 
+def test_all_html_references(spark):
+    given = ["a&#9;b", "&#x10FFFF;", "&#55357;&#56832;&#xD83D;&#xDE00;", "&eacute;&NotEqualTilde;&hearts;", "&#0;&#99999999999999;&#xD800;", "&#150;&#000233;&#X41;", "&#38;lt;&AMP;amp;"]
+    want = ["a\tb", "\U0010ffff", "😀😀", "é≂̸♥", "\ufffd\ufffd\ufffd", "–éA", "&lt;&amp;"]
+    assert values(spark, given, tx.decode_entities) == want
+
+
+def test_t_distribution(spark):
+    # Published two-sided 5 % and 1 % points.
+    known = [(1, 12.7062, 0.05), (2, 4.30265, 0.05), (3, 3.18245, 0.05), (5, 4.03214, 0.01), (10, 2.22814, 0.05), (30, 2.75000, 0.01), (120, 1.97993, 0.05), (1000, 1.96234, 0.05), (10**7, 1.959964, 0.05)]
+    df = spark.createDataFrame(known, "v BIGINT, t DOUBLE, p DOUBLE")
+    for r in df.select("*", rg.two_sided_p(F.col("t"), F.col("v")).alias("got"), rg.t_quantile_975(F.col("v")).alias("q")).collect():
+        assert r.got == pytest.approx(r.p, rel=2e-4)
+        if r.p == 0.05:
+            assert r.q == pytest.approx(r.t, rel=1e-5)
+    far = spark.range(1).select(rg.two_sided_p(F.lit(8.0), F.lit(10**6)).alias("a"), rg.two_sided_p(F.lit(0.0), F.lit(7)).alias("b")).first()
+    assert far.a == pytest.approx(1.244e-15, rel=0.01) and far.b == 1.0
+
+
 def test_times(spark):
     assert values(spark, [0, 951782400 + 3661], tm.epoch_text, "BIGINT") == [
         "1970-01-01 00:00:00",

@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quern.functions import text as tx
+from quern.operators import bayes as nb
 from quern.operators import prefix as px
+from quern.operators import words as wd
 from quern.plans import JOBS
 
 SLOW_OPERATORS = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -53,12 +56,26 @@ def test_positions_shuffle_the_rows_once(spark):
     assert len(row_shuffles) <= 3
 
 
+def test_words_are_counted_without_a_shuffle(spark):
+    docs = spark.range(100).select("id", F.lit("a b a").alias("t")).repartition(40)
+    out = plan(wd.term_counts(docs, "id", tx.words(F.col("t"))))
+    assert out.count("Exchange") == 1 and "RoundRobin" in out  # the repartition above
+
+
+def test_bayes_scores_shuffle_words_once(spark):
+    docs = spark.range(60).selectExpr("id", "cast(id % 3 as int) y", "concat('w', id % 7, ' common') t").repartition(40)
+    words = tx.words(F.col("t"))
+    model = nb.weights(nb.fit(docs, words, "y"))
+    out = plan(nb.classify(docs, "id", words, model, entity=nb.ALL))
+    assert "CartesianProduct" not in out and "BroadcastNestedLoopJoin" not in out
+
+
 def test_slots_follow_the_cluster(spark):
     assert px.default_slots(spark) == 64
     spark.conf.set("spark.sql.shuffle.partitions", "500")
     try:
         assert px.default_slots(spark) == 2000
         spark.conf.set("spark.sql.shuffle.partitions", "100000")
-        assert px.default_slots(spark) == px.MAX_SLOTS
+        assert px.default_slots(spark) == 400_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
