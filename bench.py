@@ -3,7 +3,8 @@
 BENCH_SF_DIR   data directory (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_RUNS     timed runs per job after one warm-up; the median counts (default 3)
-BENCH_ONLY     comma-separated job names, or ``all`` for every job with a SQL twin (default: HEADLINE)
+BENCH_ONLY     comma-separated job names, or ``all`` for every job (default: HEADLINE)
+BENCH_SCRATCH  folder for intermediate tables (default: a new one in the system's temporary folder)
 
 A job runs to the end: its result is written to Spark's ``noop`` sink.
 """
@@ -14,10 +15,12 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
-from quern.plans import JOBS, TWINS
+from quern.plans import JOBS
 from quern.session import build_session
+from quern.sources.staging import scratch
 
 
 # At least one job of every family.
@@ -36,7 +39,7 @@ csv_roundtrip word_count_stream
 def chosen() -> list[str]:
     only = os.environ.get("BENCH_ONLY", "")
     if only == "all":
-        return [n for n in JOBS if n in TWINS]
+        return list(JOBS)
     return [n for n in only.split(",") if n] or HEADLINE
 
 
@@ -52,16 +55,18 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     seconds = {}
     for name in names:
         times = []
         for turn in range(runs + 1):
-            start = time.perf_counter()
-            JOBS[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if turn or not runs:
-                times.append(time.perf_counter() - start)
+            with scratch(spark):
+                start = time.perf_counter()
+                JOBS[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if turn or not runs:
+                    times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     print(

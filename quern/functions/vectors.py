@@ -17,7 +17,7 @@ def element(vector: Column, index: int) -> Column:
 
 
 def register_array_max(spark: SparkSession, name: str = "maxVectorElement") -> None:
-    """The same under a name callable from SQL, over ``array<double>``."""
+    """The same under a name that SQL text can call, over ``array<double>``."""
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(v ARRAY<DOUBLE>) RETURNS DOUBLE RETURN array_max(v)"
     )

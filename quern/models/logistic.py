@@ -63,9 +63,3 @@ def linear_classifier(
     if classes <= 2:
         return svc
     return OneVsRest(classifier=svc, labelCol=label, featuresCol="features", parallelism=min(classes, 8))
-
-
-def multinomial(label: str, reg: float = 1e-3, max_iter: int = 50) -> LogisticRegression:
-    return LogisticRegression(
-        family="multinomial", maxIter=max_iter, regParam=reg, labelCol=label, featuresCol="features"
-    )

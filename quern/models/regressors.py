@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -13,25 +13,32 @@ from quern.operators.relational import all_but, union_all
 from quern.sources.staging import staged
 
 
-def decision_tree(label: str) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(maxDepth=10, minInstancesPerNode=5, labelCol=label, featuresCol="features")
+# The settings of the compared regressors.
+LINE = {"maxIter": 100, "regParam": 0.1, "elasticNetParam": 0.8}
+TREE = {"maxDepth": 10, "minInstancesPerNode": 5}
+FOREST = {"numTrees": 100, "maxDepth": 10, "subsamplingRate": 0.8, "seed": 42}
+BOOSTED = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "seed": 42}
 
 
-def random_forest(label: str, seed: int = 42) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        numTrees=100, maxDepth=10, subsamplingRate=0.8, labelCol=label, featuresCol="features", seed=seed
-    )
+def columns(label: str) -> dict[str, str]:
+    return {"labelCol": label, "featuresCol": "features"}
 
 
-def boosted_trees(label: str, seed: int = 42) -> GBTRegressor:
-    return GBTRegressor(maxIter=100, maxDepth=5, stepSize=0.1, labelCol=label, featuresCol="features", seed=seed)
+def decision_tree(label: str, **settings) -> DecisionTreeRegressor:
+    return DecisionTreeRegressor(**columns(label), **(settings or TREE))
+
+
+def random_forest(label: str) -> RandomForestRegressor:
+    return RandomForestRegressor(**columns(label), **FOREST)
+
+
+def boosted_trees(label: str) -> GBTRegressor:
+    return GBTRegressor(**columns(label), **BOOSTED)
 
 
 def standard_set(label: str) -> dict[str, Estimator]:
     return {
-        "linear": LinearRegression(
-            maxIter=100, regParam=0.1, elasticNetParam=0.8, labelCol=label, featuresCol="features"
-        ),
+        "linear": LinearRegression(**columns(label), **LINE),
         "decision_tree": decision_tree(label),
         "random_forest": random_forest(label),
         "boosted_trees": boosted_trees(label),
@@ -45,12 +52,6 @@ def assemble(df: DataFrame, label: str, keep: tuple[str, ...] = ()) -> DataFrame
     return vectors.select(label, *keep, "features")
 
 
-def train(df: DataFrame, label: str, estimator: Estimator) -> PipelineModel:
-    """All columns but the label as features."""
-    assembler = VectorAssembler(inputCols=all_but(df, label), outputCol="features")
-    return Pipeline(stages=[assembler, estimator]).fit(df)
-
-
 def both_metrics(model: Transformer, parts: DataFrame, label: str, part: str = "part") -> DataFrame:
     """Metrics per part ('train', 'test') in one aggregate over the scored rows."""
     return regression_metrics(model.transform(parts), label, "prediction", keys=(part,))

@@ -31,20 +31,18 @@ def polynomial(df: DataFrame, columns: list[str], degree: int) -> DataFrame:
     return df.withColumns(out)
 
 
-def category_sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Number of categories (largest code + 1) per column: one row on the driver."""
-    row = df.agg(*[F.max(c).alias(c) for c in columns]).first()
-    return {c: int(row[c]) + 1 for c in columns}
+def category_codes(df: DataFrame, columns: list[str]) -> dict[str, list[int]]:
+    """The codes that occur in each column, ascending: they become the schema of ``one_hot``."""
+    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
+    return {c: [int(code) for code in row[c]] for c in columns}
 
 
-def one_hot(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """0/1 columns ``name_code`` per category except the last code; the source columns go away."""
+def one_hot(df: DataFrame, codes: dict[str, list[int]]) -> DataFrame:
+    """0/1 columns ``name_code`` for each code that occurs except the last one; the source columns go away."""
     flags = [
-        F.when(F.col(c) == code, 1).otherwise(0).alias(f"{c}_{code}")
-        for c, size in sizes.items()
-        for code in range(size - 1)
+        F.when(F.col(c) == code, 1).otherwise(0).alias(f"{c}_{code}") for c, found in codes.items() for code in found[:-1]
     ]
-    return df.select(*[c for c in df.columns if c not in sizes], *flags)
+    return df.select(*[c for c in df.columns if c not in codes], *flags)
 
 
 def with_fourier(df: DataFrame, t: str, periods: list[int]) -> DataFrame:

@@ -119,11 +119,6 @@ def rated_lags(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     return joined.withColumn("release_to_rating_year", tm.year_gap(F.col("_y"), F.col("year"))).drop("_y")
 
 
-def above_threshold(
-    stats: DataFrame, min_average: float, min_count: int | None = None
-) -> DataFrame:
-    """Rows with at least this average and, if given, this many ratings."""
-    keep = F.col("avg_rating") >= F.lit(min_average)
-    if min_count is not None:
-        keep = keep & (F.col("rating_cnt") >= F.lit(min_count))
-    return stats.where(keep)
+def above_threshold(stats: DataFrame, min_average: float) -> DataFrame:
+    """Rows with at least this average."""
+    return stats.where(F.col("avg_rating") >= F.lit(min_average))

@@ -184,3 +184,9 @@ def rows_with_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "role", F.size(words).alias("word_count"), F.array_join(words, " ").alias("words")
     )
+
+
+@job("first_rows", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 25")
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows in the order of a key: a bounded heap per task."""
+    return rel.top(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), 25, "o_orderkey")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as tx
 from quern.functions import time as tm
+from quern.functions.vectors import register_array_max
 from quern.models import authors as au
 from quern.models import linear as ln
 from quern.models import logistic as lg
@@ -79,6 +80,47 @@ def linreg_enet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all([ln.fit_report(spark, name, model) for name, model in named.items()])
 
 
+CURVE = f"""{st.EXAM}, points AS (SELECT doc_id, n_words / 1000 AS X, n_chars / 1000 AS Y FROM exam)"""
+
+
+@job(
+    "enet_one_feature",
+    f"""WITH {CURVE}, m AS (
+  SELECT avg(X) AS mx, avg(Y) AS my, stddev_pop(X) AS sx, stddev_pop(Y) AS sy, corr(X, Y) AS r FROM points),
+w AS (SELECT *, greatest(abs(r) - 0.3 * 0.8 / sy, 0) * sign(r) / (1 + 0.3 * 0.2 / sy) AS w FROM m)
+SELECT round(w * sy / sx, 4) AS slope, round(my - w * sy / sx * mx, 4) AS intercept FROM w""",
+)
+def enet_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The elastic-net line from words to letters; with one feature it is a soft threshold of the correlation."""
+    model = ln.line_pipeline(["X"], "Y", maxIter=100, regParam=0.3, elasticNetParam=0.8, tol=1e-10).fit(_curve_points(spark, sf_dir))
+    wide = ln.coefficients(spark, model, ["slope"]).groupBy().pivot("term", ["slope", "intercept"]).agg(F.first("coefficient"))
+    return _rounded(wide, "slope", "intercept", digits=4)
+
+
+POLYNOMIAL = f"""{CURVE}, s AS (
+  SELECT count(*) AS n, sum(X) AS x1, sum(X*X) AS x2, sum(X*X*X) AS x3, sum(X*X*X*X) AS x4,
+         sum(Y) AS y0, sum(X*Y) AS y1, sum(X*X*Y) AS y2 FROM points),
+d AS (SELECT *, n*(x2*x4 - x3*x3) - x1*(x1*x4 - x2*x3) + x2*(x1*x3 - x2*x2) AS det FROM s),
+c AS (SELECT (y0*(x2*x4 - x3*x3) - x1*(y1*x4 - y2*x3) + x2*(y1*x3 - y2*x2)) / det AS c0,
+             (n*(y1*x4 - y2*x3) - y0*(x1*x4 - x2*x3) + x2*(x1*y2 - x2*y1)) / det AS c1,
+             (n*(x2*y2 - x3*y1) - x1*(x1*y2 - x2*y1) + y0*(x1*x3 - x2*x2)) / det AS c2 FROM d)"""
+
+
+@job(
+    "poly_grid",
+    f"""WITH {POLYNOMIAL}, e AS (SELECT min(X) AS lo, max(X) AS hi FROM points)
+SELECT CAST(p AS INT) AS point, round(lo + (hi - lo) * p / 99, 6) AS X,
+  round(c0 + c1 * (lo + (hi - lo) * p / 99) + c2 * pow(lo + (hi - lo) * p / 99, 2), 4) AS prediction
+FROM c, e, range(100) r(p)""",
+)
+def poly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parabola without penalty, fitted by normal equations, over an even grid of lengths."""
+    points = staged(_curve_points(spark, sf_dir), "curve-points")
+    model = ln.polynomial_pipeline(["X"], "Y", 2, solver="normal", regParam=0.0).fit(points)
+    grid = ranges.even_grid(points, "X", 100)
+    return _rounded(_rounded(ln.predictions(model, grid, ["point", "X"]), "X"), "prediction", digits=4)
+
+
 @job("linreg_coefficients")
 def linreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     demand = _demand(spark, sf_dir)
@@ -140,7 +182,7 @@ def tree_regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision tree and random forest on one-hot and power features."""
     demand = ft.with_powers(_demand(spark, sf_dir), ["temp", "hum", "windspeed"])
     hot = ["mnth", "weekday", "season", "weathersit"]
-    wide = ft.one_hot(demand, ft.category_sizes(demand, hot))
+    wide = ft.one_hot(demand, ft.category_codes(demand, hot))
     parts = wide.withColumn("part", sp.split_column("instant", {"train": 0.8, "test": 0.3}, seed=42)).drop("instant")
     models = {"decision_tree": rs.decision_tree("cnt"), "random_forest": rs.random_forest("cnt")}
     return rs.compare(rs.assemble(parts, "cnt", keep=("part",)), "cnt", models)
@@ -224,6 +266,76 @@ def _exam(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXAM_FEATURES = ["n_chars", "n_words", "timestamp"]
 
 
+def _newton(steps: int) -> str:
+    """SQL: Newton steps of an unpenalised logistic regression of ``result`` on one feature ``x`` of table ``t``."""
+    parts = ["b0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for k in range(steps):
+        parts.append(f"""g{k} AS (
+  SELECT sum(result - p) AS ga, sum((result - p) * x) AS gb, sum(p * (1 - p)) AS haa, sum(p * (1 - p) * x) AS hab,
+         sum(p * (1 - p) * x * x) AS hbb FROM (SELECT result, x, 1 / (1 + exp(-(a + b * x))) AS p FROM t, b{k})),
+b{k + 1} AS (SELECT a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a,
+  b + (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM b{k}, g{k})""")
+    return ",\n".join(parts)
+
+
+@job(
+    "logreg_one_feature",
+    f"""WITH {st.EXAM}, t AS (SELECT doc_id, result, ln(1 + n_words) AS x FROM exam), {_newton(12)}
+SELECT doc_id, round(1 / (1 + exp(-(a + b * x))), 4) AS p1, round(greatest(1 / (1 + exp(-(a + b * x))),
+  1 - 1 / (1 + exp(-(a + b * x)))), 4) AS prob FROM t, b12""",
+)
+def logreg_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression without penalty of the result on the logarithm of the number of words."""
+    exam = st.exam(spark, sf_dir).select("doc_id", "result", F.log1p("n_words").alias("x"))
+    model = lg.logistic_pipeline(["x"], "result", maxIter=200, regParam=0.0, tol=1e-12).fit(exam)
+    return _rounded(lg.scored(model, exam).select("doc_id", "p1", "prob"), "p1", "prob", digits=4)
+
+
+@job(
+    "tree_stump",
+    f"""WITH {st.DAYS}, marks AS (
+  SELECT instant, cnt, unnest([{{'f': 0, 'v': mnth}}, {{'f': 1, 'v': season}}, {{'f': 2, 'v': weekday}}, {{'f': 3, 'v': weathersit}}]) AS m FROM days),
+levels AS (SELECT m.f AS f, m.v AS v, count(*) AS n, sum(cnt) AS s FROM marks GROUP BY ALL),
+cuts AS (
+  SELECT f, v, sum(n) OVER up AS n1, sum(s) OVER up AS s1, sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+  FROM levels WINDOW up AS (PARTITION BY f ORDER BY v)),
+best AS (
+  SELECT * FROM cuts WHERE n1 < n
+  ORDER BY round(s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1), 6) DESC, f, v LIMIT 1)
+SELECT instant, round(CASE WHEN m.v <= best.v THEN s1 / n1 ELSE (s - s1) / (n - n1) END, 6) AS prediction
+FROM marks JOIN best ON m.f = best.f""",
+)
+def tree_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A regression tree of depth 1 over calendar columns with fewer values than bins."""
+    days = st.days(spark, sf_dir).select("instant", F.col("cnt").cast("double").alias("cnt"), "mnth", "season", "weekday", "weathersit")
+    rows = staged(rs.assemble(days, "cnt", keep=("instant",)), "calendar")
+    found = rs.decision_tree("cnt", maxDepth=1).fit(rows).transform(rows)
+    return _rounded(found.select("instant", "prediction"), "prediction")
+
+
+@job(
+    "vector_max_sql",
+    f"WITH {st.DAYS} SELECT instant, round(greatest(temp, hum, windspeed), 6) AS largest FROM days",
+)
+def vector_max_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest element of an assembled vector, by a function that SQL text calls by name."""
+    days = st.days(spark, sf_dir).select("instant", "temp", "hum", "windspeed")
+    vectors = VectorAssembler(inputCols=["temp", "hum", "windspeed"], outputCol="v").transform(days)
+    register_array_max(spark)
+    arrays = vectors.select("instant", vector_to_array("v").alias("a"))
+    return spark.sql("SELECT instant, round(maxVectorElement(a), 6) AS largest FROM {arrays}", arrays=arrays)
+
+
+@job(
+    "regex_tokens",
+    f"SELECT doc_id, len({TOKENS})::INT AS n_tokens, len(list_distinct({TOKENS}))::INT AS n_distinct FROM documents",
+)
+def regex_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MLlib's tokenizer on every document."""
+    tokens = au.tokenizer("text").transform(text_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return tokens.select("doc_id", F.size("words").alias("n_tokens"), F.size(F.array_distinct("words")).alias("n_distinct"))
+
+
 @job("logreg_exam")
 def logreg_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled document with probability, prediction and the larger probability."""

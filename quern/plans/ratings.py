@@ -152,6 +152,18 @@ def ratings_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.monthly_counts(st.ratings(spark, sf_dir)).orderBy("year", "month")
 
 
+@job(
+    "rating_times",
+    f"""WITH {st.RATINGS}, t AS (
+  SELECT movie_id, rating, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS rated_at FROM ratings)
+SELECT movie_id, rating, rated_at, rated_at[1:4] AS year, rated_at[6:7] AS month, rated_at[9:10] AS day FROM t""",
+)
+def rating_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rating with its date and time as text, and the parts of that text."""
+    rated = st.ratings(spark, sf_dir).withColumn("rated_at", tm.epoch_text(F.col("timestamp")))
+    return rated.drop("timestamp").withColumns(tm.text_parts(F.col("rated_at")))
+
+
 @job(
     "fractional_year",
     f"""WITH {MONTHS} SELECT year || '-' || month AS label,

@@ -168,19 +168,20 @@ def poly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(rows, *[c for c in rows.columns if c != "instant"])
 
 
-HOT = {"mnth": 13, "weekday": 7, "season": 5, "weathersit": 4}
+# The codes that occur in the daily table.
+HOT = {"mnth": range(1, 13), "weekday": range(7), "season": range(1, 5), "weathersit": range(1, 4)}
 
 
 @job(
     "one_hot_features",
     f"WITH {st.DAYS} SELECT instant, "
-    + ", ".join(f"CAST({c} = {v} AS INT) AS {c}_{v}" for c, size in HOT.items() for v in range(size - 1))
+    + ", ".join(f"CAST({c} = {v} AS INT) AS {c}_{v}" for c, codes in HOT.items() for v in codes[:-1])
     + " FROM days",
 )
 def one_hot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Category codes come from the data; the largest one is the level without a column."""
+    """The codes that occur come from the data; the largest one is the level without a column."""
     days = st.days(spark, sf_dir).select("instant", *HOT)
-    return ft.one_hot(days, ft.category_sizes(days, list(HOT)))
+    return ft.one_hot(days, ft.category_codes(days, list(HOT)))
 
 
 @job(

@@ -34,6 +34,19 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_counts.current_counts(spark, folder)
 
 
+@job(
+    "word_top10_stream",
+    f"""SELECT word, count(*) AS count FROM (SELECT unnest({st.DUCK_WORDS}) AS word FROM conversations)
+GROUP BY word ORDER BY count DESC, word LIMIT 10""",
+)
+def word_top10_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words of the running counts."""
+    folder = fresh_path(spark, "word-counts")
+    turns = _stream(spark, sf_dir, "conversations")
+    word_counts.start_counts(turns, tx.words(F.col("text")), folder, fresh_path(spark, "word-state")).awaitTermination()
+    return word_counts.top_words(spark, folder, 10)
+
+
 @job(
     "score_stream",
     f"""WITH {ENTITY_BAYES}, texts AS (

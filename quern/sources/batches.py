@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -14,24 +13,27 @@ def first_rows(df: DataFrame, n: int) -> Iterator[Row]:
     return df.limit(n).toLocalIterator()
 
 
-def driver_batches(df: DataFrame, batch_size: int) -> Iterator[list[Row]]:
-    """Rows in lists of ``batch_size``; at most one partition is on the driver."""
-    rows = df.toLocalIterator()
-    while batch := list(islice(rows, batch_size)):
-        yield batch
-
-
 def map_batches(
     df: DataFrame,
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
     batch_size: int,
 ) -> DataFrame:
-    """Apply ``fn`` to pandas batches of at most ``batch_size`` rows in the tasks."""
+    """Apply ``fn`` to pandas batches of ``batch_size`` rows in the tasks; the last one of a task may be smaller."""
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        rows = 0
         for chunk in chunks:
-            for start in range(0, len(chunk), batch_size):
-                yield fn(chunk.iloc[start : start + batch_size])
+            held.append(chunk)
+            rows += len(chunk)
+            if rows >= batch_size:
+                whole = pd.concat(held)
+                full = rows - rows % batch_size
+                for start in range(0, full, batch_size):
+                    yield fn(whole.iloc[start : start + batch_size])
+                held, rows = [whole.iloc[full:]], rows - full
+        if rows:
+            yield fn(pd.concat(held))
 
     return df.mapInPandas(run, schema)

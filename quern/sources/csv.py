@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,14 +42,6 @@ def read_csv(
     return df
 
 
-def read_many(spark: SparkSession, paths: list[str], schema: str, **options) -> DataFrame:
-    """Several files of one layout, each row marked with its file in ``Filename``."""
-    return reduce(
-        DataFrame.unionByName,
-        [read_csv(spark, p, schema, **options).withColumn("Filename", F.lit(p)) for p in paths],
-    )
-
-
 def write_csv(
     df: DataFrame, path: str, *, delimiter: str = ",", single_file: bool = False
 ) -> None:

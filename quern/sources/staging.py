@@ -1,13 +1,16 @@
 """Where intermediate results and stream state are written.
 
 Everything goes below ``spark.checkpoint.dir``: on a cluster that is a folder
-all executors share, so a lost executor loses nothing that was staged.
+all executors share, so a lost executor loses nothing that was staged. Tables
+stay until a ``scratch`` scope around the job closes.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +27,37 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path no other run uses; an open scope removes it when it closes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark writes to; nothing happens if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end all that was staged inside: close it when the results have been written."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

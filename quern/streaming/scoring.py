@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators import bayes as nb
-from quern.streaming.word_counts import batch_path
+from quern.sources import staging
 
 
 def start_scoring(
@@ -18,7 +18,7 @@ def start_scoring(
     def save(batch: DataFrame, batch_id: int) -> None:
         asked = nb.with_model(batch, model, entity)
         found = nb.classify(asked, key, words, model)
-        found.write.mode("overwrite").parquet(batch_path(folder, batch_id))
+        found.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     return (
         texts.writeStream.foreachBatch(save)
@@ -29,4 +29,6 @@ def start_scoring(
 
 
 def predictions(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(folder).drop("batch_id")
+    """All predictions so far; no rows when nothing has arrived."""
+    found = spark.read.schema(schema).parquet(folder) if staging.exists(spark, folder) else spark.createDataFrame([], schema)
+    return found.drop("batch_id")

@@ -7,13 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators.words import explode_words
+from quern.sources import staging
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ON_DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def batch_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/batch_id={batch_id}"
+# After so many micro-batches their totals are merged into one folder.
+MERGE_EVERY = 20
+
+
+def batch_path(folder: str, batch_id: int, kind: str = "new") -> str:
+    return f"{folder}/kind={kind}/batch_id={batch_id}"
+
+
+def merge_before(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Totals of all earlier batches into one folder; what it covers is removed once it is whole.
+
+    A repeated call finds the folder whole and only removes. Storage follows the number of words, not of batches.
+    """
+    whole = batch_path(folder, batch_id - 1, "merged")
+    if not staging.exists(spark, f"{whole}/_SUCCESS"):
+        current_counts(spark, folder, before=batch_id).write.mode("overwrite").parquet(whole)
+    for earlier in range(max(0, batch_id - 2 * MERGE_EVERY), batch_id):
+        staging.remove(spark, batch_path(folder, earlier))
+        if earlier < batch_id - 1:
+            staging.remove(spark, batch_path(folder, earlier, "merged"))
 
 
 def start_counts(texts: DataFrame, words: Column, folder: str, state: str) -> StreamingQuery:
@@ -32,6 +51,8 @@ def start_counts(texts: DataFrame, words: Column, folder: str, state: str) -> St
 
         def save(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(batch_path(folder, batch_id))
+            if batch_id and batch_id % MERGE_EVERY == 0:
+                merge_before(batch.sparkSession, folder, batch_id)
 
         return (
             counts.writeStream.outputMode("update")
@@ -47,9 +68,12 @@ def start_counts(texts: DataFrame, words: Column, folder: str, state: str) -> St
             spark.conf.set(STATE_STORE, before)
 
 
-def current_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest total of every word."""
-    saved = spark.read.schema("word STRING, count BIGINT, batch_id BIGINT").parquet(folder)
+def current_counts(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """The latest total of every word, of the batches ``before`` one if given; no rows when nothing has arrived."""
+    schema = "word STRING, count BIGINT, kind STRING, batch_id BIGINT"
+    saved = spark.read.schema(schema).parquet(folder) if staging.exists(spark, folder) else spark.createDataFrame([], schema)
+    if before is not None:
+        saved = saved.where(F.col("batch_id") < before)
     return saved.groupBy("word").agg(F.max_by("count", "batch_id").alias("count"))
 
 

@@ -6,7 +6,6 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators.circle import circle_share, random_points
 from quern.sources import batches, csv, inline, ranges, schemas, staging, tables
 
 
@@ -43,12 +42,6 @@ def test_required_columns_fail_on_empty_values(spark, tmp_path):
         csv.read_csv(spark, path, schemas.RATINGS, required=("userId",)).collect()
 
 
-def test_read_many_marks_the_file(spark, tmp_path):
-    paths = [write(tmp_path / f"b{i}.csv", f"X,Y\n{i},1\n") for i in range(3)]
-    df = csv.read_many(spark, paths, schemas.XY)
-    assert sorted(r.Filename for r in df.collect()) == paths
-
-
 def test_single_file_export(spark, tmp_path):
     out = tmp_path / "out"
     for _ in range(2):
@@ -74,16 +67,25 @@ def test_range_is_partitioned(spark):
     assert ranges.index_range(spark, 100, 7).rdd.getNumPartitions() == 7
 
 
-def test_random_points_estimate_pi(spark):
-    row = circle_share(random_points(spark, 200_000, 4, seed=3)).first()
-    assert row.samples == 200_000 and row.pi == pytest.approx(3.14159, abs=0.02)
-
-
 def test_batches(spark):
     assert len(list(batches.first_rows(spark.range(10), 3))) == 3
-    assert [len(b) for b in batches.driver_batches(spark.range(7), 3)] == [3, 3, 1]
     sized = batches.map_batches(spark.range(0, 10, 1, 2), lambda p: p.assign(id=len(p)).head(1), "id BIGINT", 2)
     assert sorted(r.id for r in sized.collect()) == [1, 1, 2, 2, 2, 2]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        sized = batches.map_batches(spark.range(0, 10, 1, 1), lambda p: p.assign(id=len(p)).head(1), "id BIGINT", 4)
+        assert [r.id for r in sized.collect()] == [4, 4, 2]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_scratch_tables_go(spark):
+    with staging.scratch(spark):
+        df = staging.staged(spark.range(5), "gone")
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        assert df.count() == 5 and staging.exists(spark, path)
+    assert not staging.exists(spark, path)
 
 
 def test_staging_uses_the_configured_folder(spark):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quern.functions import text as tx
 from quern.operators import bayes as nb
 from quern.operators import words as wd
+from quern.sources import staging
 from quern.sources.staging import fresh_path
 from quern.streaming import scoring, word_counts
 from quern.streaming.sources import file_stream
@@ -27,6 +28,28 @@ def test_word_counts_over_two_runs(spark):
     assert (top[0].word, top[0]["count"]) == ("common", 60)
 
 
+def test_totals_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(word_counts, "MERGE_EVERY", 2)
+    inbox, folder, state = (fresh_path(spark, n) for n in ("inbox", "counts", "state"))
+    df = spark.createDataFrame(TEXTS, SCHEMA)
+    words = tx.words(F.col("text"))
+    for k in range(5):
+        df.where(f"id % 5 = {k}").coalesce(1).write.mode("append").parquet(inbox)
+        stream = file_stream(spark, inbox, SCHEMA, files_per_batch=1)
+        word_counts.start_counts(stream, words, folder, state).awaitTermination()
+    word_counts.merge_before(spark, folder, 4)  # a repeated call changes nothing
+    kept = [p for p in range(6) for kind in ("new", "merged") if staging.exists(spark, word_counts.batch_path(folder, p, kind))]
+    assert kept == [3, 4]
+    got = {r.word: r["count"] for r in word_counts.current_counts(spark, folder).collect()}
+    assert got == {r.word: r["count"] for r in wd.word_counts(df, words).collect()}
+
+
+def test_nothing_has_arrived(spark):
+    folder = fresh_path(spark, "empty")
+    assert word_counts.current_counts(spark, folder).count() == word_counts.top_words(spark, folder, 3).count() == 0
+    assert scoring.predictions(spark, folder, "id BIGINT, prediction INT, batch_id BIGINT").columns == ["id", "prediction"]
+
+
 def test_scores_equal_the_batch_job(spark):
     inbox, folder, state = (fresh_path(spark, n) for n in ("inbox", "scores", "state"))
     df = spark.createDataFrame(TEXTS, SCHEMA)
