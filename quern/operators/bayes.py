@@ -63,7 +63,32 @@ def fit(
         counts = counts.unionByName(pooled)
         together = sizes.groupBy("label").agg(F.sum("docs").alias("docs"))
         sizes = sizes.unionByName(together.withColumn("entity", F.lit(ALL)))
+    return smoothed(counts, sizes, smoothing, prior_smoothing)
 
+
+def fit_folds(
+    docs: DataFrame, words: Column, label: str, fold: str, k: int, *, smoothing: float = 1.0, prior_smoothing: float | None = None
+) -> BayesModel:
+    """One model per fold 1..k (its number is the entity), trained on the other folds.
+
+    The texts are counted once: the counts of a training set are those of all rows minus the fold's own.
+    """
+    rows = docs.select(F.col(fold).alias("fold"), F.col(label).alias("label"), F.explode(words).alias("word"))
+    own = staged(rows.groupBy("fold", "label", "word").agg(F.count("*").alias("n")), "fold-counts")
+    own_sizes = docs.groupBy(F.col(fold).alias("fold"), F.col(label).alias("label")).agg(F.count("*").alias("docs"))
+
+    def others(parts: DataFrame, keys: list[str], n: str) -> DataFrame:
+        whole = parts.groupBy(*keys).agg(F.sum(n).alias("_all"))
+        asked = whole.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(k))))
+        rest = asked.join(parts, ["fold", *keys], "left").withColumn(n, F.col("_all") - F.coalesce(n, F.lit(0)))
+        return rest.where(F.col(n) > 0).select(F.col("fold").cast("string").alias("entity"), *keys, n)
+
+    counts = staged(others(own, ["label", "word"], "n"), "bayes-counts")
+    return smoothed(counts, others(own_sizes, ["label"], "docs"), smoothing, smoothing if prior_smoothing is None else prior_smoothing)
+
+
+def smoothed(counts: DataFrame, sizes: DataFrame, smoothing: float, prior_smoothing: float) -> BayesModel:
+    """The model of counted words (entity, label, word, n) and documents (entity, label, docs)."""
     totals = counts.groupBy("entity", "label").agg(F.sum("n").alias("words"))
     breadth = (
         counts.groupBy("entity", "word")

@@ -10,14 +10,14 @@ from quern.operators.prefix import running_totals
 from quern.sources.staging import staged
 
 
-def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Counts per label and prediction: the one pass all class metrics come from."""
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+def confusion(df: DataFrame, label: str, prediction: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Counts per label and prediction (and keys): the one pass all class metrics come from."""
+    return df.groupBy(*keys, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count("*").alias("count")
     )
 
 
-def per_class(counts: DataFrame) -> DataFrame:
+def per_class(counts: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Precision, recall and F1 of every class, from a confusion table."""
     n, zero = F.col("count"), F.lit(0).cast("bigint")
     hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)
@@ -26,13 +26,14 @@ def per_class(counts: DataFrame) -> DataFrame:
         F.struct(F.col("prediction").alias("class"), zero.alias("support"), n.alias("predicted"), zero.alias("tp")),
     )
     sums = (
-        counts.select(F.inline(sides))
-        .groupBy("class")
+        counts.select(*keys, F.inline(sides))
+        .groupBy(*keys, "class")
         .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
     )
     precision = safe_ratio(F.col("tp"), F.col("predicted"))
     recall = safe_ratio(F.col("tp"), F.col("support"))
     return sums.select(
+        *keys,
         "class",
         "support",
         "predicted",
@@ -43,10 +44,10 @@ def per_class(counts: DataFrame) -> DataFrame:
     )
 
 
-def class_summary(classes: DataFrame) -> DataFrame:
-    """Accuracy, weighted and macro metrics: one row from the per-class table."""
+def class_summary(classes: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Accuracy, weighted and macro metrics: one row (per key) from the per-class table."""
     total = F.nullif(F.sum("support"), F.lit(0))
-    return classes.agg(
+    return classes.groupBy(*keys).agg(
         (F.sum("tp") / total).alias("accuracy"),
         (F.sum(F.col("support") * F.col("precision")) / total).alias("weighted_precision"),
         (F.sum(F.col("support") * F.col("recall")) / total).alias("weighted_recall"),

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as tx
 from quern.operators import bayes as nb
+from quern.operators import metrics as mt
 from quern.operators import relational as rel
+from quern.operators import sampling as sp
 from quern.operators import words as wd
 from quern.plans import standins as st
 from quern.plans.registry import job
+from quern.sources.staging import staged
 from quern.sources.tables import table, text_table
 
 WORDS, TOKENS = st.DUCK_WORDS, st.DUCK_TOKENS
@@ -298,3 +301,93 @@ def nb_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     asked = nb.with_model(docs.unionByName(turns), model, F.col("entity"))
     return nb.classify(asked, "text_id", tx.tokens_2plus(F.col("text")), model)
+
+
+def _report_sql(predicted: str, keys: str) -> str:
+    """SQL: class metrics per key of a table with label and prediction, both 0 or 1."""
+    return f"""cells AS (
+  SELECT {keys}, c.class, count(*) FILTER (label = c.class) AS support, count(*) FILTER (prediction = c.class) AS predicted,
+         count(*) FILTER (label = c.class AND prediction = c.class) AS tp
+  FROM {predicted}, (SELECT unnest([0, 1]) AS class) c GROUP BY {keys}, c.class),
+rates AS (SELECT *, coalesce(tp / nullif(predicted, 0), 0) AS p, coalesce(tp / nullif(support, 0), 0) AS r,
+  coalesce(2 * tp / nullif(predicted + support, 0), 0) AS f FROM cells WHERE predicted + support > 0)
+SELECT {keys}, round(sum(tp) / sum(support), 6) AS accuracy, round(sum(support * p) / sum(support), 6) AS weighted_precision,
+  round(sum(support * r) / sum(support), 6) AS weighted_recall, round(sum(support * f) / sum(support), 6) AS weighted_f1
+FROM rates GROUP BY {keys}"""
+
+
+def _report(found: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    summary = mt.class_summary(mt.per_class(mt.confusion(found, "label", "prediction", keys), keys), keys)
+    names = ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")
+    return summary.select(*keys, *[F.round(n, 6).alias(n) for n in names])
+
+
+@job(
+    "nb_folds",
+    f"""WITH {st.TWEETS}, k AS (SELECT CAST(unnest(range(1, 11)) AS INT) AS fold),
+f AS (SELECT doc_id, sentiment AS label, text, ntile(10) OVER (PARTITION BY sentiment ORDER BY md5(doc_id || ':9')) AS own
+      FROM tweets),
+toks AS (SELECT doc_id, label, own, unnest({PLUS}) AS word FROM f),
+n AS (SELECT fold, label, word, count(*) AS n FROM toks, k WHERE own <> fold GROUP BY ALL),
+totals AS (SELECT fold, label, sum(n) AS words FROM n GROUP BY ALL),
+v AS (SELECT fold, count(DISTINCT word) AS v FROM n GROUP BY fold),
+sizes AS (SELECT fold, label, count(*) AS docs FROM f, k WHERE own <> fold GROUP BY ALL),
+classes AS (
+  SELECT fold, label, words, v, ln(docs / sum(docs) OVER (PARTITION BY fold)) AS log_prior, ln(1 / (words + v)) AS log_default
+  FROM sizes JOIN totals USING (fold, label) JOIN v USING (fold)),
+theta AS (
+  SELECT fold, label, word, ln((n + 1) / (words + v)) - log_default AS gain FROM n JOIN classes USING (fold, label)),
+known AS (SELECT doc_id, fold, count(*) AS known FROM toks JOIN (SELECT DISTINCT fold, word FROM n) USING (word) GROUP BY ALL),
+gains AS (SELECT doc_id, fold, t.label, sum(gain) AS gain FROM toks JOIN theta t USING (word) GROUP BY ALL),
+scored AS (
+  SELECT doc_id, f.label, own, c.fold, c.label AS class,
+         round(log_prior + coalesce(known, 0) * log_default + coalesce(gain, 0), 6) AS score
+  FROM f CROSS JOIN classes c LEFT JOIN known USING (doc_id, fold)
+  LEFT JOIN gains g ON g.doc_id = f.doc_id AND g.fold = c.fold AND g.label = c.label),
+found AS (SELECT fold, CASE WHEN own = fold THEN 'test' ELSE 'train' END AS part, label, class AS prediction FROM scored
+  QUALIFY row_number() OVER (PARTITION BY doc_id, fold ORDER BY score DESC, class) = 1),
+{_report_sql("found", "fold, part")}""",
+)
+def nb_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten models, each trained without one fold, measured on that fold and on the others."""
+    tweets = sp.stratified_folds(st.tweets(spark, sf_dir), "doc_id", "sentiment", 10, seed=9)
+    tweets = staged(tweets.select("doc_id", "sentiment", "fold", tx.tokens_2plus(F.col("text")).alias("words")), "tweet-folds")
+    model = nb.weights(nb.fit_folds(tweets, F.col("words"), "sentiment", "fold", 10, prior_smoothing=0.0))
+    asked = tweets.withColumn("model_fold", F.explode(F.sequence(F.lit(1), F.lit(10))))
+    asked = asked.withColumns({"ask": F.concat_ws("/", "doc_id", "model_fold"), "model_entity": F.col("model_fold").cast("string")})
+    found = nb.classify(asked, "ask", F.col("words"), model)
+    part = F.when(F.col("fold") == F.col("model_fold"), "test").otherwise("train")
+    judged = asked.select("ask", F.col("model_fold"), part.alias("part"), F.col("sentiment").alias("label")).join(found, "ask")
+    return _report(judged.withColumn("fold", F.col("model_fold")), ("fold", "part"))
+
+
+@job(
+    "nb_entity_report",
+    f"""WITH {ENTITY_BAYES}, asked AS (
+  SELECT doc_id, sentiment AS label, text, unnest([lower(entity), '*']) AS model_entity FROM tweets),
+doc_words AS (SELECT doc_id, model_entity, unnest({PLUS}) AS word FROM asked),
+vocab AS (SELECT DISTINCT entity AS model_entity, word FROM n),
+known AS (SELECT doc_id, model_entity, count(*) AS known FROM doc_words SEMI JOIN vocab USING (model_entity, word) GROUP BY ALL),
+theta AS (
+  SELECT entity AS model_entity, label, word, ln((n + 1) / (words + v)) - log_default AS gain
+  FROM n JOIN classes USING (entity, label)),
+gains AS (
+  SELECT doc_id, model_entity, label, sum(gain) AS gain FROM doc_words JOIN theta USING (model_entity, word) GROUP BY ALL),
+scored AS (
+  SELECT doc_id, a.label, model_entity, c.label AS class,
+         round(log_prior + coalesce(known, 0) * log_default + coalesce(gain, 0), 6) AS score
+  FROM asked a JOIN classes c ON model_entity = c.entity LEFT JOIN known USING (doc_id, model_entity)
+  LEFT JOIN gains g ON g.doc_id = a.doc_id AND g.model_entity = c.entity AND g.label = c.label),
+found AS (SELECT model_entity, label, class AS prediction FROM scored
+  QUALIFY row_number() OVER (PARTITION BY doc_id, model_entity ORDER BY score DESC, class) = 1),
+{_report_sql("found", "model_entity")}""",
+)
+def nb_entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class metrics of every entity's model on its own documents, and of the one over all rows on all of them."""
+    tweets = st.tweets(spark, sf_dir)
+    model = nb.weights(_entity_model(spark, sf_dir))
+    asked = tweets.select("doc_id", "sentiment", "text", F.explode(F.array(F.lower("entity"), F.lit(nb.ALL))).alias("model_entity"))
+    asked = asked.withColumn("ask", F.concat_ws("/", "doc_id", "model_entity"))
+    found = nb.classify(asked, "ask", tx.tokens_2plus(F.col("text")), model)
+    judged = asked.select("ask", F.col("sentiment").alias("label")).join(found, "ask")
+    return _report(judged, ("model_entity",))
