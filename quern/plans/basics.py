@@ -86,20 +86,21 @@ def lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job(
     "inline_tables",
-    """SELECT o_orderpriority, weight, count(*) AS count FROM orders
-JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 4), ('3-MEDIUM', 3)) w(p, weight) ON o_orderpriority = p
-WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL""",
+    """SELECT o_orderpriority, coalesce(weight, 1)::INT AS weight, o_orderstatus IN ('F', 'O') AS listed, count(*) AS count
+FROM orders LEFT JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 4), ('3-MEDIUM', 3)) w(p, weight) ON o_orderpriority = p
+GROUP BY ALL""",
 )
 def inline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders joined with a table built from rows and filtered by one built from strings."""
+    """Orders joined with a table built from rows (default 1) and marked by one built from strings."""
     weights = inline.from_rows(
         spark, [("1-URGENT", 5), ("2-HIGH", 4), ("3-MEDIUM", 3)], "o_orderpriority STRING, weight INT"
     )
-    wanted = inline.from_strings(spark, ["F", "O"], "o_orderstatus")
+    wanted = inline.from_strings(spark, ["F", "O"], "o_orderstatus").withColumn("listed", F.lit(True))
     orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus")
     # Both tables are literals of this function.
-    found = orders.join(F.broadcast(wanted), "o_orderstatus", "left_semi").join(F.broadcast(weights), "o_orderpriority")
-    return found.groupBy("o_orderpriority", "weight").count()
+    found = orders.join(F.broadcast(wanted), "o_orderstatus", "left").join(F.broadcast(weights), "o_orderpriority", "left")
+    found = found.withColumns({"weight": F.coalesce("weight", F.lit(1)), "listed": F.coalesce("listed", F.lit(False))})
+    return found.groupBy("o_orderpriority", "weight", "listed").count()
 
 
 @job(

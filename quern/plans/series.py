@@ -27,6 +27,11 @@ def _round(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily counts, written once: several branches of a job read them."""
+    return staged(st.days(spark, sf_dir).select("instant", "cnt"), "daily-counts")
+
+
 @job("daily_demand", f"WITH {st.DAYS} SELECT instant, dteday, season, yr, mnth, weekday, workingday, weathersit, cnt FROM days")
 def daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.days(spark, sf_dir).drop("temp", "hum", "windspeed")
@@ -60,7 +65,7 @@ FROM shifts a JOIN shifts b ON a.t = b.t AND a.s < b.s
 WHERE a.t <= (SELECT max(instant) FROM days) GROUP BY a.s, b.s""",
 )
 def lag_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(se.lag_correlations(st.days(spark, sf_dir), "instant", "cnt", 40), "r")
+    return _round(se.lag_correlations(_counts(spark, sf_dir), "instant", "cnt", 40), "r")
 
 
 ACF = """m AS (SELECT avg(cnt) AS mu, count(*) AS n FROM days),
@@ -77,7 +82,7 @@ SELECT lag, round(acf, 6) AS acf, round(CASE WHEN lag = 0 THEN 0 ELSE 1.95996398
   0)) / (SELECT n FROM m)) END, 6) AS band FROM rho""",
 )
 def acf40(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(se.autocorrelation(st.days(spark, sf_dir), "instant", "cnt", 40), "acf", "band")
+    return _round(se.autocorrelation(_counts(spark, sf_dir), "instant", "cnt", 40), "acf", "band")
 
 
 HOURLY = """hourly AS (
@@ -122,7 +127,7 @@ SELECT instant, CAST(cnt AS DOUBLE) AS y, round(trend, 6) AS trend, round(season
   round(cnt - trend - seasonal, 6) AS resid FROM s JOIN q USING (phase)""",
 )
 def seasonal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = se.seasonal_parts(st.days(spark, sf_dir), "instant", "cnt", 30)
+    parts = se.seasonal_parts(_counts(spark, sf_dir), "instant", "cnt", 30)
     return _round(parts, "trend", "seasonal", "resid")
 
 
@@ -135,7 +140,7 @@ SELECT CAST(k AS INT) AS k, round(2.0 / any_value(n) * sqrt(
 FROM days, n, range(1, 40) r(k) GROUP BY k""",
 )
 def spectrum39(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(se.spectrum(st.days(spark, sf_dir), "instant", "cnt", 39), "amplitude")
+    return _round(se.spectrum(_counts(spark, sf_dir), "instant", "cnt", 39), "amplitude")
 
 
 @job(
@@ -365,7 +370,7 @@ SELECT part, count(*) AS n, {METRICS.format(y="cnt", p="(a + b * temp)")} FROM p
 )
 def train_test_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line fitted on the training part, measured on both parts in one aggregate; weights 0.8 and 0.3."""
-    days = st.days(spark, sf_dir)
+    days = staged(st.days(spark, sf_dir).select("instant", "temp", "cnt"), "days")
     parts = days.withColumn("part", sp.split_column("instant", {"train": 0.8, "test": 0.3}, seed=42))
     fit = rg.ols(parts.where("part = 'train'"), "temp", "cnt").select(F.struct("slope", "intercept").alias("f"))
     scored = parts.withColumn("_f", fit.scalar()).withColumn(

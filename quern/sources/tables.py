@@ -26,17 +26,16 @@ def register(views: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Deal the rows over all cores when the scan has fewer splits than there are cores.
 
-    For work that is heavy per row (tokenising) on a table of few files. A table
-    with enough splits, as any large one, is returned as it is.
+    For work that is heavy per row (tokenising) on a table of few files. The rows are dealt in turn, not by a key, so
+    the plan above is the same with and without it; a table with enough splits, as any large one, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table with long texts, spread over the cores."""
-    keys = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
-    return spread(table(spark, sf_dir, name), keys[name])
+    return spread(table(spark, sf_dir, name))

@@ -99,6 +99,6 @@ def test_spread_only_small_scans(spark, sf_dir):
     docs = tables.text_table(spark, sf_dir, "documents")
     assert docs.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 64)
-    assert tables.spread(wide, "id") is wide
+    assert tables.spread(wide) is wide
     with pytest.raises(ValueError, match="unknown table"):
         tables.table(spark, sf_dir, "nope")
