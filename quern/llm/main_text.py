@@ -115,7 +115,8 @@ def page_lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     break
                 inner = (tag[2] or "").lower()
                 if tag[1] and (inner in ("body", "html") or inner in MAIN and main and inner != name):
-                    break  # the part was never closed
+                    place = tag.start()  # the part was never closed
+                    break
                 place = tag.end()
                 if inner in RAW and not tag[1] and inner != name:
                     place = closing(inner, place)

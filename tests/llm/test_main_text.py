@@ -19,7 +19,7 @@ LONG = "word " * 40
         ("<article>&nbsp;A&eacute;&#x41;<p>b<br>c <i>d</i></p><div class='ad'>no<div>x</div></div><p>e</article><article class=comment>x</article>", "AéA\n\nb c d\n\ne"),
         ("<nav>menu</nav><main><header><h1>T</h1></header><p>a</p><section id='comments'><p>reader</p></section><p>b</p></main><footer>f</footer>", "T\n\na\n\nb"),
         (f"<div><a href=x>Home</a></div><div><h2>Title</h2><p>{LONG}</p><p>Short.</p></div><div class=footer>x</div><p>tail</p>", f"Title\n\n{LONG.strip()}\n\nShort."),
-        ("<article><div class='ad'>never closed<p>x</article><p>y", ""),
+        ("<article><p>a<div class='ad'>never closed<p>x</article><p>y", "a"),
         ("<script>if(a<b){'</p>'}", ""),
     ],
 )
