@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.components import connected
@@ -37,12 +37,12 @@ from quern.llm.frames import split_words, word_hashes
 from quern.llm.packed import packed, unpacked
 from quern.sources.staging import staged
 
-CHUNK_BYTES = 16 << 20
-SHARD_BYTES = 32 << 20
+CHUNK_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 SAMPLE_BYTES = 20 << 20
 WORDS = 5
 LARGEST_BOUNDARY = 24
-STAR_ROUNDS = 2
+DRAWS = 8
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -192,25 +192,42 @@ def bucket_of(node: np.ndarray, plan: Plan) -> np.ndarray:
     return (((node >> np.uint64(32)) * np.uint64(plan.shards)) >> np.uint64(32)).astype(np.int64)
 
 
+def by_hash(hashes: np.ndarray, owner: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (hash, owner) pairs in that order; sorted as one number where both fit into one."""
+    if not len(hashes):
+        return hashes, owner
+    least, bits = hashes.min(), np.uint64(max(1, owners.bit_length()))
+    if int(hashes.max() - least).bit_length() + int(bits) <= 64:
+        both = ((hashes - least) << bits) | owner
+        both.sort()
+        new = np.ones(len(both), bool)
+        new[1:] = both[1:] != both[:-1]
+        both = both[new]
+        return (both >> bits) + least, (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.uint32)
+    order = np.lexsort((owner, hashes))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], owner[new]
+
+
 def shared_only(payloads: list[bytes], plan: Plan) -> Iterator[tuple[int, bytes]]:
     """Of one shard's lists, those with two classes or more, with their lengths: to the buckets of the classes."""
     parts = [unpacked(p) for p in payloads]
     node, size, count, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
     nodes, first, place = np.unique(node, return_index=True, return_inverse=True)
     size = size[first]
-    owner = np.repeat(place, count)
-    order = np.lexsort((owner, hashes))
-    owner, hashes = owner[order], hashes[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    owner, hashes = owner[new], hashes[new]
+    owner = np.repeat(place.astype(np.uint32), count)
+    hashes, owner = by_hash(hashes, owner, len(nodes))
     head = np.ones(len(hashes), bool)
     head[1:] = hashes[1:] != hashes[:-1]
-    lists = np.cumsum(head) - 1
-    length = np.bincount(lists)[lists] if len(lists) else np.empty(0, np.int64)
-    keep = length > 1
+    ends = np.append(np.flatnonzero(head)[1:], len(hashes))
+    length = np.diff(ends, prepend=0)
+    keep = np.repeat(length > 1, length)
     owner, hashes = owner[keep], hashes[keep]
-    rarity = np.minimum(255, np.floor(8 * np.log2(np.maximum(length[keep], 1)))).astype(np.uint8)
+    length = length[length > 1]
+    rarity = np.repeat(np.minimum(255, np.floor(8 * np.log2(length))).astype(np.uint8), length)
     order = np.argsort(owner, kind="stable")
     owner, hashes, rarity = owner[order], hashes[order], rarity[order]
     ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(nodes)))])
@@ -316,31 +333,77 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(9 * common >= 4 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def list_links(sets: DataFrame) -> DataFrame:
-    """a, b: links among large sets, enough to connect all that are connected; no link that is not one."""
+def list_entries(sets: DataFrame) -> DataFrame:
+    """node, n, key, own, rest of the first shingles of each set that another set has among its first ones.
+
+    ``own`` is the percentage of the set's shingles that no other set has. ``rest`` counts the set's shingles from this one on: no more than that can be shared if it is the first shared one.
+    """
     first = F.expr("slice(shared, 1, n - cast(ceil(n * 4 / 5.0) as int) + 1 - before)")
     entries = sets.select("node", "n", "before", F.posexplode(first).alias("at", "key"))
-    entries = entries.select("node", "n", "key", (F.col("n") - F.col("before") - F.col("at")).alias("rest"))
+    own = F.floor(F.col("before") * 100 / F.col("n")).cast("int").alias("own")
+    entries = entries.select("node", "n", "key", own, (F.col("n") - F.col("before") - F.col("at")).alias("rest"))
     several = entries.groupBy("key").agg(F.count("*").alias("n_list")).where("n_list > 1").select("key")
-    entries = staged(entries.join(several, "key"), "jaccard-lists")
-    links = roots = None
-    for turn in range(STAR_ROUNDS):
-        here = entries if roots is None else with_roots(entries, roots)
-        own = F.col("node") if roots is None else F.col("root")
-        leader = here.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), F.col("node").alias("leader"), F.col("n").alias("leader_n"), own.alias("leader_root"))).alias("l"))
-        met = here.join(leader, "key").where((own != F.col("l.leader_root")) & (5 * F.least("n", "l.leader_n") >= 4 * F.greatest("n", "l.leader_n")))
-        votes = met.groupBy("node", F.col("l.leader").alias("leader")).agg(F.count("*").alias("votes"))
-        pairs = votes.groupBy("node").agg(F.max(F.struct("votes", "leader")).alias("best")).select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
-        new = staged(verified(pairs, sets), "jaccard-links")
-        links = new if links is None else links.union(new)
-        roots = connected(links, "a", "b")
+    return staged(entries.join(several, "key"), "jaccard-lists")
+
+
+def star_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: each set linked, if it is one, with the leader that most of its lists name.
+
+    A list's leader is the set with the least of its own: the one nearest to what the list's sets are copies of.
+    """
+    drawn = F.struct("own", F.xxhash64("node").alias("draw"), F.col("node").alias("leader"), F.col("n").alias("leader_n"))
+    leader = entries.groupBy("key").agg(F.min(drawn).alias("l"))
+    met = entries.join(leader, "key").where((F.col("node") != F.col("l.leader")) & (5 * F.least("n", "l.leader_n") >= 4 * F.greatest("n", "l.leader_n")))
+    votes = met.groupBy("node", F.col("l.leader").alias("leader")).agg(F.count("*").alias("votes"))
+    pairs = votes.groupBy("node").agg(F.max(F.struct("votes", "leader")).alias("best"))
+    return staged(verified(pairs.select(F.col("node").alias("a"), F.col("best.leader").alias("b")), sets), "jaccard-links")
+
+
+def drawn_links(entries: DataFrame, sets: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """a, b: links of sets with DRAWS sets of each of their lists, drawn by hashes among those with little of their own.
+
+    Only the sets of the smaller root ask, so a large group that hangs together already asks for nothing.
+    """
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    here = with_roots(entries, roots).join(sizes, "root", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+
+    def draw(k: int) -> Column:
+        order = [F.floor(F.col("own") / 10).alias("near"), F.xxhash64("node", F.lit(turn), F.lit(k)).alias("draw")]
+        return F.min(F.struct(*order, "node", "n", "rest", "root", "size"))
+
+    leader = here.groupBy("key").agg(F.array(*[draw(k) for k in range(DRAWS)]).alias("l"))
+    met = here.join(leader, "key").withColumn("l", F.explode(F.array_distinct(F.transform("l", lambda x: x.dropFields("near", "draw")))))
+    asks = "l.root <> root and (l.size > size or l.size = size and l.root < root) and 9 * least(rest, l.rest) >= 4 * (n + l.n)"
+    pairs = met.where(asks).select(F.col("node").alias("a"), F.col("l.node").alias("b")).distinct()
+    return staged(verified(pairs, sets), "jaccard-links")
+
+
+def leaders(links: DataFrame) -> DataFrame:
+    """node, root: two steps along the links, each of which leads to a set drawn earlier. Not yet a component."""
+    one = links.select(F.col("a").alias("node"), F.col("b").alias("step"))
+    two = links.select(F.col("a").alias("step"), F.col("b").alias("root"))
+    return one.join(two, "step", "left").select("node", F.coalesce("root", "step").alias("root"))
+
+
+def pair_links(entries: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """a, b: all links between sets with different roots."""
     here = with_roots(entries, roots)
     apart = here.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     here = here.join(apart, "key")
     other = here.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "rest", "root")])
     may = "node < node_b and root <> root_b and 9 * least(rest, rest_b) >= 4 * (n + n_b)"
     pairs = here.join(other, "key").where(may).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
-    return links.union(staged(verified(pairs, sets), "jaccard-links"))
+    return staged(verified(pairs, sets), "jaccard-links")
+
+
+def linked_roots(subsets: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, root of all classes that link with another."""
+    entries = list_entries(sets)
+    first = star_links(entries, sets)
+    links = staged(subset_links(subsets).union(first).union(drawn_links(entries, sets, leaders(first), 0)), "jaccard-links")
+    roots = connected(links, "a", "b")
+    rest = pair_links(entries, sets, roots)
+    return roots if rest.isEmpty() else connected(links.union(rest), "a", "b")
 
 
 def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -361,8 +424,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     plan = planned(rows)
     parts = gathered(rows, plan)
     sets = parts.where("kind = 'set'").select("node", "n", "before", "shared")
-    links = subset_links(parts.where("kind = 'subset'").select("node", "n", "c", "key")).union(list_links(sets))
-    roots = connected(links, "a", "b")
+    roots = linked_roots(parts.where("kind = 'subset'").select("node", "n", "c", "key"), sets)
     own = with_roots(parts.where("kind = 'doc'").select("id", F.col("n").cast("long").alias("n_shingles"), "node"), roots)
     least = own.where("n_shingles > 0").groupBy("root").agg(F.min("id").alias("least"))
     told = own.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root"))).join(least, "root", "left")
@@ -377,4 +439,5 @@ def keep_one(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
     told = classes(whole, "place", "text").where("place <> component_id").select("place")
-    return whole.join(told, "place", "left_anti").select("row.*")
+    # One plan at every size: the table of copies grows with the corpus, so it is never broadcast.
+    return whole.join(told.hint("merge"), "place", "left_anti").select("row.*")
