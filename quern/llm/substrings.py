@@ -194,7 +194,8 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
     found = staged(repeated_spans(whole.select("place", F.coalesce("text", F.lit("")).alias("text"))), "repeated-spans")
-    joined = whole.join(found, "place", "left")
+    # One plan at every size: the table of spans grows with the corpus, so it is never broadcast.
+    joined = whole.join(found.hint("merge"), "place", "left")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
