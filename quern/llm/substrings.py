@@ -140,7 +140,7 @@ def spans(payloads: list[bytes]) -> pa.Table:
     keep = end[lasts] - start[firsts] >= LEAST_RUN if len(firsts) else np.empty(0, bool)
     owner, start, end = owner[firsts[keep]], start[firsts[keep]], end[lasts[keep]]
     texts, at = np.unique(owner, return_index=True)
-    ends = np.append(at[1:], len(owner))
+    ends = np.append(at, len(owner))[1:]
     pairs = [[{"start": int(a), "end": int(b)} for a, b in zip(start[i:j], end[i:j], strict=True)] for i, j in zip(at, ends, strict=True)]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     return pa.table({"place": pa.array(places[texts], pa.int64()), "spans": pa.array(pairs, kind)})
