@@ -34,10 +34,8 @@ def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has go; ``n_chars`` follows the text."""
     told = substrings.without_repeats(docs)
-    rest = [F.col("row")[c].alias(c) for c in docs.columns]
-    return told.select(*rest, F.col("kept")).select(
-        *[F.col("kept").alias(c) if c == "text" else F.length("kept").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    )
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return told.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
