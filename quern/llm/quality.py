@@ -108,10 +108,13 @@ def bucket(value: Column) -> Column:
 
 def sketches(rows: DataFrame, lang: str, source: str, counts: str = "counts") -> DataFrame:
     """lang, source, measure, bucket, n: the sketches of the documents that pass the base rules."""
-    kinds = F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("value")) for m, v in measures(F.col(counts)).items()])
-    values = rows.where(~base_failed(F.col(counts))).select(
-        F.col(lang).alias("lang"), F.col(source).alias("source"), F.inline(kinds)
-    )
+
+    def passed(c: Column) -> Column:
+        kinds = F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("value")) for m, v in measures(c).items()])
+        return F.when(~base_failed(c), kinds)
+
+    # No filter on the counts: it would be moved below their computation, which would then be made twice.
+    values = rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.inline(let(F.col(counts), passed)))
     return values.where("value is not null").groupBy("lang", "source", "measure", bucket(F.col("value")).alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -168,7 +171,9 @@ def judged(rows: DataFrame, bounds: DataFrame, groups: int, lang: str, source: s
         limit = F.col("_bounds")[measure]
         inside = inside & F.coalesce(value.between(limit["low"], limit["high"]), F.lit(True))
     failed = base_failed(F.col(counts))
-    return rows.join(there, same, "left").withColumn("base_failed", failed).withColumn("kept", ~failed & inside).drop("_lang", "_source", "_bounds", "_salt")
+    # One CASE, so that no part of the verdict is moved below the join and the counts are made once.
+    kept = F.when(failed, F.lit(False)).otherwise(inside)
+    return rows.join(there, same, "left").withColumn("base_failed", failed).withColumn("kept", kept).drop("_lang", "_source", "_bounds", "_salt")
 
 
 def document_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
