@@ -192,8 +192,10 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     part. Texts are used whole; an empty table gives no rows. Rows are known by their place, so ``docs`` must come in the
     same order when read again, as tables do.
     """
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
-    found = staged(repeated_spans(whole.select("place", F.coalesce("text", F.lit("")).alias("text"))), "repeated-spans")
+    # The text travels once, inside the row.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("place"))
+    text = F.col("row")[text_col]
+    found = staged(repeated_spans(whole.select("place", F.coalesce(text, F.lit("")).alias("text"))), "repeated-spans")
     # One plan at every size: the table of spans grows with the corpus, so it is never broadcast.
     joined = whole.join(found.hint("merge"), "place", "left")
 
@@ -218,4 +220,4 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array(gone, kind)], names=["row", "kept", "spans"])
 
     schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL("kept string, spans array<struct<start: long, length: long>>")])
-    return joined.select("row", "text", "spans").mapInArrow(kept, schema)
+    return joined.select("row", text.alias("text"), "spans").mapInArrow(kept, schema)
