@@ -216,6 +216,7 @@ class Trie:
 
     def __init__(self, messages: list[list[np.ndarray]]):
         entry_key, entry_children, pair_key, pair_children, pair_count, triple_key, triple_count = (np.concatenate(x) for x in zip(*messages, strict=True))
+        messages.clear()
         pair_entry = np.repeat(np.arange(len(entry_key)), entry_children)
         seen = np.flatnonzero(pair_count)
         keys, entry = np.unique(entry_key[pair_entry[seen]], return_inverse=True)
@@ -224,6 +225,7 @@ class Trie:
         place[seen] = pair
         triple_pair = place[np.repeat(np.arange(len(pair_key)), pair_children)]
         seen3 = np.flatnonzero(triple_count)
+        del pair_entry, entry_key, entry_children
         triples, triple = np.unique((triple_pair[seen3].astype(np.uint64) << THIRD) | triple_key[seen3], return_inverse=True)
         pair_owner, triple_owner = (pairs >> HALF).astype(np.int64), (triples >> THIRD).astype(np.int64)
         c2 = np.bincount(pair, pair_count[seen], len(pairs))
@@ -286,8 +288,8 @@ ANSWERS = "chunk long, check long, shard int, payload binary, what string, key l
 
 def answers(messages: pa.Table, plan: Plan) -> pa.Table:
     """Of one shard: an answer for every chunk's message, and rows of statistics (chunk null)."""
-    parts = [unpacked(m.as_py()) for m in messages["payload"]]
-    trie = Trie(parts)
+    payloads = messages["payload"].to_pylist()
+    trie = Trie([unpacked(p) for p in payloads])
     split_key, split_owner = plan.split_entries()
     keys, count, new = trie.contexts1
     at = np.minimum(np.searchsorted(split_key, keys), max(len(split_key) - 1, 0))
@@ -296,7 +298,7 @@ def answers(messages: pa.Table, plan: Plan) -> pa.Table:
     stats = left_out(2, count[~split], new[~split]) + left_out(3, *trie.contexts2)
     stats += [("words", 0, int(whole.sum()), int(count[whole].sum())), ("texts", 0, int(count[~split & (keys == START)].sum()), 0)]
     stats += [("split", int(o), int(c), int(n)) for o, c, n in zip(split_owner[at[split]], count[split], new[split], strict=True)]
-    told = [trie.answer(p) for p in parts]
+    told = [trie.answer(unpacked(p)) for p in payloads]
     n, m = len(told), len(stats)
     what, key, a, b = (list(x) for x in zip(*stats, strict=True))
     return pa.table({
