@@ -316,11 +316,14 @@ def answers(messages: pa.Table, plan: Plan) -> pa.Table:
 
 @dataclass
 class Totals:
-    """What all shards found together: tokens, distinct tokens, training texts, backing-off shares by level and class."""
+    """What all shards found together: tokens, distinct tokens, training texts, the whole counts of the plan's frequent
+    words, backing-off shares by level and class.
+    """
 
     tokens: int
     distinct: int
     texts: int
+    frequent: np.ndarray
     back2: np.ndarray
     back3: np.ndarray
 
@@ -330,12 +333,14 @@ class Totals:
         split = {k: v for (what, k), v in by.items() if what == "split" and v[0]}
         distinct, tokens = by.get(("words", 0), (0, 0))
         texts = by.get(("texts", 0), (0, 0))[0]
+        frequent = np.zeros(len(plan.words))
         events, new = np.zeros((2, CLASSES)), np.zeros((2, CLASSES))
         for (what, k), (a, b) in by.items():
             if what.startswith("level"):
                 events[int(what[-1]) - 2, k] += a
                 new[int(what[-1]) - 2, k] += b
         for k, (count, novel) in split.items():
+            frequent[k] = count
             if plan.words[k] == START:
                 texts += count
             else:
@@ -344,7 +349,7 @@ class Totals:
                 events[0, size_class(np.array([count - 1]))[0]] += count
                 new[0, size_class(np.array([count - 1]))[0]] += novel
         back = np.clip((new + 1) / (events + 2), 1e-3, 1 - 1e-3)
-        return cls(tokens + texts, distinct + (texts > 0), texts, back[0], back[1])
+        return cls(tokens + texts, distinct + (texts > 0), texts, frequent, back[0], back[1])
 
 
 def scores(chunk: Chunk, plan: Plan, told: list[list[np.ndarray]], totals: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -353,6 +358,9 @@ def scores(chunk: Chunk, plan: Plan, told: list[list[np.ndarray]], totals: Total
     entry_count, pair_code, pair_class, triple_code = (np.concatenate(x) for x in zip(*told, strict=True))
     entry_count = entry_count.astype(np.float64)
     count = np.bincount(paths.entry_word, entry_count, len(paths.hash_of))
+    # A chunk asks only for those parts of a frequent word that hold its own next words.
+    _, at, word = np.intersect1d(paths.hash_of, plan.words, assume_unique=True, return_indices=True)
+    count[at] = totals.frequent[word]
     count[-1] = totals.texts
     x = paths.sequence.astype(np.int64)
     unigram = (count + 1) / (totals.tokens + totals.distinct + 1)

@@ -93,6 +93,18 @@ def test_scores_are_those_of_brute_force(spark, sf_dir, monkeypatch, shard_bytes
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_small_chunks_know_the_whole_counts_of_split_words(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 10_000)
+    monkeypatch.setattr(ngram_lm, "CHUNK_BYTES", 3_000)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    want, _ = brute({r.doc_id: r.text for r in docs.collect()}, lambda i: zlib.crc32(str(i).encode()) % 7 != 2)
+    for r in queries.QUERIES["op9_ngram_lm"](spark, sf_dir).collect():
+        tokens, known, base, score = want[r.doc_id]
+        assert r.n_known == known
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        assert abs(r.score - score) < 0.03 * tokens
+
+
 def test_odd_rows(spark):
     rows = ngram_lm.score_corpus(odd(spark), F.lit(True)).collect()
     want, total = brute({k: t for k, t in enumerate([x.text for x in odd(spark).collect()])}, lambda i: True)
