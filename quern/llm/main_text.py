@@ -4,7 +4,8 @@ Markup is stripped; every block element ends a line. The lengths of WINDOW lines
 Where the sums rise above a threshold text begins (surge), where they fall to nothing it ends (dive), and the lines
 between are the page's text. Elements that are never main text (menus, forms, scripts, ...), by tag or by the words of
 class, id and role, leave a gap in the distribution; a line made of links has no length. Where a page marks its article
-or main part, only lines inside count and the threshold is 0, so its short first and last lines stay.
+or main part, the sums run over the lines inside, with the same threshold; a surge there reaches back to the dive before
+it, so short first lines stay.
 """
 
 from __future__ import annotations
@@ -131,26 +132,45 @@ def page_lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
     return lines, any(inside and text for text, _, inside in lines)
 
 
+def chosen(lengths: list[int], threshold: int, marked: bool) -> list[bool]:
+    """Which lines stand between a surge and the next dive.
+
+    In a marked part also those from the dive before the surge, without the links that end the dive; links that begin
+    the part, like a linked title, stay.
+    """
+    upto = np.concatenate([[0], np.cumsum([*lengths, *[0] * WINDOW])])
+    sums = upto[WINDOW:] - upto[:-WINDOW]
+    kept, inside, start = [False] * len(lengths), False, 0
+    for k, length in enumerate(lengths):
+        if sums[k] == 0:
+            inside, start = False, k + 1
+        elif start == k > 0 and length == 0:
+            start = k + 1
+        elif not inside and sums[k] > threshold and length > 0:
+            inside = True
+            if marked:
+                kept[start:k] = [True] * (k - start)
+        kept[k] = inside
+    return kept
+
+
+def largest_sum(lengths: list[int]) -> int:
+    upto = np.concatenate([[0], np.cumsum([*lengths, *[0] * WINDOW])])
+    return int((upto[WINDOW:] - upto[:-WINDOW]).max())
+
+
 def main_text(html: str) -> str:
     """The page's blocks of main text, joined by an empty line."""
     lines, marked = page_lines(html)
     if marked:
-        lines = [(text, max(1, len(text)), True) for text, _, inside in lines if inside]
-    if not lines:
+        lines = [line for line in lines if line[2]]
+    if not any(text for text, _, _ in lines):
         return ""
-    lengths = np.array([n for _, n, _ in lines] + [0] * WINDOW)
-    upto = np.concatenate([[0], np.cumsum(lengths)])
-    sums = upto[WINDOW:] - upto[:-WINDOW]
-    threshold = 0 if marked else min(THRESHOLD, int(sums.max()) - 1)
-    kept, inside = [], False
-    for k, (text, length, _) in enumerate(lines):
-        if not inside:
-            inside = sums[k] > threshold and length > 0
-        elif sums[k] == 0:
-            inside = False
-        if inside and text:
-            kept.append(text)
-    return "\n\n".join(kept)
+    lengths = [n for _, n, _ in lines]
+    if not any(lengths):  # nothing but links
+        lengths = [len(text) for text, _, _ in lines] if marked else lengths
+    kept = chosen(lengths, min(THRESHOLD, largest_sum(lengths) - 1), marked)
+    return "\n\n".join(text for (text, _, _), k in zip(lines, kept, strict=True) if k and text)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -27,6 +27,22 @@ def test_pages(page, text):
     assert main_text.main_text(page) == text
 
 
+LINKS = "".join(f"<li><a href={k}>a link with some words {k}</a></li>" for k in range(4))
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<article><h1>T</h1><p>by N</p><p>May</p><p>here</p><p>{LONG}</p><p>End.</p><ul>{LINKS}</ul><div>Buy now!</div></article>", f"T\n\nby N\n\nMay\n\nhere\n\n{LONG.strip()}\n\nEnd."),
+        (f"<main><p>Notice.</p><ul>{LINKS}</ul><h1>T</h1><p>{LONG}</p><ul>{LINKS}</ul><p>{LONG}</p><p>z</p></main>", f"T\n\n{LONG.strip()}\n\n{LONG.strip()}\n\nz"),
+        (f"<article><h1><a href=x>T</a></h1><p>{LONG}</p></article>", f"T\n\n{LONG.strip()}"),
+        (f"<article><ul>{LINKS}</ul></article>", "\n\n".join(f"a link with some words {k}" for k in range(4))),
+    ],
+)
+def test_sums_decide_inside_a_marked_part(page, text):
+    assert main_text.main_text(page) == text
+
+
 def test_articles_of_the_table(spark, sf_dir):
     for r in queries.QUERIES["op4_main_text"](spark, sf_dir).join(table(spark, sf_dir, "pages").drop("url"), "page_id").collect():
         inner = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
