@@ -43,6 +43,29 @@ def test_sums_decide_inside_a_marked_part(page, text):
     assert main_text.main_text(page) == text
 
 
+TEXT = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p>"
+SAID = f"Title\n\n{LONG.strip()}\n\nShort."
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<div class='layout has-sidebar'><div class=sidebar>x</div><article>{TEXT}</article></div><div class=footer>f</div>", SAID),
+        (f"<div id='page' class='with-nav'><nav>n</nav><main>{TEXT}</main></div>", SAID),
+        (f"<body><form action=x><article>{TEXT}</article><select><option>o</select></form></body>", SAID),
+        (f"<form action=x><div>{TEXT}</div></form>", SAID),
+        (f"<div class='no-comments'><form><div class='with-nav'>{TEXT}</div></form></div>", SAID),
+        (f"<main><div class='with-nav'>{TEXT}</div></main>", SAID),
+        (f"<div class=ad><article>Buy</article></div><div>{TEXT}</div>", SAID),
+        (f"<main>{TEXT}</main><div class=related><article><p>Other</p><p>words</p></article></div>", SAID),
+        (f"<main>{TEXT}<div class=comments>{'<p>so long a comment of a reader</p>' * 20}</div></main>", SAID),
+        (f"<main>{TEXT}<section class=comments><article class=comment>r</article></section><p>End.</p></main>", SAID + "\n\nEnd."),
+    ],
+)
+def test_wrappers_named_like_other_parts(page, text):
+    assert main_text.main_text(page) == text
+
+
 def test_articles_of_the_table(spark, sf_dir):
     for r in queries.QUERIES["op4_main_text"](spark, sf_dir).join(table(spark, sf_dir, "pages").drop("url"), "page_id").collect():
         inner = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
