@@ -6,7 +6,7 @@ texts than in others, smoothed. Features whose ratio is well above chance enter
 penalty, so a feature weighs as much as Bayes suggests and the data confirm.
 
 Training uses a bounded sample of labelled rows (ROWS_PER_LABEL of each label); rows are weighted so that labels keep
-the shares they have among all labelled rows.
+the shares they have among all labelled rows of the given documents.
 """
 
 from __future__ import annotations
@@ -102,10 +102,11 @@ def solved(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, ratio:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
     """Classifier from a sample of ``labels`` (id and 0 or 1) and the texts of ``docs``.
 
-    Rows with a null id or another label are not used; a null text counts as empty; a document labelled twice counts
-    twice. With one label only, or none, every score is that label's share (0.5 without rows).
+    Rows with a null id, another label or no document in ``docs`` are not used; a null text counts as empty; a document
+    labelled twice counts twice. With one label only, or none, every score is that label's share (0.5 without rows).
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    known = staged(known.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi"), "toxicity-labels")
     total = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(total) < 2:
         share = sum(k * v for k, v in total.items()) / max(1, sum(total.values())) if total else 0.5

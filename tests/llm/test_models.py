@@ -59,6 +59,14 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_held_out_labels_do_not_teach(spark):
+    docs, labels = table(spark, DATA, "documents"), table(spark, DATA, "labels")
+    held = id_remainder("doc_id", 5) == 0
+    flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (toxicity.fit(docs.where(~held), told) for told in (labels, flipped))
+    assert a.intercept == b.intercept and (a.weights == b.weights).all() and a.weights.any()
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (7, 0), (None, 1), (5, None), (99, 1)], "doc_id long, toxic int")
