@@ -1,7 +1,7 @@
 """Trigram language model in Elias-Fano tries, trained on a part of the documents and applied to all of them.
 
 The trie has three levels: words, words after a word, words after two words. Each level is a monotone sequence in
-Elias-Fano form: a child is its parent's place followed by 32 (24) bits of the child's hash, so a search for a
+Elias-Fano form: a child is its parent's place followed by 32 bits of the child's hash, so a search for a
 successor runs among the children of one context only; a second monotone sequence points to where a context's children
 begin. Nodes carry one byte for their probability in the context and one for the size class of their own count, in
 steps of an eighth of a binary digit. The arrays of a trie lie in a memory-mapped file.
@@ -43,7 +43,7 @@ SAMPLE_PART = 1e-4
 START, END = np.uint64(2**64 - 2), np.uint64(2**64 - 1)
 CLASSES = 64
 STEPS = 8
-HALF, THIRD = np.uint64(32), np.uint64(24)
+HALF = np.uint64(32)
 
 
 # -- where paths go ----------------------------------------------------------------------------------------------------
@@ -173,7 +173,7 @@ class Paths:
         distinct, triple = np.unique(path, return_inverse=True)
         self.triple = triple.astype(np.int32)
         self.triple_pair = (distinct >> HALF).astype(np.int64)
-        self.triple_key = (self.hash_of[(distinct & np.uint64(2**32 - 1)).astype(np.int64)] >> np.uint64(40)).astype(np.uint32)
+        self.triple_key = (self.hash_of[(distinct & np.uint64(2**32 - 1)).astype(np.int64)] >> HALF).astype(np.uint32)
         self.shard = plan.shard(self.entry_key)
 
     def messages(self, train: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -226,8 +226,8 @@ class Trie:
         triple_pair = place[np.repeat(np.arange(len(pair_key)), pair_children)]
         seen3 = np.flatnonzero(triple_count)
         del pair_entry, entry_key, entry_children
-        triples, triple = np.unique((triple_pair[seen3].astype(np.uint64) << THIRD) | triple_key[seen3], return_inverse=True)
-        pair_owner, triple_owner = (pairs >> HALF).astype(np.int64), (triples >> THIRD).astype(np.int64)
+        triples, triple = np.unique((triple_pair[seen3].astype(np.uint64) << HALF) | triple_key[seen3], return_inverse=True)
+        pair_owner, triple_owner = (pairs >> HALF).astype(np.int64), (triples >> HALF).astype(np.int64)
         c2 = np.bincount(pair, pair_count[seen], len(pairs))
         c3 = np.bincount(triple, triple_count[seen3], len(triples))
         c1 = np.bincount(pair_owner, c2, len(keys))
@@ -237,7 +237,7 @@ class Trie:
         levels = mapped({
             "words": MonotoneSequence.of(keys, 2**64).arrays,
             "pairs": MonotoneSequence.of(pairs, max(1, len(keys)) << 32).arrays,
-            "triples": MonotoneSequence.of(triples, max(1, len(pairs)) << 24).arrays,
+            "triples": MonotoneSequence.of(triples, max(1, len(pairs)) << 32).arrays,
             "to_pairs": MonotoneSequence.of(starts1, len(pairs) + 1).arrays,
             "to_triples": MonotoneSequence.of(starts2, len(triples) + 1).arrays,
             "codes": {
@@ -266,7 +266,7 @@ class Trie:
         entry_key, entry_children, pair_key, pair_children, _, triple_key, _ = message
         entry = self.words.find(entry_key)
         pair = self.below(self.pairs, self.to_pairs, np.repeat(entry, entry_children), pair_key, HALF)
-        triple = self.below(self.triples, self.to_triples, np.repeat(pair, pair_children), triple_key, THIRD)
+        triple = self.below(self.triples, self.to_triples, np.repeat(pair, pair_children), triple_key, HALF)
 
         def of(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
             return np.where(place >= 0, codes[place], 0).astype(codes.dtype) if len(codes) else np.zeros(len(place), codes.dtype)

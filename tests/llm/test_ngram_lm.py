@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,6 +106,14 @@ def test_small_chunks_know_the_whole_counts_of_split_words(spark, sf_dir, monkey
         assert abs(r.score - score) < 0.03 * tokens
 
 
+def test_third_words_stay_apart():
+    n = 20_000
+    chunk = ngram_lm.Chunk.of(pa.array([f"a b w{k}" for k in range(n)]), np.ones(n, bool))
+    paths = ngram_lm.Paths(chunk, ngram_lm.Plan(1, np.empty(0, np.uint64), np.empty(0, np.uint64)))
+    [(_, message)] = paths.messages(chunk.train, chunk.counts)
+    assert ngram_lm.Trie([unpacked(message)]).contexts2[1].max() == n
+
+
 def test_odd_rows(spark):
     rows = ngram_lm.score_corpus(odd(spark), F.lit(True)).collect()
     want, total = brute({k: t for k, t in enumerate([x.text for x in odd(spark).collect()])}, lambda i: True)
