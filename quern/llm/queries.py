@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, hard_negatives, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, toxicity
+from quern.llm import byte_bpe, hard_negatives, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, suffix_dedup, toxicity
 from quern.llm.frames import id_remainder
 from quern.llm.twins import HARD_NEGATIVES, QUALITY, VECTORS
 from quern.sources.tables import table
@@ -109,6 +109,21 @@ def packed(docs: DataFrame) -> DataFrame:
     return parts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op12_suffix_dedup")
+def texts_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that a repeated string of 400 bytes covers."""
+    told = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["length"])
+    size = F.octet_length(F.coalesce(F.col("row.text"), F.lit(""))).cast("long")
+    return told.select(
+        "row.doc_id",
+        size.alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op13_hard_negatives", HARD_NEGATIVES)
 def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh vector has the next label."""
