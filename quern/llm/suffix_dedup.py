@@ -9,7 +9,7 @@ the groups left after the last digit are exactly the repeated windows.
   cover. Equal runs, of whole copies above all, are one run with a count, and are repeated as they stand.
 * Further digits, for runs with a gram in common that differ: the windows of a run are cut at fixed distances from the
   gram into pieces, and a digit is what all windows of a piece share. Pieces get shorter from pass to pass, the last have
-  one window and the digit is all of it.
+  one window and the digit is all of it. Pieces that are equal as a whole are repeated as they stand, like runs.
 
 A pass is a count of digests per key (summed in the tasks first) and a join back, so a gram or passage that a third of
 all documents hold is no group that anything gathers. Text is read from the table, not kept.
@@ -34,7 +34,9 @@ PIECES = (48, 8, 1)
 SIGNS = np.random.default_rng(31).integers(1, 1 << 32, 256, dtype=np.uint32)
 BASE = 0x9E3779B1
 RUNS = "place long, mark long, start long, windows int, at int, gram long, high long, low long, times long"
+DIGITS = "high long, low long, whole long, place long, mark long, start long, number int, sure boolean, first long, windows int"
 RUN_NAMES = [part.split()[0] for part in RUNS.split(", ")]
+DIGIT_NAMES = [part.split()[0] for part in DIGITS.split(", ")]
 
 
 def gram_length(window: int) -> int:
@@ -191,46 +193,60 @@ def checked(known: str, mark: str) -> Column:
 
 
 def digits(found: DataFrame, before: int, now: int, window: int) -> DataFrame:
-    """high, low, place, start, piece, sure: the next digit of the pieces of ``found`` (strings, with ``pieces`` or null).
+    """DIGITS rows: the next digit of the pieces of ``found`` (strings, with ``pieces`` or null).
 
     A window's offset is its gram's place in it. Piece j of a pass has the offsets from j times its length on; all windows
-    of a piece share the bytes between the start of the last and the end of the first. ``pieces`` are those of the pass
-    before, null stands for all.
+    of a piece share the bytes between the start of the last and the end of the first: ``high`` and ``low`` are their
+    digest, ``whole`` that of all bytes of the piece. ``pieces`` are those of the pass before, null stands for all.
+    ``first`` is the piece's first window, counted from the start of the text.
     """
     offsets = window - gram_length(window) + 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, owner, numbers = [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("piece", "at", "windows", "pieces"))
-            for row, (raw, at, windows, pieces) in enumerate(zip(*columns, strict=True)):
+            prints, whole, owner, numbers, firsts, counts, sures = [], [], [], [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("start", "piece", "at", "windows", "sure", "pieces"))
+            for row, (start, raw, at, windows, sure, pieces) in enumerate(zip(*columns, strict=True)):
                 low, high = at - windows + 1, at
-                spans = [(low, high)] if pieces is None else [(max(low, j * before), min(high, j * before + before - 1)) for j in pieces]
-                for first, last in spans:
-                    for j in range(first // now, last // now + 1):
-                        most = min(j * now + now, offsets) - 1
-                        prints.append(xxh3_128_digest(raw[at - j * now : at - most + window], j))
+                known = [(low, high, sure)] if pieces is None else [(max(low, p["number"] * before), min(high, p["number"] * before + before - 1), p["sure"]) for p in pieces]
+                for least, most, told in known:
+                    for j in range(least // now, most // now + 1):
+                        longest = min(j * now + now, offsets) - 1
+                        x, y = min(most, longest), max(least, j * now)
+                        prints.append(xxh3_128_digest(raw[at - j * now : at - longest + window], j))
+                        whole.append(xxh3_64_intdigest(raw[at - x : at - y + window], x))
                         owner.append(row)
                         numbers.append(j)
+                        firsts.append(start + at - x)
+                        counts.append(x - y + 1)
+                        sures.append(told)
             digest = np.frombuffer(b"".join(prints), ">i8").reshape(-1, 2).astype(np.int64)
-            taken = batch.select(["place", "start", "sure"]).take(pa.array(owner, pa.int64()))
-            arrays = [pa.array(digest[:, 0]), pa.array(digest[:, 1]), *taken.columns, pa.array(numbers, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["high", "low", "place", "start", "sure", "number"])
+            taken = batch.select(["place", "mark", "start"]).take(pa.array(owner, pa.int64()))
+            arrays = [pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(np.array(whole, np.uint64).view(np.int64)), *taken.columns]
+            arrays += [pa.array(x, t) for x, t in ((numbers, pa.int32()), (sures, pa.bool_()), (firsts, pa.int64()), (counts, pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=DIGIT_NAMES)
 
-    return found.mapInArrow(cut, "high long, low long, place long, start long, sure boolean, number int")
+    return found.mapInArrow(cut, DIGITS)
 
 
-def repeated_windows(found: DataFrame, window: int) -> DataFrame:
-    """place, start, number (offset) of the windows of the strings ``found`` that another string has too."""
-    asked, before, left = found.withColumn("pieces", F.lit(None).cast("array<int>")), 0, found
+def repeated_pieces(found: DataFrame, window: int) -> list[DataFrame]:
+    """place, mark, start, windows: what other strings repeat of the strings ``found``, by passes."""
+    out, asked, before = [], found.withColumn("pieces", F.lit(None).cast("array<struct<number: int, sure: boolean>>")), 0
     for now in PIECES:
-        told = staged(digits(asked.select("place", "start", "piece", "at", "windows", "sure", "pieces"), before, now, window), "digits")
-        groups = told.groupBy("high", "low").agg(F.count("*").alias("n"), F.bool_and("sure").alias("all")).where("n > 1 and not all")
-        left = told.join(groups.select("high", "low"), ["high", "low"]).select("place", "start", "sure", "number")
+        told = staged(digits(asked.select("place", "mark", "start", "piece", "at", "windows", "sure", "pieces"), before, now, window), "digits")
+        one = F.min(F.struct("place", "start", "number")).alias("one")
+        classes = told.groupBy("high", "low", "whole").agg(F.count("*").alias("n"), F.bool_or("sure").alias("sure"), one)
+        classes = staged(classes, "digit-classes")
+        equal = classes.where("n > 1").select("high", "low", "whole")
+        out.append(told.where("not sure").join(equal, ["high", "low", "whole"]).select("place", "mark", F.col("first").alias("start"), "windows"))
         if now > 1:
-            pieces = left.groupBy("place", "start").agg(F.collect_list("number").alias("pieces"))
+            # Equal pieces go on as one, and only beside others that are still open.
+            open_ = F.bool_or(F.expr("n = 1 and not sure")).alias("open")
+            groups = classes.groupBy("high", "low").agg(F.count("*").alias("kinds"), open_).where("kinds > 1 and open").select("high", "low")
+            left = classes.join(groups, ["high", "low"]).select("one.*", F.expr("sure or n > 1").alias("sure"))
+            pieces = left.groupBy("place", "start").agg(F.collect_list(F.struct("number", "sure")).alias("pieces"))
             asked, before = found.join(pieces, ["place", "start"]), now
-    return left.where("not sure").select("place", "start", "number")
+    return out
 
 
 def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
@@ -248,15 +264,10 @@ def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
     mixed = classes.groupBy("gram").agg(F.count("*").alias("kinds"), F.min("times").alias("least")).where("kinds > 1 and least = 1")
     wanted = classes.join(mixed.select("gram"), "gram").select("one.*", (F.col("times") > 1).alias("sure"))
     found = staged(strings(rows, wanted, window), "strings")
-    single = repeated_windows(found, window).groupBy("place", "start").agg(F.collect_set("number").alias("o"))
-    # Windows that follow each other are one span; the next window has an offset less.
-    firsts = F.expr("array_sort(filter(o, x -> not array_contains(o, x + 1)))")
-    lasts = F.expr("array_sort(filter(o, x -> not array_contains(o, x - 1)))")
-    single = single.select("place", "start", F.explode(F.arrays_zip(firsts.alias("first"), lasts.alias("last"))).alias("o"))
-    parts = found.select("place", "mark", "start", "at").join(single, ["place", "start"])
-    parts = parts.select("place", "mark", (F.col("start") + F.col("at") - F.col("o.first")).alias("start"), (F.col("o.first") - F.col("o.last") + 1).alias("windows"))
     known = told.where("times = 0").select("place", "mark", "start", "windows")
-    return known.union(whole).union(parts).groupBy("place", "mark").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    for parts in repeated_pieces(found, window):
+        known = known.union(parts)
+    return known.union(whole).groupBy("place", "mark").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, window: int = 400, text_col: str = "text") -> DataFrame:
