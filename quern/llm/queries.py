@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, hard_negatives, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, suffix_dedup, toxicity
+from quern.llm import byte_bpe, conversation_trie, hard_negatives, jaccard_join, language, main_text, near_vectors, ngram_lm, packing, quality, substrings, suffix_dedup, toxicity
 from quern.llm.frames import id_remainder
-from quern.llm.twins import HARD_NEGATIVES, QUALITY, VECTORS
+from quern.llm.twins import HARD_NEGATIVES, PREFIXES, QUALITY, VECTORS
 from quern.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return parts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op11_conversation_trie", PREFIXES)
+def shared_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefixes of the conversations, each of which begins with turns of the one that its twenty belong to."""
+    source, heads = F.expr("conv - conv % 20"), F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"), source, heads)
+
+
 @query("op12_suffix_dedup")
 def texts_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes that a repeated string of 400 bytes covers."""

@@ -103,3 +103,41 @@ FROM near JOIN met ON met.anchor_id = near.anchor_id AND NOT same AND 80 * posit
 WINDOW best AS (PARTITION BY near.anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER best <= 5
 """
+
+# crc32 bit by bit; a prefix is the list of its turns' digests.
+PREFIXES = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS source,
+           xor(list_reduce([4294967295::BIGINT] || [ascii(s)::BIGINT FOR s IN string_split(conv_id::VARCHAR, '')],
+               lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, k: xor(r // 2, 3988292384 * (r % 2)))),
+               4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT c.conv_id, 0 AS part, pos, role, text FROM convs c JOIN turns t ON t.conv_id = source AND pos <= h
+    UNION ALL SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND pos > h
+), strings AS (
+    SELECT conv_id, coalesce(list(md5(md5(role) || md5(text)) ORDER BY part, pos) FILTER (pos IS NOT NULL), []) AS keys,
+           list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY part, pos) AS words
+    FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), cut AS (
+    SELECT conv_id, keys[:depth] AS prefix, depth, len(keys) AS turns, CASE WHEN depth > 0 THEN words[depth] ELSE 0 END AS words
+    FROM (SELECT *, unnest(range(0, len(keys) + 1)) AS depth FROM strings)
+), nodes AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = depth), '')) AS ends_sha256
+    FROM cut GROUP BY prefix, depth
+), kids AS (
+    SELECT prefix[:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), full_nodes AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (prefix)
+), below AS (
+    SELECT prefix[:up] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM full_nodes) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below USING (prefix) LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[:n.depth - 1] AND p.depth = n.depth - 1
+"""

@@ -58,15 +58,26 @@ def test_as_by_counting_windows(spark, seed, window):
     assert same(spark, made(seed), window)
 
 
-def test_short_periods_small_batches_and_segments(spark, monkeypatch):
+def test_short_periods_and_small_batches(spark, monkeypatch):
     texts = ["ab" * 200, "x" + "ab" * 50, "abc" * 70, "x" * 300, "q" + "x" * 40, "", None, "word " * 100, "the word " * 60]
     assert same(spark, texts, 25)
     monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 100)
-    monkeypatch.setattr(suffix_dedup, "SEGMENT", 37)
     draws = [run for seed in range(3) for run in made(seed, 15)]
     assert same(spark, texts + draws, 25)
 
 
+@pytest.mark.parametrize("segment", [1, 37, 1 << 18])
+def test_runs_hold_every_window_once(monkeypatch, segment):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+    raws = [t.encode() for t in made(8)]
+    data, ends = np.frombuffer(b"".join(raws), np.uint8), np.cumsum([len(r) for r in raws])
+    start, count, gram = suffix_dedup.runs(data, ends, 30)
+    got = {int(s) + k: int(g) for s, n, g in zip(start, count, gram) for k in range(n)}
+    least = suffix_dedup.minimizers(data, 30)
+    inside = [int(e - len(r)) + k for e, r in zip(ends, raws) for k in range(len(r) - 29)]
+    assert got == {k: least[k] for k in inside} and count.sum() == len(inside)
+
+
 def test_common_line_in_other_surroundings(spark):
     draw = random.Random(9)
     line = "".join(draw.choice("abcdefgh ") for _ in range(70))
