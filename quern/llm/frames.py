@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
@@ -59,18 +59,17 @@ def map_texts(docs: DataFrame, text_col: str, fn: Callable[[list[str]], list[pa.
     return whole.mapInArrow(run, schema)
 
 
-def sampled_rows(rows: DataFrame, label_col: str, id_col: str, per_label: int) -> DataFrame:
-    """About ``per_label`` rows of each label at most, chosen by a hash of the id; the same rows on any layout.
+def sampled_rows(rows: DataFrame, label_col: str, per_label: int, *content: str) -> DataFrame:
+    """Label and ``content`` of ``per_label`` rows of each label at most; the same ones on any layout.
 
-    Rows per label are counted over all rows; the share of a label that is kept follows from its count, so the
-    expected size of the sample is bounded by ``per_label`` times the number of labels.
+    Equal rows count once, so that neither a hot id nor a text with many copies fills or empties the sample; of the
+    others, those with the least hashes are taken. Labels may be many: nothing is collected. Rows without a label are
+    not drawn.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
-    share = F.lit(0.0)
-    for label, n in counts.items():
-        share = F.when(F.col(label_col).eqNullSafe(F.lit(label)), F.lit(min(1.0, per_label / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.where(draw < share)
+    marked = rows.select(label_col, *content, F.xxhash64(F.lit("sample"), *content).alias("_draw"))
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_draw"))
+    chosen = marked.select(label_col, "_draw").distinct().withColumn("_rank", rank).where(F.col("_rank") <= per_label)
+    return marked.join(chosen, [label_col, "_draw"], "left_semi").drop("_draw").distinct()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -105,7 +105,10 @@ class Centroids:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Centroids:
-    """Centroids from a sample of the rows with a text and a language; no rows give a model that knows no language."""
+    """Centroids from ROWS_PER_LANGUAGE rows a language at most that have a text and a language.
+
+    Rows equal in id and text are one; no rows give a model that knows no language.
+    """
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
 
@@ -121,7 +124,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             arrays = [pa.array(langs, pa.string()), pa.array(places, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "places", "times"])
 
-    sample = sampled_rows(known, "lang", "id", ROWS_PER_LANGUAGE)
+    sample = sampled_rows(known, "lang", ROWS_PER_LANGUAGE, "id", "text")
     sparse = staged(sample.mapInArrow(vectors, "lang string, places array<int>, times array<int>"), "language-sample")
     documents = sparse.count()
     idf = np.full(PLACES, np.log(1 + documents) + 1, np.float32)

@@ -50,7 +50,7 @@ def pivots(classes: DataFrame) -> dict[int, np.ndarray]:
     if not large:
         return {}
     wanted = {r["label"]: min(MOST_PIVOTS, math.ceil(r["count"] / CELL)) for r in large}
-    pool = sampled_rows(classes.where(F.col("label").isin(list(wanted))), "label", "node", 4 * MOST_PIVOTS)
+    pool = sampled_rows(classes.where(F.col("label").isin(list(wanted))), "label", 4 * MOST_PIVOTS, "node", "vector")
     by_label: dict[int, list] = {}
     for r in pool.select("label", "node", "vector").orderBy("label", "node").collect():
         by_label.setdefault(r["label"], []).append(r["vector"])

@@ -2,7 +2,8 @@
 
 A document of n token ids (its last one is the separator) is cut into n // 1024 pieces of 1024 ids and one piece for
 every binary digit 1 of the rest, the longest first. Pieces of one length form a bucket, and each piece is a sequence
-of its own: no sequence crosses documents and none is padded. A training job draws batches from one bucket at a time.
+of its own: no sequence crosses documents and none is padded. Sequences are numbered bucket by bucket: a range of
+numbers is a bucket, from which a training job draws batches.
 
 A document is cut where it is read: no shuffle, nothing is collected, and a lost task is simply read again.
 """
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
@@ -24,8 +26,7 @@ from tokenizers import Tokenizer
 from quern.llm.frames import id_and_text, slices
 
 PIECES = "id long, start long, length long, ids binary, doc_tokens long"
-# The splitting pattern of the byte-level vocabularies, in the form that the rank files come with.
-SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BUCKET_BITS = 58  # below them, the place of the piece in the input
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -37,31 +38,32 @@ def _byte_of_sign() -> dict[str, int]:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """text -> ids of the byte-level vocabulary at ``path``, without special tokens.
+    """text -> ids of the ``tokenizers`` file at ``path``, called with ``add_special_tokens=False``.
 
-    The file is read by the ``tokenizers`` library. Where ids follow the order of merges, the same vocabulary is
-    handed to ``tiktoken``, which gives the same ids in a quarter of the time; other files are encoded by
-    ``tokenizers`` itself. Special tokens in a text are ordinary text.
+    The library's own rules hold: an added token that stands in a text is that token. Where ids follow the order of
+    merges, the same vocabulary is handed to ``tiktoken``, which gives the same ids in a quarter of the time; other
+    files, and texts that hold an added token, are encoded by ``tokenizers`` itself.
     """
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
 
     def by_tokenizers(text: str) -> np.ndarray:
         return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
 
     with open(path, encoding="utf-8") as file:
         parts = json.load(file)
-    signs, special = _byte_of_sign(), {t["content"] for t in parts["added_tokens"]}
-    vocabulary = {t: i for t, i in slow.get_vocab(with_added_tokens=True).items() if t not in special}
+    signs, added = _byte_of_sign(), sorted({t["content"] for t in parts.get("added_tokens") or []})
+    vocabulary = {t: i for t, i in slow.get_vocab(with_added_tokens=True).items() if t not in added}
     merges = [m if isinstance(m, str) else " ".join(m) for m in parts["model"]["merges"]]
     merged = [vocabulary[m.replace(" ", "")] for m in merges]
     plain = (parts.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not parts["pre_tokenizer"].get("add_prefix_space")
     if not plain or merged != sorted(merged) or any(sign not in signs for t in vocabulary for sign in t):
         return by_tokenizers
     ranks = {bytes(signs[s] for s in t): i for t, i in vocabulary.items()}
-    fast = tiktoken.Encoding("ranks", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def by_ranks(text: str) -> np.ndarray:
+        if any(token in text for token in added):
+            return by_tokenizers(text)
         try:
             return np.asarray(fast.encode_to_numpy(text, disallowed_special=())).astype("<u4")
         except ValueError:  # its pattern has a limit of about a million blanks in a row
@@ -92,8 +94,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents: id, start, length, ids, doc_tokens, sequence_id, offset.
 
-    ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers. ``sequence_id`` is unique and fixed by the
-    place of the row in the input; ``offset`` is 0. ``tokenizer`` is a file that every executor finds at that path.
+    ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers. ``sequence_id`` is unique, ascends with the
+    length first and is fixed by the place of the row in the input; ``offset`` is 0. ``tokenizer`` is a file that every executor finds at that path.
 
     A null text counts as empty; an empty text is one piece of the separator alone. Null and repeated ids are packed
     like others, row by row. A text of any length is read whole. An empty table gives no rows. Other columns of
@@ -132,11 +134,7 @@ def pack(
         "length",
         "ids",
         "doc_tokens",
-        F.monotonically_increasing_id().alias("sequence_id"),
+        (F.shiftleft(F.round(F.log2("length")).cast("long"), BUCKET_BITS) + F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
 
-
-def write_buckets(packed: DataFrame, path: str) -> None:
-    """One folder for each length: a reader of a folder gets sequences of one length."""
-    packed.write.partitionBy("length").parquet(path)

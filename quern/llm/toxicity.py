@@ -100,10 +100,10 @@ def solved(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, ratio:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
-    """Classifier from a sample of ``labels`` (id and 0 or 1) and the texts of ``docs``.
+    """Classifier from the texts of ``docs`` that ``labels`` (id and 0 or 1) names, ROWS_PER_LABEL a label at most.
 
-    Rows with a null id, another label or no document in ``docs`` are not used; a null text counts as empty; a document
-    labelled twice counts twice. With one label only, or none, every score is that label's share (0.5 without rows).
+    Rows with a null id, another label or no document in ``docs`` are not used; a null text counts as empty. A repeated
+    label row counts in the labels' shares, but teaches once; of several texts with one id the least teaches. With one label only, or none, every score is that label's share (0.5 without rows).
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
     known = staged(known.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi"), "toxicity-labels")
@@ -111,9 +111,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(total) < 2:
         share = sum(k * v for k, v in total.items()) / max(1, sum(total.values())) if total else 0.5
         return Classifier(np.zeros(1 << BITS, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    picked = F.broadcast(sampled_rows(known, "toxic", "id", ROWS_PER_LABEL))
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(picked, "id")
-    sample = staged(texts.select("toxic", "text"), "toxicity-sample")
+    # ROWS_PER_LABEL documents a label at most, and as many rows: a document's first text, should it have several.
+    picked = sampled_rows(known, "toxic", ROWS_PER_LABEL, "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), "id")
+    sample = staged(texts.groupBy("id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text"), "toxicity-sample")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << BITS), np.int64)

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from quern.llm import language, queries, toxicity
-from quern.llm.frames import id_remainder
+from quern.llm.frames import id_remainder, sampled_rows
 from quern.sources.tables import table
 from tests.llm.helpers import none, odd
 
@@ -78,3 +78,31 @@ def test_toxicity_of_odd_rows(spark):
     one = toxicity.fit(docs, labels.where("toxic = 0"))
     assert all(r.score < 0.01 for r in toxicity.score(docs, one).collect())
     assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0.5}
+
+
+def test_samples_are_bounded_whatever_the_keys(spark):
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) as id", "concat('text ', id % 5000) as text", "cast(id % 2 as string) as lang")
+    for parts in (2, 9):
+        found = sampled_rows(rows.repartition(parts), "lang", 600, "id", "text")
+        assert {r.lang: r["count"] for r in found.groupBy("lang").count().collect()} == {"0": 600, "1": 600}
+        total = found.agg(F.sum(F.xxhash64("id", "text", "lang").cast("decimal(38,0)"))).first()[0]
+        assert parts == 2 or total == before
+        before = total
+    three = spark.range(20_000).selectExpr("cast(id % 3 as long) as id", "concat('t', id % 3) as text", "'en' as lang")
+    assert sampled_rows(three, "lang", 600, "id", "text").count() == 3
+    assert sampled_rows(three.withColumn("id", F.lit(None).cast("long")), "lang", 2, "id", "text").count() == 2
+    many = spark.range(6_000).selectExpr("id", "'x' as text", "cast(id % 2000 as string) as lang")
+    assert sampled_rows(many, "lang", 2, "id", "text").count() == 4_000
+
+
+def test_hot_and_repeated_ids_do_not_fill_the_sample(spark):
+    docs = spark.range(4_000).selectExpr("if(id < 1500, 1, id) as doc_id", "concat(if(id % 2 = 0, 'bad ', 'good '), id) as text")
+    labels = spark.range(4_000).selectExpr("if(id < 1500, 1, id) as doc_id", "cast(id % 2 = 0 as int) as toxic")
+    told = toxicity.score(docs, toxicity.fit(docs, labels)).where("row.doc_id > 1").select("row.doc_id", "score").collect()
+    assert np.mean([(r.score > 0.5) == (r.doc_id % 2 == 0) for r in told]) > 0.95
+
+
+def test_many_languages(spark):
+    docs = spark.range(1_200).selectExpr("id as doc_id", "concat('abc', char(97 + id % 20), 'de') as text", "concat('l', id % 400) as lang")
+    model = language.fit(docs)
+    assert len(model.langs) >= 400 and language.identify(docs, model).where("rejected").count() < 1_200
