@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, OneHotEncoder, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +21,13 @@ from quern.models import tuning as tu
 from quern.operators import features as ft
 from quern.operators import metrics as mt
 from quern.operators import sampling as sp
-from quern.operators.relational import all_but, union_all
+from quern.operators.relational import union_all
 from quern.plans import standins as st
 from quern.plans.evaluation import THRESHOLD
+from quern.plans.linear import CURVE, curve_points
+from quern.plans.linear import demand as daily_demand
 from quern.plans.registry import job
-from quern.plans.series import OLS, PERIODS, SPLIT
+from quern.plans.series import OLS, SPLIT
 from quern.plans.texts import TOKENS
 from quern.sources import ranges
 from quern.sources.staging import staged
@@ -33,24 +35,13 @@ from quern.sources.tables import text_table
 
 # Trees turn every row into thousands of binned features: so many training rows at most, chosen by a hash of the key.
 TREE_ROWS = 20_000
-# The elastic-net grid of the demand model.
-REG_PARAMS = [0.1, 0.5, 1.0, 2.0, 3.0, 5.0, 10.0]
-ELASTIC_NET = [0.0, 0.25, 0.5, 0.75, 1.0]
-
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def _demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The demand table with a numeric date and without date and running number."""
-    days = st.days(spark, sf_dir).withColumn("unixdate", tm.utc_epoch(F.col("dteday")))
-    numeric = days.drop("dteday")
-    return numeric.select(*[F.col(c).cast("double").alias(c) if c != "instant" else c for c in numeric.columns])
-
-
 def _demand_parts(spark: SparkSession, sf_dir: str, train: float, test: float) -> DataFrame:
-    demand = _demand(spark, sf_dir)
+    demand = daily_demand(spark, sf_dir)
     parts = demand.withColumn("part", sp.split_column("instant", {"train": train, "test": test}, seed=42))
     return rs.assemble(parts.drop("instant"), "cnt", keep=("part",))
 
@@ -69,23 +60,6 @@ def ols_mllib(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_rounded(fit, "coefficient", "se"), "t", digits=4)
 
 
-@job("linreg_enet")
-def linreg_enet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elastic-net lines of text length, demand and yearly sales, their training reports side by side."""
-    demand = _demand(spark, sf_dir)
-    energy = st.energy(spark, sf_dir).where("electricity_demand is not null")
-    one = ln.line_pipeline(["X"], "Y", maxIter=10, regParam=0.3, elasticNetParam=0.8).fit(_curve_points(spark, sf_dir))
-    several = ln.line_pipeline(
-        all_but(demand, "cnt", "instant"), "cnt", maxIter=100, regParam=3.0, elasticNetParam=0.5
-    ).fit(demand)
-    trend = ln.line_pipeline(["year"], "electricity_demand", maxIter=10, regParam=3.0, elasticNetParam=0.5).fit(energy)
-    named = {"letters_by_words": one, "demand_by_all": several, "sales_by_year": trend}
-    return union_all([ln.fit_report(spark, name, model) for name, model in named.items()])
-
-
-CURVE = f"""{st.EXAM}, points AS (SELECT doc_id, n_words / 1000 AS X, n_chars / 1000 AS Y FROM exam)"""
-
-
 @job(
     "enet_one_feature",
     f"""WITH {CURVE}, m AS (
@@ -95,7 +69,7 @@ SELECT round(w * sy / sx, 4) AS slope, round(my - w * sy / sx * mx, 4) AS interc
 )
 def enet_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The elastic-net line from words to letters; with one feature it is a soft threshold of the correlation."""
-    model = ln.line_pipeline(["X"], "Y", maxIter=100, regParam=0.3, elasticNetParam=0.8, tol=1e-10).fit(_curve_points(spark, sf_dir))
+    model = ln.line_pipeline(["X"], "Y", maxIter=100, regParam=0.3, elasticNetParam=0.8, tol=1e-10).fit(curve_points(spark, sf_dir))
     wide = ln.coefficients(spark, model, ["slope"]).groupBy().pivot("term", ["slope", "intercept"]).agg(F.first("coefficient"))
     return _rounded(wide, "slope", "intercept", digits=4)
 
@@ -118,72 +92,16 @@ FROM c, e, range(100) r(p)""",
 )
 def poly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A parabola without penalty, fitted by normal equations, over an even grid of lengths."""
-    points = staged(_curve_points(spark, sf_dir), "curve-points")
+    points = staged(curve_points(spark, sf_dir), "curve-points")
     model = ln.polynomial_pipeline(["X"], "Y", 2, solver="normal", regParam=0.0).fit(points)
     grid = ranges.even_grid(points, "X", 100)
     return _rounded(_rounded(ln.predictions(model, grid, ["point", "X"]), "X"), "prediction", digits=4)
 
 
-@job("linreg_coefficients")
-def linreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    demand = _demand(spark, sf_dir)
-    columns = all_but(demand, "cnt", "instant")
-    model = ln.line_pipeline(columns, "cnt", maxIter=100, regParam=3.0, elasticNetParam=0.5).fit(demand)
-    return ln.coefficients(spark, model, columns)
-
-
-@job("objective_history")
-def objective_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = ln.line_pipeline(["X"], "Y", maxIter=10, regParam=0.3, elasticNetParam=0.8).fit(
-        _curve_points(spark, sf_dir)
-    )
-    return ln.objective_history(spark, ln.fitted(model).summary)
-
-
-def _curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X: words in thousands, Y: letters in thousands, of every labelled document."""
-    return st.exam(spark, sf_dir).select(
-        "doc_id", (F.col("n_words") / 1000).alias("X"), (F.col("n_chars") / 1000).alias("Y")
-    )
-
-
-@job("linreg_poly")
-def linreg_poly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polynomials of degree 1 to 5 from words to letters, measured on both parts of an exact 70/30 split."""
-    points = _curve_points(spark, sf_dir)
-    parts = staged(sp.head_split(points, "doc_id", 0.7, seed=3), "curve-parts")
-    tables = []
-    for degree in (1, 2, 3, 5):
-        pipeline = ln.polynomial_pipeline(["X"], "Y", degree, maxIter=100, regParam=0.3, elasticNetParam=0.8)
-        model = pipeline.fit(parts.where("part = 'train'"))
-        tables.append(rs.both_metrics(model, parts, "Y").select(F.lit(degree).alias("degree"), "*"))
-    return union_all(tables)
-
-
-@job("linreg_periodic")
-def linreg_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polynomial of degree 5 with sine and cosine columns."""
-    days = st.days(spark, sf_dir).select("instant", F.col("cnt").cast("double").alias("cnt"))
-    waves = ft.with_fourier(days, "instant", PERIODS)
-    periodic = all_but(waves, "instant", "cnt")
-    pipeline = ln.periodic_pipeline("instant", periodic, "cnt", 5, maxIter=1000, regParam=0.01, elasticNetParam=0.9)
-    scored = pipeline.fit(waves).transform(waves)
-    return mt.regression_metrics(scored, "cnt", "prediction")
-
-
-@job("predict_grid")
-def predict_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of a cubic over 100 evenly spaced lengths, five percent beyond both ends."""
-    points = staged(_curve_points(spark, sf_dir), "curve-points")
-    model = ln.polynomial_pipeline(["X"], "Y", 3, maxIter=100, regParam=0.3, elasticNetParam=0.8).fit(points)
-    grid = ranges.even_grid(points, "X", 100, pad_share=0.05)
-    return ln.predictions(model, grid, ["point", "X"])
-
-
 @job("tree_regressors")
 def tree_regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision tree and random forest on one-hot and power features."""
-    demand = ft.with_powers(_demand(spark, sf_dir), ["temp", "hum", "windspeed"])
+    demand = ft.with_powers(daily_demand(spark, sf_dir), ["temp", "hum", "windspeed"])
     hot = ["mnth", "weekday", "season", "weathersit"]
     wide = ft.one_hot(demand, ft.category_codes(demand, hot))
     parts = wide.withColumn("part", sp.split_column("instant", {"train": 0.8, "test": 0.3}, seed=42)).drop("instant")
@@ -197,19 +115,6 @@ def compare_regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.compare(_demand_parts(spark, sf_dir, 0.8, 0.2), "cnt", rs.standard_set("cnt"))
 
 
-@job("cv_grid_enet")
-def cv_grid_enet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """35 elastic-net settings, 5 folds, r2."""
-    parts = staged(
-        _demand_parts(spark, sf_dir, 0.8, 0.2).where("part = 'train'").select("cnt", "features"), "demand-train"
-    )
-    line = ln.linear("cnt", maxIter=100)
-    maps = tu.grid([(line.regParam, REG_PARAMS), (line.elasticNetParam, ELASTIC_NET)])
-    judge = RegressionEvaluator(labelCol="cnt", predictionCol="prediction", metricName="r2")
-    model = tu.cross_validate(line, maps, judge, parts, folds=5)
-    return tu.grid_table(parts, model, maps)
-
-
 @job(
     "ml_polynomial",
     f"""WITH {st.DAYS} SELECT instant, round(temp, 6) AS x, round(temp * temp, 6) AS xx, round(hum, 6) AS y,
