@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.binding import let
 from quern.sources.staging import staged
@@ -55,6 +61,29 @@ def counted_words(words: Column) -> Column:
     return let(F.sort_array(words), lambda ordered: F.when(F.size(ordered) > 0, folded(ordered)))
 
 
+def coded(df: DataFrame, words: str, terms: list[str]) -> DataFrame:
+    """``df`` with ``features`` and ``values`` for the array column ``words``: places in ``terms``, ascending, and counts.
+
+    Words that are no terms are passed over, a null array is empty. The terms are broadcast.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(terms)
+    schema = T.StructType([*df.drop(words).schema, *T.StructType.fromDDL("features array<int>, `values` array<int>")])
+    keep = df.drop(words).columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(sent.value, pa.string())
+        for batch in batches:
+            lists = pc.fill_null(batch.column(words), [])
+            place = pc.fill_null(pc.index_in(lists.flatten(), known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            both, count = np.unique((owner * (len(known) + 1) + place)[place >= 0], return_counts=True)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(both // (len(known) + 1), minlength=batch.num_rows))]).astype(np.int32)
+            arrays = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (both % (len(known) + 1), count)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def term_counts(df: DataFrame, key: str, words: Column, terms: DataFrame | None = None) -> DataFrame:
     """``key, word, count`` rows: the bag of words as a table, counted inside the row; ``key`` is unique.
 

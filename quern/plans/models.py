@@ -33,8 +33,7 @@ from quern.sources import ranges
 from quern.sources.staging import staged
 from quern.sources.tables import text_table
 
-# Trees turn every row into thousands of binned features: so many training rows at most, chosen by a hash of the key.
-TREE_ROWS = 20_000
+
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -312,7 +311,7 @@ scored AS (
   FROM documents CROSS JOIN prior LEFT JOIN known USING (doc_id) LEFT JOIN gains USING (doc_id, label))"""
 
 
-def _bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as word lists with their author, written once for all stages."""
     books = st.books(spark, sf_dir)
     return staged(books.select("doc_id", "author", tx.tokens(F.col("content")).alias("words")), "author-words")
@@ -325,7 +324,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1""
 )
 def author_nb_mllib(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MLlib naive Bayes on the 10,000 most frequent words of at least two documents."""
-    rows = _bags(spark, sf_dir)
+    rows = bags(spark, sf_dir)
     bag = au.fixed_bag(rows, F.col("words"))
     indexer = au.label_indexer("author").fit(rows)
     vectors = staged(indexer.transform(bag.transform(rows)).drop("words"), "author-vectors")
@@ -333,35 +332,6 @@ def author_nb_mllib(spark: SparkSession, sf_dir: str) -> DataFrame:
     return au.named_predictions(found, indexer.labels).select("doc_id", "author", "predicted")
 
 
-def _tree_rows(spark: SparkSession, sf_dir: str, most: int = TREE_ROWS) -> DataFrame:
-    """Word lists with author and part (80 % train); trees are fitted on ``most`` training rows or about as many."""
-    rows = _bags(spark, sf_dir).withColumn("part", sp.split_column("doc_id", {"train": 0.8, "test": 0.2}, seed=1))
-    share = min(1.0, most / max(1, rows.where("part = 'train'").count()))
-    chosen = (F.col("part") == "test") | (hs.hash_unit(F.col("doc_id"), 7) < share)
-    return staged(rows.where(chosen), "tree-rows")
-
-
-@job("author_tree")
-def author_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decision tree of depth 30 over word counts; class metrics on the training rows and on the held-out ones."""
-    rows = _tree_rows(spark, sf_dir)
-    training = rows.where("part = 'train'")
-    bag = au.fixed_bag(training, F.col("words"))
-    indexer = au.label_indexer("author").setHandleInvalid("skip").fit(training)
-    vectors = staged(indexer.transform(bag.transform(rows)).select("doc_id", "part", "label", "features"), "author-vectors")
-    found = au.tree().fit(vectors.where("part = 'train'")).transform(vectors)
-    cells = mt.confusion(found, "label", "prediction", ("part",))
-    return mt.class_summary(mt.per_class(cells, ("part",)), ("part",))
-
-
-@job("importances")
-def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words the tree uses, by importance."""
-    rows = _tree_rows(spark, sf_dir).where("part = 'train'")
-    stages = [au.fixed_bag(rows, F.col("words")), au.label_indexer("author"), au.tree()]
-    return au.importances(Pipeline(stages=stages).fit(rows), rows)
-
-
 @job("linear_sgd_reaimed")
 def linear_sgd_reaimed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear classifier of the sentiment from word counts: metrics on training and test rows."""
@@ -383,25 +353,10 @@ def linear_sgd_reaimed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(tables)
 
 
-def _author_folds(rows: DataFrame, folds: int) -> DataFrame:
+def author_folds(rows: DataFrame, folds: int) -> DataFrame:
     return sp.stratified_folds(rows, "doc_id", "author", folds, seed=1).withColumn("fold", F.col("fold") - 1)
 
 
-@job("cv_grid_tree")
-def cv_grid_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vocabulary size by tree depth, 3 stratified folds, F1; the best model's F1 on the held-out rows."""
-    every = _tree_rows(spark, sf_dir)
-    rows = staged(_author_folds(every.where("part = 'train'"), 3), "author-folds")
-    bag = CountVectorizer(inputCol="words", outputCol="features", minDF=2)
-    tree = au.tree()
-    pipeline = Pipeline(stages=[bag, au.label_indexer("author").setHandleInvalid("skip"), tree])
-    maps = tu.grid([(bag.vocabSize, [100, 1000, 10_000]), (tree.maxDepth, [10, 20, 30])])
-    judge = MulticlassClassificationEvaluator(metricName="f1")
-    model = tu.cross_validate(pipeline, maps, judge, rows, folds=3, fold_col="fold")
-    held_out = float(judge.evaluate(model.bestModel.transform(every.where("part = 'test'"))))
-    return tu.grid_table(rows, model, maps).withColumn("test_f1", F.when(F.col("best"), F.lit(held_out)))
-
-
 @job(
     "cv_nb_fixed",
     f"""WITH {AUTHOR_TERMS}, k AS (SELECT CAST(unnest(range(1, 4)) AS INT) AS fold),
@@ -429,7 +384,7 @@ SELECT round(avg(f1), 6) AS mean FROM f1""",
 )
 def cv_nb_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive Bayes over 3 stratified folds with a vocabulary whose ties are broken by word: the mean F1."""
-    rows = staged(_author_folds(_bags(spark, sf_dir), 3), "author-folds")
+    rows = staged(author_folds(bags(spark, sf_dir), 3), "author-folds")
     vectors = staged(au.fixed_bag(rows, F.col("words")).transform(rows).select("author", "fold", "features"), "author-vectors")
     pipeline = Pipeline(stages=[au.label_indexer("author"), au.naive_bayes(0.2)])
     judge = MulticlassClassificationEvaluator(metricName="f1")
@@ -441,7 +396,7 @@ def cv_nb_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @job("cv_nb")
 def cv_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive Bayes over 3 stratified folds, F1."""
-    rows = staged(_author_folds(_bags(spark, sf_dir), 3), "author-folds")
+    rows = staged(author_folds(bags(spark, sf_dir), 3), "author-folds")
     bag = CountVectorizer(inputCol="words", outputCol="features", vocabSize=10_000, minDF=2)
     pipeline = Pipeline(stages=[bag, au.label_indexer("author"), au.naive_bayes(0.2)])
     maps = tu.grid([])
