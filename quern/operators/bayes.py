@@ -1,4 +1,4 @@
-"""Multinomial naive Bayes as joins and aggregates.
+"""Multinomial naive Bayes: fitted by joins and aggregates, applied as a sparse product.
 
 One fit gives a model per entity and one over all rows under ``*``: the counts
 of the latter are the sums of the former, so the texts are tokenised once.
@@ -6,28 +6,44 @@ Only pairs of class and word that occur are stored. A document's score is
 
     log prior + n_known * log_default + sum(log_theta - log_default)
 
-over its words that the model knows.
+over its words that the model knows. Documents are scored in blocks: the matrix of a block's word counts is multiplied
+with what each word adds to each class. A model of bounded size is broadcast; of a larger one, a block asks for each
+word it holds once, whatever the number of its documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quern.operators.relational import lookup_with_default
 from quern.operators.skew import hot_keys, salted_join
 from quern.sources.staging import staged
 
 ALL = "*"
+# Words of the documents that are scored together; a single document may have more.
+BLOCK_WORDS = 1 << 20
+# A model with more words, over all its classes, is not broadcast (some 50 MB).
+BROADCAST_WORDS = 1 << 21
+# Products added up at once.
+PRODUCTS = 1 << 22
 
 
 @dataclass(frozen=True)
 class BayesModel:
-    """``classes``: entity, label, docs, words, vocabulary, log_prior, log_default.
+    """``classes``: entity, label, place (among the entity's labels), docs, words, rows (distinct words), vocabulary,
+    log_prior, log_default.
 
-    ``theta``: entity, label, word, n, log_theta.
+    ``theta``: entity, label, place, word, n, log_theta, gain (over log_default).
     """
 
     classes: DataFrame
@@ -89,7 +105,7 @@ def fit_folds(
 
 def smoothed(counts: DataFrame, sizes: DataFrame, smoothing: float, prior_smoothing: float) -> BayesModel:
     """The model of counted words (entity, label, word, n) and documents (entity, label, docs)."""
-    totals = counts.groupBy("entity", "label").agg(F.sum("n").alias("words"))
+    totals = counts.groupBy("entity", "label").agg(F.sum("n").alias("words"), F.count("*").alias("rows"))
     breadth = (
         counts.groupBy("entity", "word")
         .agg(F.lit(1).alias("one"))
@@ -102,13 +118,15 @@ def smoothed(counts: DataFrame, sizes: DataFrame, smoothing: float, prior_smooth
     mass = F.col("words") + lam * F.col("vocabulary")
     classes = (
         sizes.join(totals, ["entity", "label"], "left")
-        .na.fill(0, ["words"])
+        .na.fill(0, ["words", "rows"])
         .join(breadth, "entity")
         .select(
             "entity",
             "label",
+            (F.row_number().over(per_entity.orderBy("label")) - 1).alias("place"),
             "docs",
             "words",
+            "rows",
             "vocabulary",
             F.log(
                 (F.col("docs") + F.lit(float(prior_smoothing)))
@@ -118,45 +136,61 @@ def smoothed(counts: DataFrame, sizes: DataFrame, smoothing: float, prior_smooth
         )
     )
     classes = staged(classes, "bayes-classes")
-    theta = counts.join(classes, ["entity", "label"]).select(
-        "entity", "label", "word", "n", F.log((F.col("n") + lam) / mass).alias("log_theta")
-    )
-    return BayesModel(classes, theta)
+    # A class may hold most of all words: its rows are dealt by word.
+    on = ["entity", "label"]
+    asked = classes.select(*on, "place", "words", "vocabulary", "log_default")
+    theta = salted_join(counts, asked, on, hot_keys(classes, on, "rows"), F.col("word"))
+    theta = theta.withColumn("log_theta", F.log((F.col("n") + lam) / mass))
+    return BayesModel(classes, theta.select(*on, "place", "word", "n", "log_theta", (F.col("log_theta") - F.col("log_default")).alias("gain")))
+
+
+class Gains:
+    """What words add to classes, by model and word, in arrays."""
+
+    def __init__(self, table: pa.Table):
+        """``table``: entity, place, word, gain."""
+        entity, word = (table[c].combine_chunks().dictionary_encode() for c in ("entity", "word"))
+        self.entities, self.terms = entity.dictionary, word.dictionary
+        pair = entity.indices.to_numpy().astype(np.int64) * len(word.dictionary) + word.indices.to_numpy()
+        order = np.argsort(pair, kind="stable")
+        self.pair, self.place, self.gain = pair[order], table["place"].to_numpy()[order].astype(np.int64), table["gain"].to_numpy()[order]
+
+    def known(self, entities: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of models and words; -1: unknown."""
+        told = (pc.fill_null(pc.index_in(asked, known), -1) for asked, known in ((entities, self.entities), (terms, self.terms)))
+        return tuple(x.to_numpy(zero_copy_only=False).astype(np.int64) for x in told)
 
 
 @dataclass(frozen=True)
 class BayesWeights:
     """A model laid out for scoring; fill it once and use it for any number of batches.
 
-    ``classes``: one row per model with its sorted classes. ``words``: model_entity, word and ``gains``, what the word
-    adds to the score of each class of its model, in the classes' order. ``hot``: the frequent words. ``breadth``: the
-    largest number of classes of a model.
+    ``classes``: one row per model with its ``layout``, the sorted classes. ``words``: model_entity, word and ``gains``,
+    what the word adds to the score of the classes that have it; of a small model ``small`` has that, broadcast, with
+    the layouts. ``breadth``: the largest number of classes of a model.
     """
 
-    words: DataFrame
-    hot: DataFrame
+    words: DataFrame | None
     classes: DataFrame
     breadth: int
+    label: T.DataType
+    small: Broadcast | None
 
 
 def weights(model: BayesModel) -> BayesWeights:
-    """Only the number of classes reaches the driver."""
-    classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(
-        F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("classes")
-    )
-    classes = staged(classes, "bayes-layout")
-    gain = F.col("log_theta") - F.col("log_default")
-    by_label = (
-        model.theta.join(model.classes.select("entity", "label", "log_default"), ["entity", "label"])
-        .groupBy(F.col("entity").alias("model_entity"), "word")
-        .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("label", gain))).alias("by_label"))
-    )
-    gains = F.transform("classes", lambda c: F.coalesce(F.try_element_at("by_label", c["label"]), F.lit(0.0)))
-    words = by_label.join(classes, "model_entity").select("model_entity", "word", "n", gains.alias("gains"))
-    words = staged(words, "bayes-weights")
-    hot = staged(hot_keys(words, ["model_entity", "word"], "n"), "bayes-hot")
-    breadth = classes.agg(F.max(F.size("classes"))).first()[0] or 0
-    return BayesWeights(words.drop("n"), hot, classes, breadth)
+    """Only sizes reach the driver, and a model of BROADCAST_WORDS words at most."""
+    layout = F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("layout")
+    size = model.classes.agg(F.sum("rows").alias("rows"), F.max("place").alias("place")).first()
+    label = model.classes.schema["label"].dataType
+    breadth = 0 if size.place is None else size.place + 1
+    classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(layout)
+    if (size.rows or 0) <= BROADCAST_WORDS:
+        layouts = {r.model_entity: r.layout for r in classes.collect()}
+        told = Gains(model.theta.select("entity", "place", "word", "gain").toArrow())
+        return BayesWeights(None, classes.drop("layout"), breadth, label, classes.sparkSession.sparkContext.broadcast((told, layouts)))
+    gains = F.collect_list(F.struct("place", "gain")).alias("gains")
+    words = staged(model.theta.groupBy(F.col("entity").alias("model_entity"), "word").agg(gains), "bayes-weights")
+    return BayesWeights(words, staged(classes, "bayes-layout"), breadth, label, None)
 
 
 def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFrame:
@@ -165,33 +199,136 @@ def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFram
     return lookup_with_default(docs, known, entity, "model_entity", ALL)
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """One row per block of ``rows`` (key, model_entity, words), with what it asks for.
+
+    ``keys``, ``entities``: its documents. ``asked``: its models (word null) and its words per model. ``owner``,
+    ``place``, ``count``: the cells of the matrix of counts, by document and place in ``asked``. ``model``: the place of
+    each document's model.
+    """
+    key = rows.schema["key"]
+    fields = "block long, asked array<struct<model_entity: string, word: string>>, owner array<int>, place array<int>, count array<int>, model array<int>"
+    schema = T.StructType([*T.StructType.fromDDL(fields), T.StructField("keys", T.ArrayType(key.dataType)), T.StructField("entities", T.ArrayType(T.StringType()))])
+
+    def block(name: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        entity = table["model_entity"].combine_chunks().dictionary_encode()
+        models, mine = entity.dictionary, entity.indices.to_numpy().astype(np.int64)
+        lists = table["words"].combine_chunks()
+        word = lists.flatten().dictionary_encode()
+        owner = np.repeat(np.arange(len(table)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+        number, terms = word.indices.to_numpy().astype(np.int64), len(word.dictionary)
+        # Distinct pairs of model and word, then cells of (document, pair).
+        pairs, place = np.unique(mine[owner] * terms + number, return_inverse=True)
+        cells, count = np.unique(owner * max(1, len(pairs)) + place, return_counts=True)
+        asked_entity = pa.concat_arrays([models.cast(pa.string()), models.take(pa.array(pairs // max(1, terms))).cast(pa.string())])
+        asked_word = pa.concat_arrays([pa.nulls(len(models), pa.string()), word.dictionary.take(pa.array(pairs % max(1, terms))).cast(pa.string())])
+        asked = pa.StructArray.from_arrays([asked_entity, asked_word], names=["model_entity", "word"])
+        numbers = [cells // max(1, len(pairs)), cells % max(1, len(pairs)) + len(models), count, mine]
+        values = [asked, *(pa.array(n.astype(np.int32)) for n in numbers), table["key"].combine_chunks(), table["model_entity"].combine_chunks().cast(pa.string())]
+        one = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in values]
+        return pa.RecordBatch.from_arrays([pa.array([name]), *one], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += len(batch.column("words").flatten()) + batch.num_rows
+            if size >= BLOCK_WORDS:
+                yield block((task << 32) | number, held)
+                held, size, number = [], 0, number + 1
+        if held:
+            yield block((task << 32) | number, held)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _added(owner: np.ndarray, place: np.ndarray, count: np.ndarray, docs: int, of: np.ndarray, label: np.ndarray, gain: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(known words, sums per class) of ``docs`` documents: their cells times the gains, sorted by the place they are ``of``."""
+    first, last = np.searchsorted(of, place, "left"), np.searchsorted(of, place, "right")
+    known, sums = np.bincount(owner, count * (last > first), docs), np.zeros(docs * width)
+    edges = np.concatenate([[0], np.cumsum(last - first)])
+    start = 0
+    while width and start < len(owner):
+        stop = min(len(owner), max(start + 1, int(np.searchsorted(edges, edges[start] + PRODUCTS))))
+        size = (last - first)[start:stop]
+        cell = np.repeat(np.arange(start, stop), size)
+        entry = np.arange(len(cell)) - np.repeat(np.cumsum(size) - size, size) + first[cell]
+        sums += np.bincount(owner[cell] * width + label[entry], count[cell] * gain[entry], len(sums))
+        start = stop
+    return known, sums.reshape(docs, width)
+
+
+def _told(keys: pa.Array, entities: pa.Array, layouts: list, known: np.ndarray, sums: np.ndarray, schema: pa.Schema) -> pa.Table:
+    """key, model_entity, labels and scores of documents; ``layouts`` has the classes of each one's model."""
+    labels = [[c["label"] for c in layout] for layout in layouts]
+    scores = [[c["log_prior"] + known[k] * c["log_default"] + sums[k, i] for i, c in enumerate(layout)] for k, layout in enumerate(layouts)]
+    return pa.table([keys, entities, pa.array(labels, schema.field("labels").type), pa.array(scores, pa.list_(pa.float64()))], schema=schema)
+
+
+def _product(block: pa.Table, answers: pa.Table, schema: pa.Schema) -> pa.Table:
+    """Of one block that asked, with its answers."""
+    owner, place, count, model, keys, entities = (block[c].combine_chunks().flatten() for c in ("owner", "place", "count", "model", "keys", "entities"))
+    owner, place, count, model = (x.to_numpy().astype(np.int64) for x in (owner, place, count, model))
+    layouts = {r["place"]: r["layout"] for r in answers.filter(pc.is_valid(answers["layout"])).select(["place", "layout"]).to_pylist()}
+    width = max((len(v) for v in layouts.values()), default=0)
+    told = answers.filter(pc.is_valid(answers["gains"]))
+    lists, flat = told["gains"].combine_chunks(), told["gains"].combine_chunks().flatten()
+    of = np.repeat(told["place"].to_numpy(), pc.list_value_length(lists).to_numpy())
+    order = np.argsort(of, kind="stable")
+    known, sums = _added(owner, place, count, len(keys), of[order], flat.field("place").to_numpy()[order].astype(np.int64), flat.field("gain").to_numpy()[order], width)
+    return _told(keys, entities, [layouts.get(m, []) for m in model.tolist()], known, sums, schema)
+
+
+def _by_small(rows: DataFrame, model: BayesWeights, schema: T.StructType) -> DataFrame:
+    """Scores of ``rows`` (key, model_entity, words) with a broadcast model: nothing is shuffled."""
+    sent, width, kind = model.small, model.breadth, to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains, layouts = sent.value
+        for batch in batches:
+            lists, asked = batch.column("words"), batch.column("model_entity").cast(pa.string())
+            word = lists.flatten().dictionary_encode()
+            entity, term = gains.known(asked, word.dictionary.cast(pa.string()))
+            owner = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            number = term[word.indices.to_numpy()]
+            fine = (number >= 0) & (entity[owner] >= 0)
+            cells, count = np.unique(owner[fine] * max(1, len(gains.terms)) + number[fine], return_counts=True)
+            owner, number = cells // max(1, len(gains.terms)), cells % max(1, len(gains.terms))
+            known, sums = _added(owner, entity[owner] * len(gains.terms) + number, count, batch.num_rows, gains.pair, gains.place, gains.gain, width)
+            mine = [layouts.get(m, []) for m in asked.to_pylist()]
+            yield from _told(batch.column("key"), asked, mine, known, sums, kind).to_batches()
+
+    return rows.mapInArrow(run, schema)
+
+
 def _scored(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
-    """key, model_entity and ``scored``, an array of (label, score) in the order of labels."""
-    if entity is None:
-        on, rows = ["model_entity", "word"], docs.select(key, "model_entity", F.explode(words).alias("word"))
-        matched = salted_join(rows, model.words, on, model.hot, F.col(key))
-    else:
-        rows = docs.select(key, F.explode(words).alias("word"))
-        known, hot = (t.where(F.col("model_entity") == entity).drop("model_entity") for t in (model.words, model.hot))
-        matched = salted_join(rows, known, ["word"], hot, F.col(key))
-    sums = matched.groupBy(key).agg(
-        F.count("*").alias("known"),
-        F.array(*[F.sum(F.get("gains", F.lit(i))) for i in range(model.breadth)]).alias("gain"),
-    )
-    known = F.coalesce("known", F.lit(0))
-    scored = F.transform(
-        "classes",
-        lambda c, i: F.struct(
-            c["label"].alias("label"),
-            (c["log_prior"] + known * c["log_default"] + F.coalesce(F.get("gain", i), F.lit(0.0))).alias("score"),
-        ),
-    )
-    if entity is None:
-        told = docs.select(key, "model_entity").join(sums, key, "left").join(model.classes, "model_entity")
-    else:
-        one = model.classes.where(F.col("model_entity") == entity).select("classes").scalar()
-        told = docs.select(key, F.lit(entity).alias("model_entity")).join(sums, key, "left").withColumn("classes", one)
-    return told.select(key, "model_entity", scored.alias("scored"))
+    """key, model_entity and ``scored``, an array of (label, score) in the order of labels.
+
+    A word is asked for once a block and model, so that the commonest word or model is no hot key.
+    """
+    own = F.col("model_entity") if entity is None else F.lit(entity)
+    rows = docs.select(F.col(key).alias("key"), own.cast("string").alias("model_entity"), words.alias("words"))
+    fields = [T.StructField("key", docs.schema[key].dataType), T.StructField("model_entity", T.StringType())]
+    schema = T.StructType([*fields, T.StructField("labels", T.ArrayType(model.label)), T.StructField("scores", T.ArrayType(T.DoubleType()))])
+    found = _by_small(rows, model, schema) if model.small else _by_blocks(rows, model, schema)
+    scored = F.arrays_zip(F.col("labels").alias("label"), F.col("scores").alias("score"))
+    return found.select(F.col("key").alias(key), "model_entity", scored.alias("scored"))
+
+
+def _by_blocks(rows: DataFrame, model: BayesWeights, schema: T.StructType) -> DataFrame:
+    """Scores of ``rows`` (key, model_entity, words) with a model of any size, block by block."""
+    blocks = staged(_blocks(rows), "bayes-blocks")
+    asked = blocks.select(F.col("block").alias("to"), F.posexplode("asked").alias("place", "asked")).select("to", "place", "asked.*")
+    no_layout, no_gains = (F.lit(None).cast(t.schema[c].dataType).alias(c) for t, c in ((model.classes, "layout"), (model.words, "gains")))
+    gains = asked.where("word is not null").join(model.words, ["model_entity", "word"]).select("to", "place", "gains", no_layout)
+    layout = asked.where("word is null").drop("word").join(model.classes, "model_entity").select("to", "place", no_gains, "layout")
+    # A block is little data and much work: adaptive execution must not put many into one task.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told, kind = gains.union(layout).repartition(tasks, "to"), to_arrow_schema(schema)
+    both = blocks.drop("asked").repartition(tasks, "block").groupBy("block").cogroup(told.groupBy("to"))
+    return both.applyInArrow(lambda a, b: _product(a, b, kind), schema)
 
 
 def scores(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:

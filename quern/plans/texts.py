@@ -261,9 +261,8 @@ def _entity_model(spark: SparkSession, sf_dir: str) -> nb.BayesModel:
   round(log_prior, 6) AS log_prior, round(log_default, 6) AS log_default FROM classes""",
 )
 def nb_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _entity_model(spark, sf_dir).classes.withColumns(
-        {c: F.round(c, 6) for c in ("log_prior", "log_default")}
-    )
+    classes = _entity_model(spark, sf_dir).classes.drop("place", "rows")
+    return classes.withColumns({c: F.round(c, 6) for c in ("log_prior", "log_default")})
 
 
 @job(

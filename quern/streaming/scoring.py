@@ -16,9 +16,10 @@ def start_scoring(
     """Score what is there and stop. The model's tables are static; every batch writes its own folder."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        asked = nb.with_model(batch, model, entity)
-        found = nb.classify(asked, key, words, model)
-        found.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        with staging.scratch(batch.sparkSession):
+            asked = nb.with_model(batch, model, entity)
+            found = nb.classify(asked, key, words, model)
+            found.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     return (
         texts.writeStream.foreachBatch(save)

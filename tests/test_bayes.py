@@ -35,6 +35,14 @@ def corpus(spark):
 WORDS = tx.tokens
 
 
+@pytest.fixture(params=[True, False], ids=["broadcast", "blocks"])
+def both_ways(request, monkeypatch):
+    """Scoring with a broadcast model and, block by block, with one of any size."""
+    if not request.param:
+        monkeypatch.setattr(nb, "BROADCAST_WORDS", -1)
+        monkeypatch.setattr(nb, "PRODUCTS", 3)
+
+
 def test_known_probabilities(spark, corpus):
     model = nb.fit(corpus, WORDS(F.col("content")), "author", smoothing=0.01)
     theta = {(r.label, r.word): r.p for r in model.theta.select("label", "word", F.exp("log_theta").alias("p")).collect()}
@@ -47,7 +55,7 @@ def test_known_probabilities(spark, corpus):
     assert default["Ala"] == pytest.approx(0.000830, abs=1e-6)
 
 
-def test_scores_equal_mllib(spark, corpus):
+def test_scores_equal_mllib(spark, corpus, both_ways):
     words = WORDS(F.col("content"))
     probe = spark.createDataFrame(
         [(1, "aaa ccc ccc ddd eee"), (2, "bbb unseen"), (3, "unseen"), (4, ""), (5, "aaa aaa aaa")],
@@ -70,7 +78,7 @@ def test_scores_equal_mllib(spark, corpus):
             assert ours[(row.id, label)] == pytest.approx(raw[i])
 
 
-def test_equal_scores_go_to_the_first_label(spark):
+def test_equal_scores_go_to_the_first_label(spark, both_ways):
     docs = spark.createDataFrame([(1, "b", "x"), (2, "a", "x")], "id INT, y STRING, t STRING")
     words = tx.words(F.col("t"))
     weights = nb.weights(nb.fit(docs, words, "y"))
@@ -78,7 +86,20 @@ def test_equal_scores_go_to_the_first_label(spark):
     assert {r.prediction for r in found} == {"a"}
 
 
-def test_many_classes(spark):
+def test_blocks_of_any_size(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id", "if(id % 3 = 0, 'a', 'b') y", "if(id % 7 = 0, null, concat('w', id % 40, ' w', id % 40, ' common ', id)) t").repartition(3)
+    words = tx.words(F.col("t"))
+    model = nb.fit(docs, words, "y")
+    small = nb.weights(model)
+    monkeypatch.setattr(nb, "BROADCAST_WORDS", 10)
+    monkeypatch.setattr(nb, "BLOCK_WORDS", 50)
+    large = nb.weights(model)
+    assert small.small and not large.small
+    a, b = ({(r.id, r.label): round(r.score, 9) for r in nb.scores(docs, "id", words, w, nb.ALL).collect()} for w in (small, large))
+    assert a == b and len(a) == 600
+
+
+def test_many_classes(spark, both_ways):
     docs = spark.range(700).selectExpr("cast(id as int) id", "concat('c', id % 350) y", "concat('w', id % 350, ' x') t")
     words = tx.words(F.col("t"))
     model = nb.weights(nb.fit(docs, words, "y"))
@@ -87,7 +108,7 @@ def test_many_classes(spark):
     assert found.join(docs, "id").where("prediction <> y").count() == 0
 
 
-def test_entity_models_and_fallback(spark):
+def test_entity_models_and_fallback(spark, both_ways):
     rows = [
         ("Nvidia", "pos", "fast card"), ("Nvidia", "neg", "hot card"),
         ("Cola", "pos", "hot drink"), ("Cola", "neg", "flat drink"), ("Cola", "neg", "flat"),
