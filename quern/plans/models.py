@@ -9,18 +9,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import hashing as hs
+from quern.functions import maths as mx
 from quern.functions import text as tx
 from quern.functions import time as tm
 from quern.functions.vectors import register_array_max
 from quern.models import authors as au
 from quern.models import linear as ln
 from quern.models import logistic as lg
+from quern.models import perceptron as pc
 from quern.models import regressors as rs
 from quern.models import tuning as tu
 from quern.operators import features as ft
+from quern.operators import irls
 from quern.operators import metrics as mt
 from quern.operators import sampling as sp
+from quern.operators import words as wd
 from quern.operators.relational import union_all
 from quern.plans import standins as st
 from quern.plans.evaluation import THRESHOLD
@@ -243,19 +246,72 @@ def regex_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", F.size("words").alias("n_tokens"), F.size(F.array_distinct("words")).alias("n_distinct"))
 
 
-@job("logreg_exam")
+def _logit(name: str, penalty: float, share: float, steps: int = 8) -> str:
+    """SQL: ``{name}_b{steps}`` (w: intercept, then a weight per scaled column) by reweighted steps over table ``xs``.
+
+    A step solves its penalised parabola by 60 sweeps over the weights.
+    """
+    k = len(EXAM_FEATURES) + 1
+    sums = ", ".join(f"avg((p - result) * x[{j}])" for j in range(1, k + 1))
+    rows = ", ".join("[" + ", ".join(f"avg(p * (1 - p) * x[{i}] * x[{j}])" for j in range(1, k + 1)) + "]" for i in range(1, k + 1))
+    j = "e[1]::INT"
+    pull = f"(h[{j}][{j}] * v[{j}] - g[{j}] - list_dot_product(h[{j}], list_transform(list_zip(v, w), lambda d: d[1] - d[2])))"
+    soft = f"(greatest({pull} - {penalty * share}, 0) - greatest(-{pull} - {penalty * share}, 0)) / (h[{j}][{j}] + {penalty * (1 - share)})"
+    turn = f"v[:{j} - 1] || [CASE WHEN {j} = 1 THEN {pull} / h[1][1] ELSE {soft} END] || v[{j} + 1:]"
+    parts = [f"{name}_b0 AS (SELECT [ln(avg(result) / (1 - avg(result)))] || [0.0::DOUBLE FOR i IN range({k - 1})] AS w FROM xs)"]
+    for s in range(steps):
+        parts.append(f"""{name}_g{s} AS (
+  SELECT any_value(w) AS w, [{sums}] AS g, [{rows}] AS h FROM (SELECT x, result, w, 1 / (1 + exp(-list_dot_product(x, w))) AS p FROM xs, {name}_b{s})),
+{name}_b{s + 1} AS (SELECT list_reduce([w] || flatten([[[i::DOUBLE] FOR i IN range(1, {k + 1})] FOR s IN range(60)]), lambda v, e: {turn}) AS w FROM {name}_g{s})""")
+    return ",\n".join(parts)
+
+
+EXAM_SCALED = f"""{st.EXAM}, raw AS (SELECT doc_id, result, n_chars, n_words, epoch(exam_day::TIMESTAMP)::BIGINT AS timestamp FROM exam),
+ends AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in EXAM_FEATURES)} FROM raw),
+xs AS (SELECT raw.*, [1.0::DOUBLE, {", ".join(f"({c} - m_{c}) / s_{c}" for c in EXAM_FEATURES)}] AS x FROM raw, ends)"""
+
+
+@job(
+    "logreg_exam",
+    f"""WITH {EXAM_SCALED}, {_logit("e", 0.1, 0.5)}, told AS (SELECT *, 1 / (1 + exp(-list_dot_product(x, w))) AS p FROM xs, e_b8)
+SELECT doc_id, n_chars, n_words, timestamp, result, round(p, 4) AS p1, round(greatest(p, 1 - p), 4) AS prob, (p > 0.5)::INT::DOUBLE AS prediction FROM told""",
+)
 def logreg_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled document with probability, prediction and the larger probability."""
-    exam = _exam(spark, sf_dir)
-    model = lg.logistic_pipeline(EXAM_FEATURES, "result", maxIter=1000, regParam=0.1, elasticNetParam=0.5).fit(exam)
-    return lg.scored(model, exam)
+    exam = staged(_exam(spark, sf_dir), "exam")
+    p = F.col("p1")
+    told = exam.withColumn("p1", irls.fit(exam, EXAM_FEATURES, "result", 0.1, 0.5).probability())
+    told = told.withColumns({"prob": F.greatest(p, 1 - p), "prediction": (p > 0.5).cast("double")})
+    return _rounded(told, "p1", "prob", digits=4)
 
 
-@job("logreg_coefficients")
+@job(
+    "logreg_coefficients",
+    f"""WITH {EXAM_SCALED}, {_logit("c", 0.01, 0.5)},
+own AS (SELECT {", ".join(f"w[{i + 2}] / s_{c} AS w_{c}" for i, c in enumerate(EXAM_FEATURES))},
+  w[1] - {" - ".join(f"w[{i + 2}] / s_{c} * m_{c}" for i, c in enumerate(EXAM_FEATURES))} AS w_intercept FROM c_b8, ends),
+terms AS ({" UNION ALL ".join(f"SELECT '{c}' AS term, w_{c} AS coefficient FROM own" for c in [*EXAM_FEATURES, "intercept"])})
+SELECT term, round(coefficient, 9) + 0 AS coefficient, round(exp(coefficient), 6) AS odds_ratio, round((exp(coefficient) - 1) * 100, 5) + 0 AS percent FROM terms""",
+)
 def logreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exam = _exam(spark, sf_dir)
-    model = lg.logistic_pipeline(EXAM_FEATURES, "result", maxIter=1000, regParam=0.01, elasticNetParam=0.5).fit(exam)
-    return lg.coefficient_table(spark, model)
+    """The logit as a table: coefficients, odds ratios and changes of the odds in percent."""
+    found = irls.fit(staged(_exam(spark, sf_dir), "exam"), EXAM_FEATURES, "result", 0.01, 0.5)
+    rows = [*zip(EXAM_FEATURES, found.weights.tolist(), strict=True), ("intercept", found.intercept)]
+    c = F.col("coefficient")
+    told = spark.createDataFrame(rows, "term STRING, coefficient DOUBLE").select("term", c, mx.odds_ratio(c).alias("odds_ratio"), mx.odds_percent(c).alias("percent"))
+    return told.select("term", (F.round(c, 9) + F.lit(0.0)).alias("coefficient"), F.round("odds_ratio", 6).alias("odds_ratio"), (F.round("percent", 5) + F.lit(0.0)).alias("percent"))
+
+
+@job(
+    "logreg_history",
+    f"""WITH {EXAM_SCALED}, {_logit("h", 0.01, 0.5, 4)}, steps AS ({" UNION ALL ".join(f"SELECT {s} AS step, w FROM h_b{s}" for s in range(4))})
+SELECT step, round(avg(ln(1 + exp(list_dot_product(x, w))) - result * list_dot_product(x, w))
+  + any_value(0.005 * list_sum(list_transform(w[2:], lambda v: abs(v))) + 0.0025 * list_dot_product(w[2:], w[2:])), 6) AS objective FROM steps, xs GROUP BY step""",
+)
+def logreg_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The penalised loss of the logit before each of its first four steps."""
+    found = irls.fit(staged(_exam(spark, sf_dir), "exam"), EXAM_FEATURES, "result", 0.01, 0.5, steps=4, tolerance=0.0)
+    return _rounded(spark.createDataFrame(list(enumerate(found.objective)), "step INT, objective DOUBLE"), "objective", digits=6)
 
 
 @job("logreg_test_metrics")
@@ -353,6 +409,22 @@ def linear_sgd_reaimed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(tables)
 
 
+@job("linear_perceptron")
+def linear_perceptron(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averaged perceptron of the sentiment from word counts, 3 stratified folds: class metrics of each fold and of its rest."""
+    rows = st.tweets(spark, sf_dir).select("doc_id", F.col("sentiment").alias("class"), tx.tokens_2plus(F.col("text")).alias("words"))
+    rows = staged(sp.stratified_folds(rows, "doc_id", "class", 3, seed=42), "tweet-words")
+    terms = [r.word for r in wd.vocabulary(rows, F.col("words"), 10_000).select("word").collect()]
+    coded = staged(wd.coded(rows, "words", terms), "tweet-counts")
+    tables = []
+    for fold in (1, 2, 3):
+        model = pc.fit(coded.where(F.col("fold") != fold), F.col("doc_id"), len(terms), 2, l2=1e-3)
+        found = pc.predicted(coded, model).withColumn("part", F.when(F.col("fold") == fold, "test").otherwise("train"))
+        cells = mt.confusion(found, "class", "prediction", ("part",))
+        tables.append(mt.class_summary(mt.per_class(cells, ("part",)), ("part",)).select(F.lit(fold).alias("fold"), "*"))
+    return union_all(tables)
+
+
 def author_folds(rows: DataFrame, folds: int) -> DataFrame:
     return sp.stratified_folds(rows, "doc_id", "author", folds, seed=1).withColumn("fold", F.col("fold") - 1)
 
