@@ -63,13 +63,19 @@ def sampled_rows(rows: DataFrame, label_col: str, per_label: int, *content: str)
     """Label and ``content`` of ``per_label`` rows of each label at most; the same ones on any layout.
 
     Equal rows count once, so that neither a hot id nor a text with many copies fills or empties the sample; of the
-    others, those with the least hashes are taken. Labels may be many: nothing is collected. Rows without a label are
-    not drawn.
+    others, those with the least hashes are taken. Hashes above twice the share that is wanted are passed over before
+    they are ranked, so that no task sees the rows of a label. Labels may be many: nothing is collected. Rows without a
+    label are not drawn.
     """
-    marked = rows.select(label_col, *content, F.xxhash64(F.lit("sample"), *content).alias("_draw"))
-    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_draw"))
-    chosen = marked.select(label_col, "_draw").distinct().withColumn("_rank", rank).where(F.col("_rank") <= per_label)
-    return marked.join(chosen, [label_col, "_draw"], "left_semi").drop("_draw").distinct()
+    named = [F.col(c) if isinstance(rows.schema[c].dataType, T.ArrayType) else F.col(c).cast("string") for c in content]
+    marked = rows.select(label_col, *content, F.xxhash64(*named, F.lit("sample")).alias("_draw"))
+    drawn = marked.select(label_col, "_draw").distinct()
+    share = F.lit(2.0 * per_label + 50) / F.count("*")
+    low = drawn.groupBy(label_col).agg(share.alias("_share"))
+    unit = F.pmod("_draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy(unit, "_draw"))
+    chosen = drawn.join(low, label_col).where(unit < F.col("_share")).withColumn("_rank", rank).where(F.col("_rank") <= per_label)
+    return marked.join(chosen.select(label_col, "_draw"), [label_col, "_draw"], "left_semi").drop("_draw").distinct()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
