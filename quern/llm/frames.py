@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
+from quern.sources.staging import staged
+
 # Text handled at once inside a task, in characters: a batch of longer texts is cut between rows.
 SLICE_CHARS = 4_000_000
+BROADCAST_DRAWS = 1 << 20
 
 
 def id_remainder(id_col: str, divisor: int) -> Column:
@@ -64,8 +67,8 @@ def sampled_rows(rows: DataFrame, label_col: str, per_label: int, *content: str)
 
     Equal rows count once, so that neither a hot id nor a text with many copies fills or empties the sample; of the
     others, those with the least hashes are taken. Hashes above twice the share that is wanted are passed over before
-    they are ranked, so that no task sees the rows of a label. Labels may be many: nothing is collected. Rows without a
-    label are not drawn.
+    they are ranked, so that no task sees the rows of a label. Labels may be many: nothing is collected, and what was
+    drawn is broadcast only up to BROADCAST_DRAWS hashes. Rows without a label are not drawn.
     """
     named = [F.col(c) if isinstance(rows.schema[c].dataType, T.ArrayType) else F.col(c).cast("string") for c in content]
     marked = rows.select(label_col, *content, F.xxhash64(*named, F.lit("sample")).alias("_draw"))
@@ -75,7 +78,9 @@ def sampled_rows(rows: DataFrame, label_col: str, per_label: int, *content: str)
     unit = F.pmod("_draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
     rank = F.row_number().over(Window.partitionBy(label_col).orderBy(unit, "_draw"))
     chosen = drawn.join(low, label_col).where(unit < F.col("_share")).withColumn("_rank", rank).where(F.col("_rank") <= per_label)
-    return marked.join(chosen.select(label_col, "_draw"), [label_col, "_draw"], "left_semi").drop("_draw").distinct()
+    chosen = staged(chosen.select(label_col, "_draw"), "drawn")
+    small = F.broadcast(chosen) if chosen.count() <= BROADCAST_DRAWS else chosen
+    return marked.join(small, [label_col, "_draw"], "left_semi").drop("_draw").distinct()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:

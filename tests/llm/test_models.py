@@ -1,9 +1,10 @@
 """Language identification and toxicity: held-out accuracy and odd rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from quern.llm import language, queries, toxicity
+from quern.llm import frames, language, queries, toxicity
 from quern.llm.frames import id_remainder, sampled_rows
 from quern.sources.tables import table
 from tests.llm.helpers import none, odd
@@ -80,7 +81,9 @@ def test_toxicity_of_odd_rows(spark):
     assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0.5}
 
 
-def test_samples_are_bounded_whatever_the_keys(spark):
+@pytest.mark.parametrize("broadcast", [0, 1 << 20])
+def test_samples_are_bounded_whatever_the_keys(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(frames, "BROADCAST_DRAWS", broadcast)
     rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) as id", "concat('text ', id % 5000) as text", "cast(id % 2 as string) as lang")
     for parts in (2, 9):
         found = sampled_rows(rows.repartition(parts), "lang", 600, "id", "text")
