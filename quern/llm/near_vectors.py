@@ -1,10 +1,13 @@
 """Near-equal vectors by an exact metric range join.
 
-On unit vectors a cosine of at least c is a distance of at most eps = sqrt(2 - 2 c). Pivots, sampled from the vectors of
-a label, cut them into cells: a vector is at home with its nearest pivot. Two vectors within eps whose homes are the
-cells of p and q obey d(x, q) <= d(x, p) + 2 eps by the triangle inequality; a vector is copied to every cell for which
-it does. So each cell holds all partners of the vectors at home there and is joined on its own; a large cell is joined in
-blocks of bounded size. Equal vectors are one class with a count.
+On unit vectors a cosine of at least c is a distance of at most eps = sqrt(2 - 2 c). Pivots, drawn from the vectors of a
+label, about as many as the root of their number, cut them into cells: a vector is at home with its nearest pivot. Let x
+and y be within eps, at home with p and q. By the triangle inequality d(x, q) <= d(x, p) + 2 eps; sharper, the way from x
+to y crosses the plane between p and q, so x is no further than eps from it: d(x, q)^2 - d(x, p)^2 <= 2 eps d(p, q). A
+vector is copied to every cell for which that holds, so each cell holds all partners of the vectors at home there and is
+joined on its own; a large cell is joined in blocks of bounded size. Inside a block vectors are sorted by their distance
+to the pivot and, by the triangle inequality again, compared only where these differ by eps or less. Equal vectors are
+one class with a count.
 
 A block gives, for its home vectors, the number of links, and one row per linked vector that says with whom it hangs
 together inside the block; pairs are not written.
@@ -17,27 +20,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.components import connected
-from quern.llm.frames import sampled_rows
+from quern.operators.skew import hot_keys, salted_join
 from quern.sources.staging import staged
 
-CELL = 2048
 BLOCK = 4096
-MOST_PIVOTS = 64
-MOST_LABELS = 512
-SLACK = 1e-9
-COPIES = "label long, cell int, home boolean, node long, times long, vector array<double>"
+# Pivots of all labels together; they are broadcast.
+MOST_PIVOTS = 1 << 14
+# Numbers in the copies that are made at once inside a task.
+VALUES = 1 << 22
+# Around the wanted cosine within which a pair is computed again, and around distances within which nothing is passed over.
+SLACK, MARGIN = 1e-9, 1e-7
+COPIES = "kind long, cell int, home boolean, place double, node long, times long, vector array<double>"
 
 
-def unit(vectors: list[list[float]]) -> np.ndarray:
-    rows = np.array(vectors, np.float64)
+def matrix(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as rows."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
     rows = rows / np.abs(rows).max(1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
+def distances(cosines: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, 2 - 2 * cosines))
+
+
 def usable(vector: str, label: str) -> str:
     """SQL condition: a label and a vector that is no null, not zero and has only finite components."""
     finite = "x is not null and not isnan(x) and abs(x) < double('Infinity')"
@@ -45,16 +58,35 @@ def usable(vector: str, label: str) -> str:
 
 
 def pivots(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Unit pivots of the labels with the most vectors; labels without any are one cell. Bounded by MOST_LABELS x MOST_PIVOTS."""
-    large = classes.groupBy("label").count().where(F.col("count") > CELL).orderBy(F.desc("count"), "label").limit(MOST_LABELS).collect()
-    if not large:
+    """Unit pivots of every kind with two vectors or more, MOST_PIVOTS of the largest kinds at most; the rest are one cell.
+
+    The vectors with the least hashes are drawn, so the pivots do not depend on the layout.
+    """
+    sizes = classes.groupBy("kind").count().where("count > 1").orderBy(F.desc("count"), "kind").limit(MOST_PIVOTS).collect()
+    total = sum(math.sqrt(r["count"]) for r in sizes)
+    scale = min(1.0, MOST_PIVOTS / total) if sizes else 0.0
+    wanted = [(r["kind"], n, (2.0 * n + 50) / r["count"]) for r in sizes if (n := round(scale * math.sqrt(r["count"]))) > 0]
+    if not wanted:
         return {}
-    wanted = {r["label"]: min(MOST_PIVOTS, math.ceil(r["count"] / CELL)) for r in large}
-    pool = sampled_rows(classes.where(F.col("label").isin(list(wanted))), "label", 4 * MOST_PIVOTS, "node", "vector")
-    by_label: dict[int, list] = {}
-    for r in pool.select("label", "node", "vector").orderBy("label", "node").collect():
-        by_label.setdefault(r["label"], []).append(r["vector"])
-    return {label: unit(rows)[: wanted[label]] for label, rows in by_label.items()}
+    shares = classes.sparkSession.createDataFrame(wanted, "kind long, wanted long, share double")
+    draw = F.xxhash64("node", F.lit("pivot"))
+    low = F.pmod(draw, F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("share")
+    drawn = classes.join(F.broadcast(shares), "kind").where(low).select("kind", "node", "wanted", draw.alias("draw"))  # MOST_PIVOTS rows at most
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("draw", "node"))
+    drawn = drawn.withColumn("rank", rank).where("rank <= wanted").select("kind", "node")
+    by_kind: dict[int, list] = {}
+    for r in classes.join(F.broadcast(drawn), ["kind", "node"]).select("kind", "node", "vector").orderBy("kind", "node").collect():
+        by_kind.setdefault(r["kind"], []).append(r["vector"])
+    return {kind: unit(np.array(rows, np.float64)) for kind, rows in by_kind.items()}
+
+
+def cells(vectors: pa.Array, points: np.ndarray, gaps: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, whether the row is at home there, distance to the cell's pivot) of every copy of some vectors."""
+    cosines = unit(matrix(vectors)) @ points.T
+    nearest = cosines.argmax(1)
+    best = cosines[np.arange(len(cosines)), nearest]
+    row, cell = np.nonzero(best[:, None] - cosines <= eps * gaps[nearest] + MARGIN)
+    return row, cell.astype(np.int32), cell == nearest[row], distances(cosines[row, cell])
 
 
 def dealt(classes: DataFrame, eps: float) -> DataFrame:
@@ -62,34 +94,33 @@ def dealt(classes: DataFrame, eps: float) -> DataFrame:
     chosen = classes.sparkSession.sparkContext.broadcast(pivots(classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gaps: dict[int, np.ndarray] = {}
         for batch in batches:
-            label = batch.column("label").to_numpy()
-            rows, cells, home = [], [], []
-            for one in np.unique(label):
-                mine = np.flatnonzero(label == one)
-                points = chosen.value.get(int(one))
-                if points is None:
-                    rows.append(mine)
-                    cells.append(np.zeros(len(mine), np.int32))
-                    home.append(np.ones(len(mine), bool))
-                    continue
-                lengths = np.diff(batch.column("vector").take(pa.array(mine)).offsets.to_numpy())
-                if (lengths != points.shape[1]).any():
-                    raise ValueError(f"vectors of label {one} differ in length")
-                distance = np.sqrt(np.maximum(0, 2 - 2 * unit(batch.column("vector").take(pa.array(mine)).to_pylist()) @ points.T))
-                nearest = distance.argmin(1)
-                near = distance[np.arange(len(mine)), nearest]
-                row, cell = np.nonzero(distance <= near[:, None] + 2 * eps + SLACK)
-                rows.append(mine[row])
-                cells.append(cell.astype(np.int32))
-                home.append(cell == nearest[row])
-            taken = batch.take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays(
-                [taken.column("label"), pa.array(np.concatenate(cells)), pa.array(np.concatenate(home)), *[taken.column(c) for c in ("node", "times", "vector")]],
-                names=["label", "cell", "home", "node", "times", "vector"],
-            )
-
-    return classes.select("label", "node", "times", "vector").mapInArrow(run, COPIES)
+            kind = batch.column("kind").to_numpy()
+            whole = ~np.isin(kind, np.array(list(chosen.value), np.int64))
+            parts = [(np.flatnonzero(whole), None)] if whole.any() else []
+            for one in np.unique(kind[~whole]).tolist():
+                points = chosen.value[one]
+                step = max(1, VALUES // points.size)
+                mine = np.flatnonzero(kind == one)
+                parts += [(mine[k : k + step], one) for k in range(0, len(mine), step)]
+            for mine, one in parts:
+                if one is None:
+                    row, cell = np.arange(len(mine)), np.zeros(len(mine), np.int32)
+                    home, place = np.ones(len(mine), bool), np.zeros(len(mine))
+                else:
+                    points = chosen.value[one]
+                    if one not in gaps:
+                        gaps[one] = distances(points @ points.T)
+                    row, cell, home, place = cells(batch.column("vector").take(pa.array(mine)), points, gaps[one], eps)
+                taken = batch.take(pa.array(mine[row]))
+                new = [pa.array(cell), pa.array(home), pa.array(place)]
+                yield pa.RecordBatch.from_arrays(
+                    [taken.column("kind"), *new, *[taken.column(c) for c in ("node", "times", "vector")]],
+                    names=["kind", "cell", "home", "place", "node", "times", "vector"],
+                )
+
+    return classes.select("kind", "node", "times", "vector").mapInArrow(run, COPIES)
 
 
 def hanging(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -106,16 +137,18 @@ def hanging(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def block_links(group: pa.Table, least_cosine: float) -> pa.Table:
+def block_links(group: pa.Table, least_cosine: float, eps: float) -> pa.Table:
     """Of one block: node, links (of home vectors), other (a vector that the node hangs together with)."""
-    side = group["home"].to_numpy(zero_copy_only=False)
+    side, place = group["home"].to_numpy(zero_copy_only=False), group["place"].to_numpy()
     node, times = group["node"].to_numpy(), group["times"].to_numpy()
-    nodes, root, links = [], [], []
-    vectors = unit(group["vector"].to_pylist())
-    here, there = np.flatnonzero(side), np.flatnonzero(~side)
+    vectors = unit(matrix(group["vector"].combine_chunks()))
+    order = np.argsort(place, kind="stable")
+    here, whole = order[side[order]], order[~side[order]]
     found_a, found_b = [], []
-    for start in range(0, len(here), 512):
-        rows = here[start : start + 512]
+    for start in range(0, len(here), 256):
+        rows = here[start : start + 256]
+        low, high = np.searchsorted(place[whole], [place[rows[0]] - eps - MARGIN, place[rows[-1]] + eps + MARGIN])
+        there = whole[low:high]
         cosine = vectors[rows] @ vectors[there].T
         a, b = np.nonzero(cosine >= least_cosine - SLACK)
         close = np.abs(cosine[a, b] - least_cosine) <= SLACK
@@ -129,9 +162,9 @@ def block_links(group: pa.Table, least_cosine: float) -> pa.Table:
         found_b.append(b[other])
     a, b = np.concatenate([*found_a, np.empty(0, np.int64)]).astype(int), np.concatenate([*found_b, np.empty(0, np.int64)]).astype(int)
     count = np.bincount(a, times[b], len(node)).astype(np.int64)
-    distinct, place = np.unique(node, return_inverse=True)
-    low = hanging(place[a], place[b], len(distinct))
-    linked = np.unique(np.concatenate([place[a], place[b]]))
+    distinct, index = np.unique(node, return_inverse=True)
+    low = hanging(index[a], index[b], len(distinct))
+    linked = np.unique(np.concatenate([index[a], index[b]]))
     nodes = np.concatenate([node[here], distinct[linked]])
     links = np.concatenate([count[here], np.zeros(len(linked), np.int64)])
     root = np.concatenate([node[here], distinct[low[linked]]])
@@ -145,35 +178,37 @@ def near_classes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     ``n_links`` counts the other rows linked directly, ``component_id`` is the least id that links reach, the own one
     included, ``kept`` says whether it is the own one. A null label, a null or zero vector, and one with null or
     non-finite components link with nothing and are kept. Equal vectors of a label link whatever their number; rows with
-    one id count one by one. Null ids are passed over as least ids. Vectors of a label must have one length.
+    one id count one by one. Null ids are passed over as least ids. Vectors of different lengths do not link. Labels may
+    be of any type.
     """
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("long").alias("label"))
+    eps = math.sqrt(2 - 2 * least_cosine + 4 * SLACK)
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label"))
     ready = F.expr(usable("vector", "label"))
-    rows = rows.withColumn("node", F.when(ready, F.xxhash64("label", "vector")))
-    classes = rows.where("node is not null").groupBy("node").agg(F.first("label").alias("label"), F.first("vector").alias("vector"), F.count("*").alias("times"))
+    rows = rows.withColumn("kind", F.xxhash64("label", F.size("vector"))).withColumn("node", F.when(ready, F.xxhash64("kind", "vector")))
+    own = [F.first(c).alias(c) for c in ("kind", "vector")]
+    classes = rows.where("node is not null").groupBy("node").agg(*own, F.count("*").alias("times"), F.min("id").alias("least"))
     classes = staged(classes, "vector-classes")
-    copies = staged(dealt(classes, math.sqrt(2 - 2 * least_cosine)), "vector-cells")
-    sizes = copies.groupBy("label", "cell").agg(
+    copies = staged(dealt(classes, eps), "vector-cells")
+    sizes = copies.groupBy("kind", "cell").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
         F.ceil(F.count_if("home") / BLOCK).cast("int").alias("home_blocks"),
     )
-    both = copies.join(sizes.where("home_blocks > 0"), ["label", "cell"])
+    both = copies.join(sizes.where("home_blocks > 0"), ["kind", "cell"])
     numbers = "sequence(0, {} - 1)"
     block = "cast(pmod(node, {}) as int)"
-    home = both.where("home").selectExpr("label", "cell", block.format("home_blocks") + " as i", f"explode({numbers.format('blocks')}) as j", "true as home", "node", "times", "vector")
-    all_ = both.selectExpr("label", "cell", f"explode({numbers.format('home_blocks')}) as i", block.format("blocks") + " as j", "false as home", "node", "times", "vector")
-    joined = home.union(all_).groupBy("label", "cell", "i", "j")
-    told = staged(joined.applyInArrow(lambda t: block_links(t, least_cosine), "node long, links long, other long"), "vector-links")
+    home = both.where("home").selectExpr("kind", "cell", block.format("home_blocks") + " as i", f"explode({numbers.format('blocks')}) as j", "true as home", "place", "node", "times", "vector")
+    all_ = both.selectExpr("kind", "cell", f"explode({numbers.format('home_blocks')}) as i", block.format("blocks") + " as j", "false as home", "place", "node", "times", "vector")
+    joined = home.union(all_).groupBy("kind", "cell", "i", "j")
+    told = staged(joined.applyInArrow(lambda t: block_links(t, least_cosine, eps), "node long, links long, other long"), "vector-links")
     links = told.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected(told.where("node <> other"), "node", "other")
-    times = classes.select("node", "times")
-    own = rows.select("id", "node").join(times, "node", "left").join(links, "node", "left").join(roots, "node", "left")
-    own = own.withColumn("root", F.coalesce("root", "node"))
-    least = own.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    told = own.join(least, "root", "left")
-    return told.select(
-        F.col("id").alias(id_col),
-        F.when(F.col("node").isNull(), 0).otherwise(F.col("times") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"),
-        F.when(F.col("node").isNull(), True).otherwise(F.col("id").eqNullSafe(F.col("least"))).alias("kept"),
+    known = classes.select("node", "times", "least").join(links, "node", "left").join(roots, "node", "left")
+    known = staged(known.withColumns({"root": F.coalesce("root", "node"), "links": F.coalesce("links", F.lit(0))}), "vector-roots")
+    groups = known.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("n"))
+    known = salted_join(known, groups.select("root", "component"), ["root"], hot_keys(groups, ["root"], "n"), F.col("node"))
+    linked = salted_join(rows.where("node is not null").select("id", "node"), known, ["node"], hot_keys(classes, ["node"], "times"), F.col("id"))
+    linked = linked.select("id", (F.col("times") - 1 + F.col("links")).cast("long").alias("n_links"), F.col("component"))
+    alone = rows.where("node is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    return linked.union(alone).select(
+        F.col("id").alias(id_col), "n_links", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")
     )

@@ -122,13 +122,13 @@ def brute_vectors(rows):
     return count, components([i for i, _, _ in rows], links)
 
 
-@pytest.mark.parametrize("cell,block", [(2048, 4096), (40, 4096), (40, 16)])
-def test_vectors_as_by_brute_force(spark, monkeypatch, cell, block):
+@pytest.mark.parametrize("most,block", [(1 << 14, 4096), (1 << 14, 16), (9, 16), (0, 16)])
+def test_vectors_as_by_brute_force(spark, monkeypatch, most, block):
     draw = np.random.default_rng(2)
     centers = draw.normal(size=(12, 8))
     rows = [(k, (centers[k % 12] + draw.normal(size=8) * 0.12).tolist(), int(k % 3 == 0)) for k in range(300)]
     rows += [(300 + k, rows[5][1], 1) for k in range(20)] + [(400, [0.0] * 8, 1), (401, None, 1), (402, rows[0][1], None), (403, [float("nan")] * 8, 1), (404, [None] + [1.0] * 7, 0), (405, [float("inf")] * 8, 0)]
-    monkeypatch.setattr(near_vectors, "CELL", cell)
+    monkeypatch.setattr(near_vectors, "MOST_PIVOTS", most)
     monkeypatch.setattr(near_vectors, "BLOCK", block)
     count, least = brute_vectors(rows)
     got = near_vectors.near_classes(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
@@ -141,3 +141,22 @@ def test_vectors_of_odd_tables(spark):
     got = near_vectors.near_classes(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.vec_id or -1, r.n_links, r.component_id, r.kept) for r in got) == [(-1, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (4, 0, 4, True)]
     assert near_vectors.near_classes(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_vectors_of_given_labels_are_cut_into_cells(spark):
+    rows = table(spark, "/root/testdata/sf0.01", "embeddings").where("label is not null and embedding is not null")
+    classes = rows.selectExpr("cast(label as long) as kind", "xxhash64(label, embedding) as node", "1L as times", "cast(embedding as array<double>) as vector")
+    points = near_vectors.pivots(classes)
+    assert len(points) > 1 and min(len(p) for p in points.values()) > 3
+    copies = near_vectors.dealt(classes, 0.2).collect()
+    assert sum(c.home for c in copies) == classes.count() < len(copies) < classes.count() * 5
+
+
+def test_vectors_of_many_labels_and_lengths(spark):
+    draw = np.random.default_rng(4)
+    rows = [(3 * k + j, (v * (j + 1)).tolist(), f"label {k}") for k in range(400) for v in [draw.normal(size=4)] for j in range(3)]
+    rows += [(2000, [1.0, 0.0], "two"), (2001, [2.0, 0.0, 0.0], "two"), (2002, [1.0, 0.01], "two"), (2003, [], "two")]
+    got = near_vectors.near_classes(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    told = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got}
+    assert all(told[i] == (2, i - i % 3, i % 3 == 0) for i in range(1200))
+    assert [told[2000 + k] for k in range(4)] == [(1, 2000, True), (0, 2001, True), (1, 2000, False), (0, 2003, True)]
