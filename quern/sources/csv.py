@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.sources.quoted_csv import read_quoted_csv
+
 
 def read_csv(
     spark: SparkSession,
@@ -25,12 +27,15 @@ def read_csv(
     Gzip files are one task each, so ``partitions`` spreads the rows right
     after the scan. CSV columns are always nullable in Spark: columns listed in
     ``required`` make the job fail on the first empty value instead.
+    ``multiline`` allows line breaks in quoted values; with a schema one file
+    is read by many tasks, while inference reads each file in one.
     """
     reader = spark.read.option("header", True).option("delimiter", delimiter).option("quote", quote)
-    if multiline:
-        reader = reader.option("multiLine", True)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    df = reader.csv(path)
+    if multiline and schema:
+        df = read_quoted_csv(spark, path, schema, delimiter=delimiter, quote=quote)
+    else:
+        df = reader.option("multiLine", multiline).csv(path)
     if partitions:
         df = df.repartition(partitions)
     if required:
