@@ -49,6 +49,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(target)] if store.exists(target) else []
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes at its end all that was staged inside: close it when the results have been written."""
