@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.prefix import SLOT, quantile_slots
+from quern.operators.prefix import SLOT, positions, quantile_slots
+from quern.operators.skew import hot_keys, salted_join
+from quern.sources.staging import staged
 
 
 def all_but(df: DataFrame, *names: str) -> list[str]:
@@ -27,7 +29,10 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, column: str) -> list[str]:
-    """Distinct values, sorted, for use as column names: they are the schema of the result."""
+    """Distinct values, sorted, for use as column names: they are the schema of the result.
+
+    For columns of few values; ``flag_vectors`` takes any number.
+    """
     rows = df.select(column).distinct().where(F.col(column).isNotNull()).collect()
     return sorted(r[0] for r in rows)
 
@@ -40,6 +45,36 @@ def membership_flags(
     return df.select("*", *flags)
 
 
+def numbered(values: DataFrame, name: str) -> DataFrame:
+    """The distinct values of the one column ``name`` with ``code``: 0, 1, ... in the order of their bytes.
+
+    Slots are cut by the first six bytes as a number, rows are numbered inside them; no value reaches the driver.
+    """
+    lead = F.conv(F.rpad(F.substring(F.hex(F.encode(name, "utf-8")), 1, 12), 12, "0"), 16, 10).cast("double")
+    distinct = values.select(name).where(F.col(name).isNotNull()).distinct()
+    marked = quantile_slots(distinct.withColumn("_lead", lead), "_lead").drop("_lead")
+    places = positions(marked, name, slot=F.col(SLOT), name="_place")
+    return places.select(name, (F.col("_place") - 1).alias("code"))
+
+
+def flag_vectors(df: DataFrame, key: str, values: Column, skip: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """A sparse vector of flags per row instead of a column per value, for any number of values, and their dictionary.
+
+    The first frame has ``key`` (unique in ``df``), ``size`` (of the dictionary) and ``indices``, the ascending codes of
+    the distinct ``values`` in the row, none for an empty or null list. The dictionary has ``value`` and ``code``. Values
+    that very many rows share are dealt to several tasks.
+    """
+    listed = df.select(F.col(key).alias("_key"), F.array_except(values, F.array(*[F.lit(s) for s in skip]).cast("array<string>")).alias("_values"))
+    pairs = listed.select("_key", F.explode(F.array_compact("_values")).alias("value"))
+    counts = pairs.groupBy("value").agg(F.count("*").alias("_n"))
+    dictionary = staged(numbered(counts, "value").join(counts, "value"), "dictionary")
+    coded = salted_join(pairs, dictionary.select("value", "code"), ["value"], hot_keys(dictionary, ["value"], "_n"), F.col("_key"))
+    marks = coded.select("_key", "code").union(listed.select("_key", F.lit(None).cast("bigint").alias("code")))
+    size = dictionary.agg(F.count("*").alias("size")).scalar()
+    vectors = marks.groupBy("_key").agg(F.array_sort(F.collect_list("code")).alias("indices"))
+    return vectors.select(F.col("_key").alias(key), size.alias("size"), "indices"), dictionary.select("value", "code")
+
+
 def lookup_with_default(
     df: DataFrame, known: DataFrame, key: Column, name: str, default: str = "*", spread: int = 16
 ) -> DataFrame:

@@ -130,6 +130,21 @@ def genre_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flags.drop("genres", "genres_array")
 
 
+@job(
+    "genre_flag_vectors",
+    f"""WITH {st.MOVIES}, pairs AS (SELECT DISTINCT movie_id, genre
+  FROM (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM movies) WHERE genre <> '(no genres listed)'),
+codes AS (SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS code FROM (SELECT DISTINCT genre FROM pairs))
+SELECT movie_id, (SELECT count(*) FROM codes) AS size, coalesce(string_agg(code::VARCHAR, ',' ORDER BY code), '') AS indices
+FROM movies LEFT JOIN pairs USING (movie_id) LEFT JOIN codes USING (genre) GROUP BY movie_id""",
+)
+def genre_flag_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags of ``genre_flags`` as a sparse vector per movie; genres are numbered by a job and never collected."""
+    genres = tx.pipe_list(F.col("genres"))
+    vectors, _ = rel.flag_vectors(st.movies(spark, sf_dir), "movie_id", genres, skip=("(no genres listed)",))
+    return vectors.withColumn("indices", F.array_join(F.transform("indices", lambda c: c.cast("string")), ","))
+
+
 @job(
     "genre_pairs",
     f"""WITH {st.MOVIES} SELECT DISTINCT movie_id, genre

@@ -388,3 +388,23 @@ def test_fold_lines(spark):
         assert r.slope == pytest.approx(b)
         error = y[fold == r.fold] - (a + b * (x[fold == r.fold] - 1005))
         assert r.rmse == pytest.approx(np.sqrt(np.mean(error**2)))
+
+
+def test_flag_vectors_of_ten_thousand_genres(spark):
+    rows = spark.range(0, 4000, 1, 4).select(
+        "id", F.expr("transform(sequence(0, 4), k -> if(k = 0, 'all', concat('g', pmod(id * 7 + k * 2503, 10000))))").alias("l")
+    )
+    odd = spark.createDataFrame([(9000, []), (9001, None), (9002, ["\u00fc", "all", "all", "none", None])], "id LONG, l ARRAY<STRING>")
+    table = rows.union(odd)
+    vectors, codes = rel.flag_vectors(table, "id", F.col("l"), skip=("none",))
+    lists = {r.id: {v for v in r.l or [] if v not in (None, "none")} for r in table.collect()}
+    names = sorted(set().union(*lists.values()), key=lambda v: v.encode())
+    assert {r.value: r.code for r in codes.collect()} == {v: k for k, v in enumerate(names)}
+    got = {r.id: (r.size, r.indices) for r in vectors.collect()}
+    place = {v: k for k, v in enumerate(names)}
+    assert got == {i: (len(names), sorted(place[v] for v in values)) for i, values in lists.items()}
+
+
+def test_flag_vectors_of_no_rows(spark):
+    vectors, codes = rel.flag_vectors(spark.createDataFrame([], "id LONG, l ARRAY<STRING>"), "id", F.col("l"))
+    assert vectors.count() == codes.count() == 0
