@@ -29,7 +29,10 @@ THRESHOLD = 86
 # Weight of lines in a part that is kept although it is a form or a name like has-sidebar, or a name like sidebar, says no.
 WRAPPER, OTHER, LEAST = 1 / 2, 1 / 16, 2.0**-64
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+# Attributes as browsers read them: a quote sign opens a value only right after the equals sign.
+VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+|(?=>)|\Z)"""
+ATTRIBUTES = rf"""(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+{VALUE})?+|=)*+"""
+TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({ATTRIBUTES})(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")

@@ -80,3 +80,22 @@ def test_odd_rows(spark):
     got = main_text.extract(pages).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, 3 * 50_000 - 2]
     assert main_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"""<article><p class="a"">{LONG}</p><p>second {LONG}</p></article>""", f"{LONG.strip()}\n\nsecond {LONG.strip()}"),
+        (f"""<article><p data-x=don't>{LONG}</p><p>It's the second</p><p>'third'</p></article>""", f"{LONG.strip()}\n\nIt's the second\n\n'third'"),
+        (f"""<article><p title='a>b' id = "x>" 'y' z=a="b>{LONG}</p><img alt="1 > 0"/>e</article>""", f"{LONG.strip()}\n\ne"),
+        (f"""<article><p =\"x" a= b c = 'c>' >{LONG}</p><br/></article>""", LONG.strip()),
+        (f"""<article>{LONG}<p title="never closed>{LONG}</p></article>""", LONG.strip()),
+    ],
+)
+def test_quotes_open_only_after_an_equals_sign(page, text):
+    assert main_text.main_text(page) == text
+
+
+def test_long_tags_take_linear_time():
+    for page in ("<p " + "a=" * 300_000, "<p " + "a " * 300_000 + ">x", "<p " + "='" * 300_000, "<p a" + " " * 300_000, '<p a="' * 50_000):
+        main_text.main_text(page)
