@@ -93,7 +93,9 @@ def start_counts(texts: DataFrame, words: Column, folder: str, state: str) -> St
 
         def save(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(batch_path(folder, batch_id))
-            keep_heads(batch, folder, batch_id)
+            # Read back, so that the state is not asked for a second time.
+            written = batch.sparkSession.read.schema(batch.schema).parquet(batch_path(folder, batch_id))
+            keep_heads(written, folder, batch_id)
             if batch_id and batch_id % MERGE_EVERY == 0:
                 merge_before(batch.sparkSession, folder, batch_id)
 
