@@ -6,9 +6,9 @@ Only pairs of class and word that occur are stored. A document's score is
 
     log prior + n_known * log_default + sum(log_theta - log_default)
 
-over its words that the model knows. Documents are scored in blocks: the matrix of a block's word counts is multiplied
-with what each word adds to each class. A model of bounded size is broadcast; of a larger one, a block asks for each
-word it holds once, whatever the number of its documents.
+over its words that the model knows. Documents are scored in slices of bounded size: the matrix of a slice's word counts
+is multiplied with what each word adds to each class. A model of bounded size is broadcast; of a larger one, its most
+frequent words are, and the few other words of the documents are joined with the model as rows.
 """
 
 from __future__ import annotations
@@ -31,9 +31,11 @@ from quern.sources.staging import staged
 
 ALL = "*"
 # Words of the documents that are scored together; a single document may have more.
-BLOCK_WORDS = 1 << 20
-# A model with more words, over all its classes, is not broadcast (some 50 MB).
+BLOCK_WORDS = 1 << 18
+# A model with more words, over all its classes, is not broadcast whole (some 50 MB).
 BROADCAST_WORDS = 1 << 21
+# So many words, over all its classes, are broadcast of a larger model.
+COMMON_WORDS = 1 << 20
 # Products added up at once.
 PRODUCTS = 1 << 22
 
@@ -166,8 +168,9 @@ class BayesWeights:
     """A model laid out for scoring; fill it once and use it for any number of batches.
 
     ``classes``: one row per model with its ``layout``, the sorted classes. ``words``: model_entity, word and ``gains``,
-    what the word adds to the score of the classes that have it; of a small model ``small`` has that, broadcast, with
-    the layouts. ``breadth``: the largest number of classes of a model.
+    what the word adds to the score of the classes that have it; ``common`` has that of the most frequent ones,
+    broadcast. Of a small model ``small`` has all of it, broadcast, with the layouts. ``breadth``: the largest number of
+    classes of a model.
     """
 
     words: DataFrame | None
@@ -175,22 +178,34 @@ class BayesWeights:
     breadth: int
     label: T.DataType
     small: Broadcast | None
+    common: Broadcast | None = None
 
 
 def weights(model: BayesModel) -> BayesWeights:
-    """Only sizes reach the driver, and a model of BROADCAST_WORDS words at most."""
+    """Only sizes reach the driver, and BROADCAST_WORDS words of the model at most."""
     layout = F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_default"))).alias("layout")
     size = model.classes.agg(F.sum("rows").alias("rows"), F.max("place").alias("place")).first()
     label = model.classes.schema["label"].dataType
     breadth = 0 if size.place is None else size.place + 1
     classes = model.classes.groupBy(F.col("entity").alias("model_entity")).agg(layout)
+    context = classes.sparkSession.sparkContext
     if (size.rows or 0) <= BROADCAST_WORDS:
         layouts = {r.model_entity: r.layout for r in classes.collect()}
         told = Gains(model.theta.select("entity", "place", "word", "gain").toArrow())
-        return BayesWeights(None, classes.drop("layout"), breadth, label, classes.sparkSession.sparkContext.broadcast((told, layouts)))
+        return BayesWeights(None, classes.drop("layout"), breadth, label, context.broadcast((told, layouts)))
     gains = F.collect_list(F.struct("place", "gain")).alias("gains")
-    words = staged(model.theta.groupBy(F.col("entity").alias("model_entity"), "word").agg(gains), "bayes-weights")
-    return BayesWeights(words, staged(classes, "bayes-layout"), breadth, label, None)
+    # Eighths of powers of two: a few hundred steps whatever the counts.
+    step = F.floor(F.log2(F.sum("n")) * 8).cast("int").alias("step")
+    words = staged(model.theta.groupBy(F.col("entity").alias("model_entity"), "word").agg(gains, step), "bayes-weights")
+    cut, total = None, 0
+    for r in words.groupBy("step").agg(F.sum(F.size("gains")).alias("rows")).orderBy(F.desc("step")).collect():
+        total += r.rows
+        if total > COMMON_WORDS:
+            break
+        cut = r.step
+    often = words.where(F.col("step") >= F.lit(cut)).select(F.col("model_entity").alias("entity"), "word", F.inline("gains"))
+    common = context.broadcast(Gains(often.select("entity", "place", "word", "gain").toArrow()))
+    return BayesWeights(words.drop("step"), staged(classes, "bayes-layout"), breadth, label, None, common)
 
 
 def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFrame:
@@ -199,54 +214,9 @@ def with_model(docs: DataFrame, model: BayesWeights, entity: Column) -> DataFram
     return lookup_with_default(docs, known, entity, "model_entity", ALL)
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """One row per block of ``rows`` (key, model_entity, words), with what it asks for.
-
-    ``keys``, ``entities``: its documents. ``asked``: its models (word null) and its words per model. ``owner``,
-    ``place``, ``count``: the cells of the matrix of counts, by document and place in ``asked``. ``model``: the place of
-    each document's model.
-    """
-    key = rows.schema["key"]
-    fields = "block long, asked array<struct<model_entity: string, word: string>>, owner array<int>, place array<int>, count array<int>, model array<int>"
-    schema = T.StructType([*T.StructType.fromDDL(fields), T.StructField("keys", T.ArrayType(key.dataType)), T.StructField("entities", T.ArrayType(T.StringType()))])
-
-    def block(name: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(batches).combine_chunks()
-        entity = table["model_entity"].combine_chunks().dictionary_encode()
-        models, mine = entity.dictionary, entity.indices.to_numpy().astype(np.int64)
-        lists = table["words"].combine_chunks()
-        word = lists.flatten().dictionary_encode()
-        owner = np.repeat(np.arange(len(table)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
-        number, terms = word.indices.to_numpy().astype(np.int64), len(word.dictionary)
-        # Distinct pairs of model and word, then cells of (document, pair).
-        pairs, place = np.unique(mine[owner] * terms + number, return_inverse=True)
-        cells, count = np.unique(owner * max(1, len(pairs)) + place, return_counts=True)
-        asked_entity = pa.concat_arrays([models.cast(pa.string()), models.take(pa.array(pairs // max(1, terms))).cast(pa.string())])
-        asked_word = pa.concat_arrays([pa.nulls(len(models), pa.string()), word.dictionary.take(pa.array(pairs % max(1, terms))).cast(pa.string())])
-        asked = pa.StructArray.from_arrays([asked_entity, asked_word], names=["model_entity", "word"])
-        numbers = [cells // max(1, len(pairs)), cells % max(1, len(pairs)) + len(models), count, mine]
-        values = [asked, *(pa.array(n.astype(np.int32)) for n in numbers), table["key"].combine_chunks(), table["model_entity"].combine_chunks().cast(pa.string())]
-        one = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in values]
-        return pa.RecordBatch.from_arrays([pa.array([name]), *one], names=schema.names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                size += len(batch.column("words").flatten()) + batch.num_rows
-            if size >= BLOCK_WORDS:
-                yield block((task << 32) | number, held)
-                held, size, number = [], 0, number + 1
-        if held:
-            yield block((task << 32) | number, held)
-
-    return rows.mapInArrow(run, schema)
-
-
-def _added(owner: np.ndarray, place: np.ndarray, count: np.ndarray, docs: int, of: np.ndarray, label: np.ndarray, gain: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(known words, sums per class) of ``docs`` documents: their cells times the gains, sorted by the place they are ``of``."""
-    first, last = np.searchsorted(of, place, "left"), np.searchsorted(of, place, "right")
+def _added(owner: np.ndarray, pair: np.ndarray, count: np.ndarray, docs: int, gains: Gains, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known words, sums per class) of ``docs`` documents: their cells times the gains of the pair; whether a cell has any."""
+    first, last = np.searchsorted(gains.pair, pair, "left"), np.searchsorted(gains.pair, pair, "right")
     known, sums = np.bincount(owner, count * (last > first), docs), np.zeros(docs * width)
     edges = np.concatenate([[0], np.cumsum(last - first)])
     start = 0
@@ -255,84 +225,102 @@ def _added(owner: np.ndarray, place: np.ndarray, count: np.ndarray, docs: int, o
         size = (last - first)[start:stop]
         cell = np.repeat(np.arange(start, stop), size)
         entry = np.arange(len(cell)) - np.repeat(np.cumsum(size) - size, size) + first[cell]
-        sums += np.bincount(owner[cell] * width + label[entry], count[cell] * gain[entry], len(sums))
+        sums += np.bincount(owner[cell] * width + gains.place[entry], count[cell] * gains.gain[entry], len(sums))
         start = stop
-    return known, sums.reshape(docs, width)
+    return known, sums.reshape(docs, width), last > first
 
 
-def _told(keys: pa.Array, entities: pa.Array, layouts: list, known: np.ndarray, sums: np.ndarray, schema: pa.Schema) -> pa.Table:
-    """key, model_entity, labels and scores of documents; ``layouts`` has the classes of each one's model."""
-    labels = [[c["label"] for c in layout] for layout in layouts]
-    scores = [[c["log_prior"] + known[k] * c["log_default"] + sums[k, i] for i, c in enumerate(layout)] for k, layout in enumerate(layouts)]
-    return pa.table([keys, entities, pa.array(labels, schema.field("labels").type), pa.array(scores, pa.list_(pa.float64()))], schema=schema)
+def _slices(batch: pa.RecordBatch, gains: Gains, width: int, most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, pa.ListArray]]:
+    """The rows of a batch (key, model_entity, words) in slices of ``most`` words, one row at least.
 
-
-def _product(block: pa.Table, answers: pa.Table, schema: pa.Schema) -> pa.Table:
-    """Of one block that asked, with its answers."""
-    owner, place, count, model, keys, entities = (block[c].combine_chunks().flatten() for c in ("owner", "place", "count", "model", "keys", "entities"))
-    owner, place, count, model = (x.to_numpy().astype(np.int64) for x in (owner, place, count, model))
-    layouts = {r["place"]: r["layout"] for r in answers.filter(pc.is_valid(answers["layout"])).select(["place", "layout"]).to_pylist()}
-    width = max((len(v) for v in layouts.values()), default=0)
-    told = answers.filter(pc.is_valid(answers["gains"]))
-    lists, flat = told["gains"].combine_chunks(), told["gains"].combine_chunks().flatten()
-    of = np.repeat(told["place"].to_numpy(), pc.list_value_length(lists).to_numpy())
-    order = np.argsort(of, kind="stable")
-    known, sums = _added(owner, place, count, len(keys), of[order], flat.field("place").to_numpy()[order].astype(np.int64), flat.field("gain").to_numpy()[order], width)
-    return _told(keys, entities, [layouts.get(m, []) for m in model.tolist()], known, sums, schema)
+    Each with its known words, its sums per class, and the words and counts that ``gains`` does not have.
+    """
+    lists = batch.column("words")
+    edges = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    word = lists.flatten().dictionary_encode()
+    terms = word.dictionary.cast(pa.string())
+    entity, term = gains.known(batch.column("model_entity").cast(pa.string()), terms)
+    many, start = max(1, len(terms)), 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(edges, edges[start] + most, "right")) - 1)
+        owner = np.repeat(np.arange(stop - start), np.diff(edges[start : stop + 1]))
+        number = word.indices.slice(edges[start], edges[stop] - edges[start]).to_numpy()
+        cells, count = np.unique(owner * many + number, return_counts=True)
+        owner, number = cells // many, cells % many
+        mine, told = entity[start:stop][owner], term[number]
+        pair = np.where((mine >= 0) & (told >= 0), mine * len(gains.terms) + told, -1)
+        known, sums, found = _added(owner, pair, count, stop - start, gains, width)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[~found], minlength=stop - start))]).astype(np.int32)
+        rest = pa.StructArray.from_arrays([terms.take(pa.array(number[~found])), pa.array(count[~found].astype(np.int64))], names=["word", "count"])
+        yield batch.slice(start, stop - start), known, sums, pa.ListArray.from_arrays(pa.array(ends), rest)
+        start = stop
 
 
 def _by_small(rows: DataFrame, model: BayesWeights, schema: T.StructType) -> DataFrame:
     """Scores of ``rows`` (key, model_entity, words) with a broadcast model: nothing is shuffled."""
-    sent, width, kind = model.small, model.breadth, to_arrow_schema(schema)
+    sent, width, kind, most = model.small, model.breadth, to_arrow_schema(schema), BLOCK_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains, layouts = sent.value
         for batch in batches:
-            lists, asked = batch.column("words"), batch.column("model_entity").cast(pa.string())
-            word = lists.flatten().dictionary_encode()
-            entity, term = gains.known(asked, word.dictionary.cast(pa.string()))
-            owner = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-            number = term[word.indices.to_numpy()]
-            fine = (number >= 0) & (entity[owner] >= 0)
-            cells, count = np.unique(owner[fine] * max(1, len(gains.terms)) + number[fine], return_counts=True)
-            owner, number = cells // max(1, len(gains.terms)), cells % max(1, len(gains.terms))
-            known, sums = _added(owner, entity[owner] * len(gains.terms) + number, count, batch.num_rows, gains.pair, gains.place, gains.gain, width)
-            mine = [layouts.get(m, []) for m in asked.to_pylist()]
-            yield from _told(batch.column("key"), asked, mine, known, sums, kind).to_batches()
+            for part, known, sums, _ in _slices(batch, gains, width, most):
+                asked = part.column("model_entity").cast(pa.string())
+                mine = [layouts.get(m, []) for m in asked.to_pylist()]
+                labels = [[c["label"] for c in layout] for layout in mine]
+                told = [[c["log_prior"] + known[k] * c["log_default"] + sums[k, i] for i, c in enumerate(layout)] for k, layout in enumerate(mine)]
+                arrays = [part.column("key"), asked, pa.array(labels, kind.field("labels").type), pa.array(told, pa.list_(pa.float64()))]
+                yield from pa.table(arrays, schema=kind).to_batches()
 
     return rows.mapInArrow(run, schema)
 
 
-def _scored(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
-    """key, model_entity and ``scored``, an array of (label, score) in the order of labels.
+def _by_rows(rows: DataFrame, model: BayesWeights, schema: T.StructType) -> DataFrame:
+    """Scores of ``rows`` (key, model_entity, words) with a model of any size.
 
-    A word is asked for once a block and model, so that the commonest word or model is no hot key.
+    Tasks add up the frequent words; the others become rows, which meet the model in a join and are added up per document.
     """
+    sent, width, most = model.common, model.breadth, BLOCK_WORDS
+    fields = T.StructType.fromDDL("known double, sums array<double>, rest array<struct<word: string, count: long>>")
+    parts = T.StructType([T.StructField("row", T.LongType()), schema["key"], schema["model_entity"], *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains, number = sent.value, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for part, known, sums, rest in _slices(batch, gains, width, most):
+                lists = pa.ListArray.from_arrays(pa.array((np.arange(len(sums) + 1) * width).astype(np.int32)), pa.array(sums.ravel()))
+                row = pa.array(np.arange(number, number + part.num_rows))
+                arrays = [row, part.column("key"), part.column("model_entity").cast(pa.string()), pa.array(known.astype(float)), lists, rest]
+                yield pa.RecordBatch.from_arrays(arrays, names=parts.names)
+                number += part.num_rows
+
+    told = staged(rows.mapInArrow(run, parts), "bayes-parts")
+    asked = told.select("row", "model_entity", F.inline("rest")).join(model.words, ["model_entity", "word"])
+    # Place -1 counts the words that the model knows.
+    one = F.array(F.struct(F.lit(-1).alias("place"), F.lit(1.0).alias("gain")))
+    cells = asked.select("row", "count", F.inline(F.concat(F.col("gains").cast("array<struct<place: int, gain: double>>"), one)))
+    sums = cells.groupBy("row", "place").agg(F.sum(F.col("count") * F.col("gain")).alias("sum"))
+    more = sums.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("place", "sum"))).alias("more"))
+    whole = told.drop("rest").join(more, "row", "left").join(model.classes, "model_entity", "left")
+    extra = lambda place: F.coalesce(F.try_element_at("more", place), F.lit(0.0))
+    known = F.col("known") + extra(F.lit(-1))
+    score = lambda c, i: c["log_prior"] + known * c["log_default"] + F.get("sums", i) + extra(i)
+    layout = F.coalesce("layout", F.array().cast(model.classes.schema["layout"].dataType))
+    return whole.select("key", "model_entity", F.transform(layout, lambda c: c["label"]).alias("labels"), F.transform(layout, score).alias("scores"))
+
+
+def _scored(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
+    """key, model_entity and ``scored``, an array of (label, score) in the order of labels."""
     own = F.col("model_entity") if entity is None else F.lit(entity)
     rows = docs.select(F.col(key).alias("key"), own.cast("string").alias("model_entity"), words.alias("words"))
-    fields = [T.StructField("key", docs.schema[key].dataType), T.StructField("model_entity", T.StringType())]
+    fields = [T.StructField("key", rows.schema["key"].dataType), T.StructField("model_entity", T.StringType())]
     schema = T.StructType([*fields, T.StructField("labels", T.ArrayType(model.label)), T.StructField("scores", T.ArrayType(T.DoubleType()))])
-    found = _by_small(rows, model, schema) if model.small else _by_blocks(rows, model, schema)
+    found = _by_small(rows, model, schema) if model.small else _by_rows(rows, model, schema)
     scored = F.arrays_zip(F.col("labels").alias("label"), F.col("scores").alias("score"))
     return found.select(F.col("key").alias(key), "model_entity", scored.alias("scored"))
 
 
-def _by_blocks(rows: DataFrame, model: BayesWeights, schema: T.StructType) -> DataFrame:
-    """Scores of ``rows`` (key, model_entity, words) with a model of any size, block by block."""
-    blocks = staged(_blocks(rows), "bayes-blocks")
-    asked = blocks.select(F.col("block").alias("to"), F.posexplode("asked").alias("place", "asked")).select("to", "place", "asked.*")
-    no_layout, no_gains = (F.lit(None).cast(t.schema[c].dataType).alias(c) for t, c in ((model.classes, "layout"), (model.words, "gains")))
-    gains = asked.where("word is not null").join(model.words, ["model_entity", "word"]).select("to", "place", "gains", no_layout)
-    layout = asked.where("word is null").drop("word").join(model.classes, "model_entity").select("to", "place", no_gains, "layout")
-    # A block is little data and much work: adaptive execution must not put many into one task.
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    told, kind = gains.union(layout).repartition(tasks, "to"), to_arrow_schema(schema)
-    both = blocks.drop("asked").repartition(tasks, "block").groupBy("block").cogroup(told.groupBy("to"))
-    return both.applyInArrow(lambda a, b: _product(a, b, kind), schema)
-
-
 def scores(docs: DataFrame, key: str, words: Column, model: BayesWeights, entity: str | None = None) -> DataFrame:
-    """Per document and class: ``score`` (log joint); ``key`` is unique.
+    """Per document and class: ``score`` (log joint); ``key`` may be a struct.
 
     All documents use the model of ``entity``; without one, each the model named in its column ``model_entity``.
     """

@@ -1,5 +1,6 @@
 """Naive Bayes: known values, agreement with MLlib, entities and fallback."""
 
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
@@ -144,3 +145,27 @@ def test_entity_counts_equal_separate_fits(spark):
         ours = joint.theta.where(F.col("entity") == entity).select(*columns)
         theirs = model.theta.select(*columns)
         assert ours.exceptAll(theirs).count() == 0 == theirs.exceptAll(ours).count()
+
+
+@pytest.mark.parametrize("common", [0, 20, 1000])
+def test_large_models_broadcast_frequent_words_only(spark, monkeypatch, common):
+    docs = spark.range(200).selectExpr("id", "if(id % 3 = 0, 'a', 'b') y", "if(id % 7 = 0, null, concat('w', id % 9, ' w', id % 9, ' common ', id)) t").repartition(2)
+    words = tx.words(F.col("t"))
+    model = nb.fit(docs, words, "y")
+    small = nb.weights(model)
+    monkeypatch.setattr(nb, "BROADCAST_WORDS", 10)
+    monkeypatch.setattr(nb, "COMMON_WORDS", common)
+    large = nb.weights(model)
+    assert len(large.common.value.pair) <= common
+    assert "FlatMapCoGroups" not in nb.classify(docs, "id", words, large, nb.ALL)._jdf.queryExecution().toString()
+    a, b = ({(r.id, r.label): round(r.score, 9) for r in nb.scores(docs, "id", words, w, nb.ALL).collect()} for w in (small, large))
+    assert a == b and len(a) == 400
+
+
+def test_slices_hold_few_words(spark):
+    gains = nb.Gains(pa.table({"entity": ["*", "*"], "place": pa.array([0, 1], pa.int32()), "word": ["a", "b"], "gain": [1.0, 2.0]}))
+    batch = pa.RecordBatch.from_pydict({"key": [1, 2, 3, 4], "model_entity": ["*"] * 4, "words": [["a", "a", "x"], None, ["b"] * 9, ["a"]]})
+    parts = list(nb._slices(batch, gains, 2, 4))
+    assert [p.column("key").to_pylist() for p, *_ in parts] == [[1, 2], [3], [4]]
+    assert [s.tolist() for _, _, s, _ in parts] == [[[2.0, 0.0], [0.0, 0.0]], [[0.0, 18.0]], [[1.0, 0.0]]]
+    assert parts[0][3].to_pylist() == [[{"word": "x", "count": 1}], []]
