@@ -102,3 +102,21 @@ def test_spread_only_small_scans(spark, sf_dir):
     assert tables.spread(wide) is wide
     with pytest.raises(ValueError, match="unknown table"):
         tables.table(spark, sf_dir, "nope")
+
+
+def test_batches_become_pandas_one_at_a_time(spark):
+    """Only the rows of one batch are pandas objects, whatever the size of what Spark sends; types stay."""
+    df = spark.range(0, 1000, 1, 1).selectExpr("id", "concat('t', id) t", "timestamp '2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) at", "date '2020-01-01' d")
+
+    def told(p):
+        import gc
+
+        import pandas as pd
+
+        alive = sum(len(x) for x in gc.get_objects() if isinstance(x, pd.DataFrame) and "t" in x and "alive" not in x)
+        return p.assign(alive=alive, ok=(p["at"].dt.hour == p["id"] % 24) & (p["t"] == "t" + p["id"].astype(str)))
+
+    found = batches.map_batches(df, told, "id BIGINT, alive BIGINT, ok BOOLEAN, at TIMESTAMP, d DATE, t STRING", 7)
+    assert found.select("id", "at", "d", "t").exceptAll(df.select("id", "at", "d", "t")).count() == 0
+    rows = found.collect()
+    assert len(rows) == 1000 and all(r.ok for r in rows) and max(r.alive for r in rows) <= 40
