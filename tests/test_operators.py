@@ -408,3 +408,10 @@ def test_flag_vectors_of_ten_thousand_genres(spark):
 def test_flag_vectors_of_no_rows(spark):
     vectors, codes = rel.flag_vectors(spark.createDataFrame([], "id LONG, l ARRAY<STRING>"), "id", F.col("l"))
     assert vectors.count() == codes.count() == 0
+
+
+def test_bags_are_coded_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(wd, "SLICE_WORDS", 3)
+    rows = spark.createDataFrame([(1, ["a", "b", "a"]), (2, None), (3, ["z"] * 9), (4, ["b"]), (5, [])], "id INT, w ARRAY<STRING>").coalesce(1)
+    told = {r.id: (r.features, r["values"]) for r in wd.coded(rows, "w", ["b", "a"]).collect()}
+    assert told == {1: ([0, 1], [1, 2]), 2: ([], []), 3: ([], []), 4: ([0], [1]), 5: ([], [])}
