@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import text as tx
@@ -221,10 +221,10 @@ SELECT doc_id, label AS prediction, score FROM scored
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1""",
 )
 def nb_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, toks = st.books(spark, sf_dir), tx.tokens(F.col("content"))
-    model = nb.weights(nb.fit(docs, toks, "author", smoothing=0.2))
+    docs = staged(st.books(spark, sf_dir).select("doc_id", "author", tx.tokens(F.col("content")).alias("words")), "book-words")
+    model = nb.weights(nb.fit(docs, F.col("words"), "author", smoothing=0.2))
     # No author has a model of its own: all documents use the one over all rows.
-    return nb.classify(docs, "doc_id", toks, model, entity=nb.ALL).drop("model_entity")
+    return nb.classify(docs, "doc_id", F.col("words"), model, entity=nb.ALL).drop("model_entity")
 
 
 # One model per entity plus one over everything, words of two or more characters, class shares unsmoothed.
@@ -244,15 +244,12 @@ classes AS (
   FROM sizes LEFT JOIN totals USING (entity, label) JOIN v USING (entity))"""
 
 
+def _entity_fit(tweets: DataFrame, words: Column) -> nb.BayesModel:
+    return nb.fit(tweets, words, "sentiment", entity="entity", smoothing=1.0, prior_smoothing=0.0)
+
+
 def _entity_model(spark: SparkSession, sf_dir: str) -> nb.BayesModel:
-    return nb.fit(
-        st.tweets(spark, sf_dir),
-        tx.tokens_2plus(F.col("text")),
-        "sentiment",
-        entity="entity",
-        smoothing=1.0,
-        prior_smoothing=0.0,
-    )
+    return _entity_fit(st.tweets(spark, sf_dir), tx.tokens_2plus(F.col("text")))
 
 
 @job(
@@ -353,11 +350,11 @@ def nb_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     tweets = staged(tweets.select("doc_id", "sentiment", "fold", tx.tokens_2plus(F.col("text")).alias("words")), "tweet-folds")
     model = nb.weights(nb.fit_folds(tweets, F.col("words"), "sentiment", "fold", 10, prior_smoothing=0.0))
     asked = tweets.withColumn("model_fold", F.explode(F.sequence(F.lit(1), F.lit(10))))
-    asked = asked.withColumns({"ask": F.concat_ws("/", "doc_id", "model_fold"), "model_entity": F.col("model_fold").cast("string")})
-    found = nb.classify(asked, "ask", F.col("words"), model)
     part = F.when(F.col("fold") == F.col("model_fold"), "test").otherwise("train")
-    judged = asked.select("ask", F.col("model_fold"), part.alias("part"), F.col("sentiment").alias("label")).join(found, "ask")
-    return _report(judged.withColumn("fold", F.col("model_fold")), ("fold", "part"))
+    told = F.struct(F.col("model_fold").alias("fold"), part.alias("part"), F.col("sentiment").alias("label"))
+    asked = asked.select(told.alias("ask"), F.col("model_fold").cast("string").alias("model_entity"), "words")
+    found = nb.classify(asked, "ask", F.col("words"), model)
+    return _report(found.select("ask.*", "prediction"), ("fold", "part"))
 
 
 @job(
@@ -383,10 +380,10 @@ found AS (SELECT model_entity, label, class AS prediction FROM scored
 )
 def nb_entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class metrics of every entity's model on its own documents, and of the one over all rows on all of them."""
-    tweets = st.tweets(spark, sf_dir)
-    model = nb.weights(_entity_model(spark, sf_dir))
-    asked = tweets.select("doc_id", "sentiment", "text", F.explode(F.array(F.lower("entity"), F.lit(nb.ALL))).alias("model_entity"))
-    asked = asked.withColumn("ask", F.concat_ws("/", "doc_id", "model_entity"))
-    found = nb.classify(asked, "ask", tx.tokens_2plus(F.col("text")), model)
-    judged = asked.select("ask", F.col("sentiment").alias("label")).join(found, "ask")
-    return _report(judged, ("model_entity",))
+    tweets = st.tweets(spark, sf_dir).select("entity", "sentiment", tx.tokens_2plus(F.col("text")).alias("words"))
+    tweets = staged(tweets, "tweet-words")
+    model = nb.weights(_entity_fit(tweets, F.col("words")))
+    both = F.explode(F.array(F.lower("entity"), F.lit(nb.ALL))).alias("model_entity")
+    asked = tweets.select(F.struct(F.col("sentiment").alias("label")).alias("ask"), "words", both)
+    found = nb.classify(asked, "ask", F.col("words"), model)
+    return _report(found.select("ask.*", "model_entity", "prediction"), ("model_entity",))
