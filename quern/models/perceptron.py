@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions import hashing as hs
+from quern.models.histogram_trees import _slices
 
 ROWS_PER_SHARD = 200_000
+# Entries (a row's features) that a task holds as arrays of its own; a single row may have more.
+SLICE_ENTRIES = 1 << 18
 ROW = ("class", "features", "values")
 SUMS = "output int, place int, total double, last double"
 
@@ -46,6 +49,12 @@ def _step(weights: np.ndarray, label: int, features: np.ndarray, values: np.ndar
     weights[:, -1] += push
 
 
+def _lists(batch: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Places and values of each row."""
+    ends = np.cumsum(np.diff(batch.column("features").offsets.to_numpy()))[:-1]
+    return np.split(batch.column("features").flatten().to_numpy(), ends), np.split(batch.column("values").flatten().to_numpy().astype(float), ends)
+
+
 def fit(rows: DataFrame, key: Column, features: int, classes: int, epochs: int = 5, rate: float = 1.0, l2: float = 1e-3, shards: int | None = None, seed: int = 0) -> Perceptron:
     """``rows``: class (0 to ``classes`` - 1), features and values (ascending places below ``features``, counts); written.
 
@@ -56,7 +65,7 @@ def fit(rows: DataFrame, key: Column, features: int, classes: int, epochs: int =
     count = rows.count()
     shards = shards or max(1, math.ceil(count / ROWS_PER_SHARD))
     dealt = rows.select(*ROW, hs.hash_bucket(key, seed, shards).alias("shard"), key.cast("string").alias("key"))
-    weights, total = np.zeros((outputs, features + 1)), np.zeros((outputs, features + 1))
+    weights, total, most = np.zeros((outputs, features + 1)), np.zeros((outputs, features + 1)), SLICE_ENTRIES
 
     for epoch in range(epochs if count else 0):
         sent = rows.sparkSession.sparkContext.broadcast(weights)
@@ -70,18 +79,14 @@ def fit(rows: DataFrame, key: Column, features: int, classes: int, epochs: int =
                 arrays += [pa.array(np.append(summed[at], steps)), pa.array(np.append(now[at] * steps, 0.0))]
                 return pa.RecordBatch.from_arrays(arrays, names=["output", "place", "total", "last"])
 
-            for batch in batches:
-                lists = batch.column("features")
-                edges = lists.offsets.to_numpy()
-                flat, values = lists.values.to_numpy(), batch.column("values").values.to_numpy().astype(float)
-                for k, (mine, label) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("class").to_pylist(), strict=True)):
+            for batch in _slices(batches, most):
+                for mine, label, places, values in zip(batch.column("shard").to_pylist(), batch.column("class").to_pylist(), *_lists(batch), strict=True):
                     if mine != shard:
                         if steps:
                             yield told()
                         shard, now, steps = mine, sent.value.copy(), 0
                         summed = np.zeros_like(now)
-                    part = slice(edges[k], edges[k + 1])
-                    _step(now, label, flat[part], values[part], rate, l2)
+                    _step(now, label, places, values, rate, l2)
                     summed += now
                     steps += 1
             if steps:
@@ -100,14 +105,14 @@ def fit(rows: DataFrame, key: Column, features: int, classes: int, epochs: int =
 def predicted(rows: DataFrame, model: Perceptron, name: str = "prediction") -> DataFrame:
     """``rows`` without ROW's features, with the class told: the largest margin, the first of equal ones."""
     keep = [c for c in rows.columns if c not in ROW[1:]]
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent, most = rows.sparkSession.sparkContext.broadcast(model), SLICE_ENTRIES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in batches:
+        for batch in _slices(batches, most):
             found = []
-            for features, values in zip(batch.column("features"), batch.column("values"), strict=True):
-                margins = known.margins(np.array(features.as_py(), int), np.array(values.as_py(), float))
+            for places, values in zip(*_lists(batch), strict=True):
+                margins = known.margins(places, values)
                 found.append(int(margins.argmax()) if len(margins) > 1 else int(margins[0] > 0))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found, pa.int32())], names=[*keep, name])
 

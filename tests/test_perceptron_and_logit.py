@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -63,6 +64,21 @@ def test_shards_do_not_depend_on_the_layout(spark):
     assert not pc.fit(frame(spark, []), F.col("key"), 12, 2).weights.any()
 
 
+def test_few_entries_are_held_at_once(spark, monkeypatch):
+    """Slices of a few entries, whatever batches Spark sends: the same weights and predictions."""
+    rows, lists = made(n=200), pc._lists
+    plain = pc.fit(frame(spark, rows), F.col("key"), 12, 2, shards=3)
+    told = pc.predicted(frame(spark, rows), plain).orderBy("key").collect()
+    monkeypatch.setattr(pc, "SLICE_ENTRIES", 7)
+    assert (pc.fit(frame(spark, rows).repartition(2), F.col("key"), 12, 2, shards=3).weights == plain.weights).all()
+    assert pc.predicted(frame(spark, rows), plain).orderBy("key").collect() == told
+    batch = pa.RecordBatch.from_pydict({"features": [[0, 3], [], [1, 2, 5, 6]], "values": [[1, 2], [], [3, 4, 5, 6]]})
+    for part in (batch, batch.slice(1), batch.slice(2), batch.slice(0, 2), batch.slice(0, 0)):
+        places, values = lists(part)
+        assert [x.tolist() for x in places][: part.num_rows] == part.column("features").to_pylist()
+        assert [x.tolist() for x in values][: part.num_rows] == part.column("values").to_pylist()
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     draw = np.random.default_rng(8)
