@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.text import WORD_GAPS
+from quern.operators import words as wd
 from quern.operators.metrics import class_summary, confusion, per_class
 from quern.operators.words import vocabulary
 
@@ -44,6 +51,59 @@ def fixed_bag(df: DataFrame, words: Column, size: int = 10_000, min_df: int = 2)
     return CountVectorizerModel.from_vocabulary(terms, inputCol="words", outputCol="features")
 
 
+class TopTerms(Estimator):
+    """CountVectorizer for rows of ``words.coded`` (``features`` and ``values``, places of terms and counts).
+
+    Learns the ``size`` most frequent terms found in at least ``min_df`` rows; equal counts go by place. Words are cut and
+    looked up once for all fits, so that a fit reads numbers only.
+    """
+
+    def __init__(self, size: int = 10_000, min_df: int = 2):
+        super().__init__()
+        self.size, self.min_df = size, min_df
+
+    def _fit(self, dataset: DataFrame) -> TermVectors:
+        counts = (
+            dataset.select(F.inline(F.arrays_zip("features", "values")))
+            .groupBy("features")
+            .agg(F.sum("values").alias("n"), F.count("*").alias("df"))
+        )
+        top = counts.where(F.col("df") >= self.min_df).orderBy(F.desc("n"), "features").limit(self.size)
+        places = sorted(r.features for r in top.select("features").collect())
+        if not places:
+            raise ValueError("The vocabulary size should be > 0. Lower min_df as necessary.")
+        return TermVectors(places)
+
+
+class TermVectors(Transformer):
+    """Turns ``features`` and ``values`` into the sparse vector ``features`` over some terms; other terms are passed over."""
+
+    def __init__(self, places: list[int]):
+        super().__init__()
+        self.places = places
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rest = dataset.drop("features", "values")
+        schema = T.StructType([*rest.schema, T.StructField("features", VectorUDT())])
+        keep, size, most = rest.columns, len(self.places), wd.SLICE_WORDS
+        number = np.full(self.places[-1] + 2, -1, np.int32)
+        number[self.places] = np.arange(size)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, lengths in wd.slices(batches, "features", most):
+                place = batch.column("features").flatten().to_numpy()
+                found = number[np.minimum(place, len(number) - 1)]
+                known = found >= 0
+                ends = np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], np.cumsum(lengths)])]
+                values = batch.column("values").flatten().to_numpy()[known].astype(np.float64)
+                lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x)) for x in (found[known], values)]
+                fixed = [pa.array(np.full(batch.num_rows, x, kind)) for x, kind in ((0, np.int8), (size, np.int32))]
+                vector = pa.StructArray.from_arrays([*fixed, *lists], names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), vector], names=schema.names)
+
+        return dataset.select(*keep, "features", "values").mapInArrow(run, schema)
+
+
 def tree(depth: int = 30, impurity: str = "gini") -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol="label", featuresCol="features", impurity=impurity, maxDepth=depth)
 

@@ -15,6 +15,9 @@ from quern.models import regressors as rs
 from quern.models import tuning as tu
 from quern.operators import features as ft
 from quern.operators import sampling as sp
+from quern.operators import words as wd
+from quern.plans import JOBS
+from quern.plans import models as plans
 from quern.sources.ranges import even_grid
 
 
@@ -143,3 +146,75 @@ def test_linear_classifiers(spark):
     model = lg.linear_classifier("label", 3)
     assert model.fit(vectors).transform(vectors).where("prediction <> label").count() == 0
     assert type(lg.linear_classifier("label", 2)).__name__ == "LinearSVC"
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Words with many equal counts, ``fold`` 0..2; one row without words and one with a null."""
+    rng = np.random.default_rng(3)
+    rows = [(k, "ab"[k % 2], k % 3, [f"w{int(x) + 9 * (k % 2)}" for x in rng.exponential(9, 30)]) for k in range(60)]
+    rows += [(60, "a", 0, []), (61, "b", 1, None)]
+    return spark.createDataFrame(rows, "id INT, author STRING, fold INT, words ARRAY<STRING>").repartition(5).cache()
+
+
+@pytest.mark.parametrize("most", [1 << 18, 1, 70])
+def test_words_are_counted_by_part(noisy, monkeypatch, most):
+    monkeypatch.setattr(wd, "SLICE_WORDS", most)
+    told = noisy.select("id", "fold", F.explode("words").alias("word"))
+    want = told.groupBy("fold", "word").agg(F.count("*").alias("n"), F.countDistinct("id").alias("df"))
+    assert sorted(wd.counts_by_part(noisy, "words", "fold").collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("size, min_df", [(12, 2), (25, 3), (1000, 1)])
+def test_terms_of_each_training_set(noisy, monkeypatch, size, min_df):
+    """Every fit on counts has the words and vectors of a CountVectorizer over that fit's own rows."""
+    monkeypatch.setattr(wd, "SLICE_WORDS", 50)
+    terms = [r.word for r in wd.top_words_outside(noisy, "words", "fold", 3, size, min_df).collect()]
+    counts = wd.coded(noisy, "words", terms)
+    union = set()
+    for fold in (0, 1, 2, None):
+        part = F.lit(True) if fold is None else F.col("fold") != fold
+        own = sorted(r.word for r in wd.vocabulary(noisy.where(part), F.col("words"), size, min_df).collect())
+        model = au.TopTerms(size, min_df).fit(counts.where(part))
+        assert [terms[k] for k in model.places] == own
+        want = au.CountVectorizerModel.from_vocabulary(own, inputCol="words", outputCol="features")
+        want = want.transform(noisy.where("words is not null")).collect()
+        got = {r.id: r.features for r in model.transform(counts).collect()}
+        assert all(got[r.id] == r.features for r in want) and got[61].numNonzeros() == 0 and len(got) == 62
+        union |= set(own)
+    assert terms == sorted(union)
+
+
+def test_no_terms(noisy):
+    with pytest.raises(ValueError, match="vocabulary size"):
+        au.TopTerms(10, 1000).fit(wd.coded(noisy, "words", ["w1"]))
+
+
+@pytest.mark.parametrize("name", ["cv_nb", "cv_nb_fixed"])
+def test_words_are_written_once_and_not_cross_validated(spark, sf_dir, monkeypatch, name):
+    class Seen(Exception):
+        pass
+
+    def seen(estimator, maps, evaluator, df, **options):
+        raise Seen(*df.columns)
+
+    written, stage = [], plans.staged
+    monkeypatch.setattr(plans, "staged", lambda df, label: (written.append(df.columns), stage(df, label))[1])
+    monkeypatch.setattr(tu, "cross_validate", seen)
+    with pytest.raises(Seen) as told:
+        JOBS[name](spark, sf_dir)
+    assert "words" not in told.value.args and sum("words" in columns for columns in written) == 1
+
+
+def test_cv_nb_is_that_of_count_vectorizers(spark, sf_dir):
+    """On the given table against MLlib's own fits, words with equal counts taken in their order."""
+    rows = plans.bags(spark, sf_dir, folds=3).cache()
+    judge = MulticlassClassificationEvaluator(metricName="f1")
+    found = []
+    for fold in range(3):
+        train, test = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+        pipeline = Pipeline(stages=[au.fixed_bag(train, F.col("words")), au.label_indexer("author"), au.naive_bayes(0.2)])
+        found.append(judge.evaluate(pipeline.fit(train).transform(test)))
+    row = JOBS["cv_nb"](spark, sf_dir).first()
+    assert (row.mean, row.stddev) == (pytest.approx(np.mean(found), abs=1e-12), pytest.approx(np.std(found), abs=1e-12))
+    assert len({r.fold for r in rows.select("fold").distinct().collect()}) == 3
